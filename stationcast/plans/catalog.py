@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stationcast import sources
+from stationcast.operators import export, forecast, load, lookup, metrics, quality, rollup
 from stationcast.operators import features as ft
-from stationcast.operators import rollup, trailing
+from stationcast.operators import split, training, trailing
+from stationcast.plans import jobs
 from stationcast.plans.fixtures import Fixtures
+from stationcast.session import cut_lineage, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -165,5 +171,391 @@ def _(fx):
     return rounded(trailing.trailing_as_written(fx.wx_data))
 
 
+# --- sources and sinks --------------------------------------------------------------------------
+
+@query("scan_observations_csv")
+def _(fx):
+    path = scratch_path(fx.spark, "observations")
+    sources.export_csv(fx.located, path)
+    return rounded(sources.scan_observations_csv(fx.spark, path))
+
+
+@query("scan_star_schema")
+def _(fx):
+    path = scratch_path(fx.spark, "star")
+    sources.write_star_schema({
+        "states": fx.states, "admin_div_1": fx.admin_div_1, "cities": fx.cities,
+        "wmo_codes": fx.wmo_codes,
+        "wx_data": fx.wx_data.withColumn("dtg", F.col("dtg").cast("timestamp")),
+    }, path)
+    tables = sources.scan_star_schema(fx.spark, path)
+    return tables["wx_data"].join(tables["cities"], "city_id").select(
+        "data_id", "city_id", "city_name", F.col("dtg").cast("timestamp_ntz").alias("dtg"),
+        *[F.col(c).cast("double").alias(c) for c in ("temp_c", "humidity", "precip_chance")],
+        "precip_mm", "wmo_code")
+
+
+@query("scan_geocode_map")
+def _(fx):
+    return sources.scan_geocode_map(fx.geocode_documents, order="doc")
+
+
+@query("payload_to_rows")
+def _(fx):
+    path = scratch_path(fx.spark, "payloads")
+    sources.export_json(fx.payloads, path)
+    return rounded(sources.scan_payloads(fx.spark, path))
+
+
+def _export(fx) -> DataFrame:
+    return export.denormalised(fx.wx_data, fx.cities, fx.admin_div_1, fx.states, fx.wmo_codes)
+
+
+def _plain_decimals(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast("double").alias(f.name)
+                       if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@query("export_denormalised")
+def _(fx):
+    return _plain_decimals(_export(fx))
+
+
+@query("export_csv")
+def _(fx):
+    path, rows = scratch_path(fx.spark, "export-csv"), _export(fx)
+    sources.export_csv(rows, path)
+    return _plain_decimals(fx.spark.read.schema(rows.schema).option("header", True).csv(path))
+
+
+@query("export_json")
+def _(fx):
+    path, rows = scratch_path(fx.spark, "export-json"), _export(fx)
+    sources.export_json(rows, path)
+    return _plain_decimals(fx.spark.read.schema(rows.schema).json(path))
+
+
+@query("trailing_years_filter")
+def _(fx):
+    return rounded(sources.trailing_years_filter(fx.obs, years=2, end=date(2000, 2, 29)))
+
+
+@query("recent_since_cutoff")
+def _(fx):
+    return _plain_decimals(export.recent_since_cutoff(fx.wx_data, datetime(2001, 8, 1, 12), 365))
+
+
+# --- loading ------------------------------------------------------------------------------------
+
+@query("normalize_observations")
+def _(fx):
+    return rounded(load.normalize(fx.messy_obs, ingest_order="ingest_seq"))
+
+
+@query("to_storage_rows")
+def _(fx):
+    ids = fx.cities.select("city_id", F.col("city_name").alias("city"))
+    rows = load.to_storage_rows(fx.obs, ids)
+    return _plain_decimals(rows.withColumn("dtg", F.col("dtg").cast("timestamp_ntz")))
+
+
+@query("append_new_only")
+def _(fx):
+    stage = fx.wx_data.select("city_id", "dtg", "temp_c", "precip_mm", "wmo_code")
+    return _plain_decimals(load.append_new_only(stage, fx.wx_data.filter("dtg < '1998-01-01'")))
+
+
+@query("append_counts")
+def _(fx):
+    return load.load_counts(fx.wx_data, fx.wx_data.filter("dtg < '1998-01-01'"))
+
+
+@query("replace_scope")
+def _(fx):
+    asia = fx.cities.filter("div1_id = 2").select("city_id")
+    batch = fx.wx_data.filter("dtg >= '1997-01-01' AND dtg < '1998-01-01'").join(asia, "city_id")
+    return _plain_decimals(load.outside_replace_scope(fx.wx_data, batch))
+
+
+@query("dimension_get_or_create")
+def _(fx):
+    grown = load.load_reference(fx.place_batch, fx.loaded_places["states"],
+                                fx.loaded_places["admin_div_1"], fx.loaded_places["cities"])
+    return grown["cities"].join(grown["admin_div_1"], "div1_id").join(
+        grown["states"], "state_id").select(
+        "city_id", "city_name", "div1_id", "div1_name", "state_id", "state_abbr",
+        "state_name_short")
+
+
+@query("upsert_do_nothing")
+def _(fx):
+    texts = load.code_texts(fx.wx_data).dropna()
+    early = load.code_texts(fx.wx_data.filter("dtg < '1995-01-03'")).dropna().select(
+        "wmo_code", F.concat(F.lit("old: "), "wmo_text").alias("wmo_text"))
+    return load.insert_missing(early, texts, ["wmo_code"])
+
+
+@query("strict_code_lookup")
+def _(fx):
+    codes = load.code_texts(fx.wx_data).select(
+        F.lit("wmo").alias("kind"), F.col("wmo_code").alias("code"),
+        F.col("wmo_text").alias("text"))
+    country = F.element_at(F.array(*map(F.lit, "US,GB,JP,AU,BR,CA,DE,FR,IN,MX,XX,YY".split(","))),
+                           (F.col("c_nationkey") % 12 + 1).cast("int"))
+    countries = fx.table("customer").select(country.alias("country_code")).distinct()
+    return codes.unionByName(load.iso3_lookup(countries).select(
+        F.lit("iso").alias("kind"), F.col("country_code").alias("code"),
+        F.col("state_abbr").alias("text")))
+
+
+# --- quality ------------------------------------------------------------------------------------
+
+def _star(fx) -> dict[str, DataFrame]:
+    return {"states": fx.states, "admin_div_1": fx.admin_div_1, "cities": fx.cities,
+            "wmo_codes": fx.wmo_codes, "wx_data": fx.wx_data}
+
+
+@query("constraint_violations")
+def _(fx):
+    return quality.constraint_violations(_star(fx), earliest="1996-01-01 00:00:00")
+
+
+@query("quarantined_rows")
+def _(fx):
+    rows = quality.quarantine(fx.wx_data, _star(fx), earliest="1996-01-01 00:00:00")
+    return rows.select("data_id", F.array_join("broken", ",").alias("broken"))
+
+
+@query("city_name_clashes")
+def _(fx):
+    regions = fx.cities.join(fx.admin_div_1, "div1_id").select(
+        "city_id", F.col("div1_name").alias("city_name"))
+    return rollup.name_clashes(rollup.daily_rollup(fx.wx_data, regions))
+
+
+@query("city_first_coordinates")
+def _(fx):
+    patchy = fx.located.withColumns({
+        "latitude": F.when(F.dayofmonth("date") % 2 == 0, F.col("latitude") + F.month("date")),
+        "longitude": F.when(F.dayofmonth("date") % 3 == 0, F.col("longitude") + F.month("date")),
+    })
+    return rollup.first_coordinates(patchy)
+
+
+# --- lookups ------------------------------------------------------------------------------------
+
+@query("attach_coordinates")
+def _(fx):
+    return rounded(lookup.attach_coordinates(fx.obs, fx.slugged_coordinates))
+
+
+@query("match_city")
+def _(fx):
+    return lookup.match_city(fx.city_texts, fx.known_cities)
+
+
+@query("requests_to_features")
+def _(fx):
+    columns = ("city", "date", "temp_mean_c", "temp_mean_c_roll30_mean", "wet_days_roll7")
+    features = ft.build_features(fx.located).select(*columns)
+    return rounded(lookup.requests_to_features(fx.requests, features))
+
+
+@query("point_lookup")
+def _(fx):
+    return _plain_decimals(lookup.point_lookup(fx.point_requests, fx.wx_data, fx.cities))
+
+
+@query("gazetteer_pick")
+def _(fx):
+    return lookup.gazetteer_pick(fx.gazetteer)
+
+
+# --- serving windows ----------------------------------------------------------------------------
+
+AS_OF = date(2000, 6, 30)
+
+
+@query("serving_tail")
+def _(fx):
+    return rounded(ft.serving_tail(fx.obs, AS_OF))
+
+
+@query("serving_features")
+def _(fx):
+    rows = ft.serving_features(fx.located, AS_OF)
+    return rounded(rows.drop("y_temp_mean_c", "y_precip_mm", "y_is_wet", "y_condition"))
+
+
+# --- split, baselines, scores -------------------------------------------------------------------
+
+def _supervised(fx) -> DataFrame:
+    return ft.labelled(ft.build_features(fx.located))
+
+
+def _split(fx) -> DataFrame:
+    return split.split_64_16_20(_supervised(fx))
+
+
+def _climatology(fx) -> tuple[DataFrame, list[str]]:
+    rows = _split(fx)
+    classes = list(split.condition_encoder(rows).labels)
+    coded = rows.withColumn("y_condition_code", F.array_position(
+        F.array(*map(F.lit, classes)), F.col("y_condition")).cast("int") - 1)
+    return metrics.climatology(coded, classes), classes
+
+
+@query("split_64_16_20")
+def _(fx):
+    return _split(fx).select("city", "date", "split")
+
+
+@query("split_exact")
+def _(fx):
+    return split.split_64_16_20(_supervised(fx), exact=True).select("city", "date", "split")
+
+
+@query("encode_condition")
+def _(fx):
+    return split.encode_condition(_supervised(fx)).select(
+        "city", "date", "y_condition", "y_condition_code")
+
+
+@query("climatology_forecast")
+def _(fx):
+    rows, classes = _climatology(fx)
+    probabilities = [F.get("p_condition", F.lit(i)).alias(f"p_{name.lower()}")
+                     for i, name in enumerate(classes)]
+    return rounded(rows.select("city", "date", "split", "p_wet", *probabilities))
+
+
+@query("evaluate_temperature")
+def _(fx):
+    return rounded(metrics.evaluate_temperature(
+        _split(fx).filter("split = 'test'"), "y_temp_mean_c", ft.WARMUP_COLUMN, "temp_mean_c"))
+
+
+@query("evaluate_precipitation")
+def _(fx):
+    rows, _classes = _climatology(fx)
+    return rounded(metrics.evaluate_precipitation(
+        rows.filter("split = 'test'"), "y_is_wet", "p_wet"))
+
+
+@query("evaluate_condition")
+def _(fx):
+    rows, classes = _climatology(fx)
+    return rounded(metrics.evaluate_condition(
+        rows.filter("split = 'test'"), "y_condition_code", "p_condition", len(classes)))
+
+
+# --- forecast documents -------------------------------------------------------------------------
+
+@query("condition_ranking")
+def _(fx):
+    rows, classes = _climatology(fx)
+    ranked = forecast.condition_ranking(F.col("p_condition"), classes)
+    return rows.select(
+        "city", "date", F.array_join(F.map_keys(ranked), ">").alias("ranking"),
+        F.get(F.map_values(ranked), F.lit(0)).alias("best"),
+        F.get(F.map_values(ranked), F.lit(1)).alias("second"))
+
+
+@query("forecast_document")
+def _(fx):
+    rows, classes = _climatology(fx)
+    trained = fx.coordinates.filter("latitude >= 0").select(
+        "city", (F.col("latitude") + 0.25).alias("latitude"), "longitude")
+    documents = forecast.forecast_documents(
+        rows.withColumn("p_temp", F.col("temp_mean_c")), classes, trained, 1.23456,
+        {"bundle_version": "1.0", "trained_at": "2001-01-01T00:00:00+00:00", "split": "hash",
+         "configs": {"temperature": "persistence"}})
+    text = forecast.to_json()
+    parsed = F.from_json(text, documents.schema["forecast"].dataType.simpleString())
+    d = documents.select(parsed.alias("d"), F.get_json_object(
+        text, "$.model.configs.temperature").alias("config"))
+    fields = {
+        "city": "city", "as_of_date": "as_of_date", "target_date": "target_date",
+        "latitude": "location.latitude", "longitude": "location.longitude",
+        "mean_c": "temperature.mean_c", "mean_f": "temperature.mean_f",
+        "expected_error_c": "temperature.expected_error_c",
+        "probability": "precipitation.probability",
+        "will_precipitate": "precipitation.will_precipitate",
+        "threshold_mm": "precipitation.threshold_mm",
+        "category": "condition.category", "confidence": "condition.confidence",
+        "observed_max_c": "observed_on_as_of_date.temp_max_c",
+        "observed_precip_mm": "observed_on_as_of_date.precip_mm",
+        "observed_condition": "observed_on_as_of_date.condition",
+        "api_version": "model.api_version", "split": "model.split",
+    }
+    return rounded(d.select(
+        *[F.col(f"d.{path}").alias(name) for name, path in fields.items()],
+        F.array_join(F.map_keys("d.condition.probabilities"), ">").alias("ranking"), "config"))
+
+
+# --- training (rows-only checks) ----------------------------------------------------------------
+
+SMALL_GRID = (
+    {"name": "stump-ish", "n_estimators": 6, "max_depth": 2, "learning_rate": 0.3,
+     "min_child_weight": 1, "subsample": 1.0, "colsample_bytree": 1.0, "reg_lambda": 1.0},
+    {"name": "small", "n_estimators": 8, "max_depth": 3, "learning_rate": 0.2,
+     "min_child_weight": 2, "subsample": 0.9, "colsample_bytree": 0.9, "reg_lambda": 2.0},
+)
+
+
+def _vectors(fx):
+    days = cut_lineage(fx.located)
+    vocabulary = ft.city_vocabulary(days)
+    rows, names, classes = jobs.supervised_rows(days, vocabulary)
+    assembler, vectors = jobs.assembled(rows, names)
+    return vectors, names, classes, assembler
+
+
+@query("assemble_features")
+def _(fx):
+    vectors, _, _, _ = _vectors(fx)
+    return vectors.select("city", "date", "split", vector_to_array("features").alias("features"))
+
+
+def _train_one(fx, target: str) -> DataFrame:
+    vectors, _, classes, _ = _vectors(fx)
+    found = training.search([target], vectors, classes, SMALL_GRID[:1])
+    test = training.evaluate(target, found[target][0].models,
+                             vectors.filter("split = 'test'"), classes)
+    return fx.spark.createDataFrame([test])
+
+
+@query("train_temperature")
+def _(fx):
+    return _train_one(fx, "temperature")
+
+
+@query("train_precipitation")
+def _(fx):
+    return _train_one(fx, "precipitation")
+
+
+@query("train_condition")
+def _(fx):
+    return _train_one(fx, "condition")
+
+
+@query("grid_search")
+def _(fx):
+    vectors, _, classes, _ = _vectors(fx)
+    found = training.search(["temperature", "precipitation"], vectors, classes, SMALL_GRID)
+    return training.trials_table(fx.spark, found)
+
+
+@query("batch_forecast")
+def _(fx):
+    bundle, _ = jobs.train(fx.located, SMALL_GRID[:1])
+    asked = fx.requests.select("data_id", F.lower("city").alias("query"), "as_of")
+    answered = jobs.forecast(bundle, fx.located, asked)
+    return answered.select("data_id", "query", "as_of", "city", "reason",
+                           forecast.to_json().alias("forecast"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
