@@ -100,10 +100,16 @@ def evaluate_condition(scored: DataFrame, label: str, probabilities: str,
 def climatology(split_rows: DataFrame, classes: list[str]) -> DataFrame:
     """Naive forecast for every row: the city's wet rate and class shares on the train split.
 
-    Adds ``p_wet`` and ``p_condition`` (in class order). Cities without training rows get null.
+    Adds ``p_wet`` and ``p_condition`` (in class order). A city without training rows gets the
+    rates of all training rows.
     """
     train = split_rows.filter(F.col("split") == "train")
     shares = F.array(*[F.avg((F.col("y_condition") == c).cast("double")) for c in classes])
-    rates = train.groupBy("city").agg(
-        F.avg("y_is_wet").alias("p_wet"), shares.alias("p_condition"))
-    return split_rows.join(rates, "city", "left")
+    rates = [F.avg("y_is_wet").alias("p_wet"), shares.alias("p_condition")]
+    overall = train.agg(F.struct(*rates).alias("overall")).scalar()
+    return (
+        split_rows.join(train.groupBy("city").agg(*rates), "city", "left")
+        .withColumn("__overall", overall)
+        .withColumns({c: F.coalesce(c, f"__overall.{c}") for c in ("p_wet", "p_condition")})
+        .drop("__overall")
+    )

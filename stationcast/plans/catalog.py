@@ -16,6 +16,7 @@ from stationcast.operators import features as ft
 from stationcast.operators import split, training, trailing
 from stationcast.plans import jobs
 from stationcast.plans.fixtures import Fixtures
+from stationcast.schemas import UNKNOWN_CATEGORY, WMO_CATEGORIES
 from stationcast.session import cut_lineage, scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +29,17 @@ def query(name: str):
     return register
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round fractional columns so that summation order does not show."""
+def rounded(df: DataFrame) -> DataFrame:
+    """Round fractional columns to 6 places so that summation order does not show.
+
+    The first step removes noise in the last bits, so that the second sees a tie as a tie.
+    """
+    def six(name: str):
+        scaled = F.round(name, 9) * 1e6
+        return F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / 1e6 + 0.0
+
     return df.select(*[
-        (F.round(f.name, digits) + 0.0).alias(f.name) if isinstance(f.dataType, T.DoubleType)
-        else F.col(f.name)
+        six(f.name).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
         for f in df.schema.fields
     ])
 
@@ -398,9 +405,11 @@ def _split(fx) -> DataFrame:
     return split.split_64_16_20(_supervised(fx))
 
 
+ALL_CLASSES = sorted([*WMO_CATEGORIES, UNKNOWN_CATEGORY])
+
+
 def _climatology(fx) -> tuple[DataFrame, list[str]]:
-    rows = _split(fx)
-    classes = list(split.condition_encoder(rows).labels)
+    rows, classes = _split(fx), ALL_CLASSES
     coded = rows.withColumn("y_condition_code", F.array_position(
         F.array(*map(F.lit, classes)), F.col("y_condition")).cast("int") - 1)
     return metrics.climatology(coded, classes), classes

@@ -250,7 +250,7 @@ ORACLES: dict[str, str] = {
           {rnd('1 - SUM((y_temp_mean_c - roll30) ** 2) / SUM((y_temp_mean_c - m) ** 2)', 'r2')},
           {rnd('AVG(abs(y_temp_mean_c - temp_mean_c))', 'baseline_persistence_mae_c')}
         FROM (SELECT *, AVG(y_temp_mean_c) OVER () AS m FROM split_rows WHERE split = 'test')""",
-    "evaluate_precipitation": f"""
+    "evaluate_precipitation": f'''
         WITH t AS (SELECT y_is_wet AS y, p_wet AS p,
                      rank() OVER (ORDER BY p_wet) + (COUNT(*) OVER (PARTITION BY p_wet) - 1)
                        / 2.0::DOUBLE AS mean_rank
@@ -259,16 +259,19 @@ ORACLES: dict[str, str] = {
                      SUM(1 - y) AS dry FROM t)
         SELECT {rnd('AVG(CASE WHEN (p >= 0.5) = (y = 1) THEN 1.0::DOUBLE ELSE 0 END)', 'accuracy')},
           {rnd('(SELECT (wet_ranks - wet * (wet + 1) / 2) / (wet * dry) FROM u)', 'roc_auc')},
-          {rnd('AVG(-y * ln(p) - (1 - y) * ln(1 - p))', 'log_loss')},
+          {rnd("""AVG(-y * ln(least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16))
+                  - (1 - y) * ln(1 - least(greatest(p, 2.220446049250313e-16),
+                                           1 - 2.220446049250313e-16)))""", 'log_loss')},
           {rnd('AVG((p - y) ** 2)', 'brier')}, {rnd('AVG(y)', 'base_rate')},
           {rnd('greatest(AVG(y), 1 - AVG(y))', 'baseline_majority_accuracy')}
-        FROM t""",
+        FROM t''',
     "evaluate_condition": f"""
         WITH t AS (SELECT y_condition AS y,
                      class_names[list_position(p_condition, list_max(p_condition))] AS guess,
                      p_condition[list_position(class_names, y_condition)] AS p
                    FROM climate WHERE split = 'test'),
-        classes AS (SELECT DISTINCT y_condition AS c FROM supervised),
+        classes AS (SELECT unnest(['Clear', 'Cloudy', 'Drizzle', 'Fog', 'Rain', 'Snow',
+                                   'Thunderstorm', 'Unknown']) AS c),
         f AS (SELECT c, COALESCE(
                 2.0::DOUBLE * (SELECT COUNT(*) FROM t WHERE y = c AND guess = c)
                 / NULLIF((SELECT COUNT(*) FROM t WHERE y = c)

@@ -119,12 +119,30 @@ VIEWS = {
             AS p_thunderstorm,
           AVG(CASE WHEN y_condition = 'Unknown' THEN 1.0::DOUBLE ELSE 0 END) AS p_unknown
         FROM split_rows WHERE split = 'train' GROUP BY city""",
+    "overall": """
+        SELECT AVG(y_is_wet) AS a_wet,
+          AVG(CASE WHEN y_condition = 'Clear' THEN 1.0::DOUBLE ELSE 0 END) AS a_clear,
+          AVG(CASE WHEN y_condition = 'Cloudy' THEN 1.0::DOUBLE ELSE 0 END) AS a_cloudy,
+          AVG(CASE WHEN y_condition = 'Drizzle' THEN 1.0::DOUBLE ELSE 0 END) AS a_drizzle,
+          AVG(CASE WHEN y_condition = 'Fog' THEN 1.0::DOUBLE ELSE 0 END) AS a_fog,
+          AVG(CASE WHEN y_condition = 'Rain' THEN 1.0::DOUBLE ELSE 0 END) AS a_rain,
+          AVG(CASE WHEN y_condition = 'Snow' THEN 1.0::DOUBLE ELSE 0 END) AS a_snow,
+          AVG(CASE WHEN y_condition = 'Thunderstorm' THEN 1.0::DOUBLE ELSE 0 END)
+            AS a_thunderstorm,
+          AVG(CASE WHEN y_condition = 'Unknown' THEN 1.0::DOUBLE ELSE 0 END) AS a_unknown
+        FROM split_rows WHERE split = 'train'""",
     "climate": """
-        SELECT s.*, r.*, [p_clear, p_cloudy, p_drizzle, p_fog, p_rain, p_snow, p_thunderstorm,
-                          p_unknown] AS p_condition,
+        SELECT *, [p_clear, p_cloudy, p_drizzle, p_fog, p_rain, p_snow, p_thunderstorm,
+                   p_unknown] AS p_condition,
           ['Clear', 'Cloudy', 'Drizzle', 'Fog', 'Rain', 'Snow', 'Thunderstorm', 'Unknown']
             AS class_names
-        FROM split_rows s LEFT JOIN rates r ON r.rate_city = s.city""",
+        FROM (SELECT s.*, COALESCE(p_wet, a_wet) AS p_wet, COALESCE(p_clear, a_clear) AS p_clear,
+                COALESCE(p_cloudy, a_cloudy) AS p_cloudy,
+                COALESCE(p_drizzle, a_drizzle) AS p_drizzle, COALESCE(p_fog, a_fog) AS p_fog,
+                COALESCE(p_rain, a_rain) AS p_rain, COALESCE(p_snow, a_snow) AS p_snow,
+                COALESCE(p_thunderstorm, a_thunderstorm) AS p_thunderstorm,
+                COALESCE(p_unknown, a_unknown) AS p_unknown
+              FROM split_rows s CROSS JOIN overall LEFT JOIN rates r ON r.rate_city = s.city)""",
     "ranked": """
         SELECT city, date, string_agg(name, '>' ORDER BY p DESC, i) AS ranking,
           CAST(format('{:.4f}', max(CASE WHEN place = 1 THEN p END)) AS DOUBLE) AS best,
@@ -200,8 +218,8 @@ def with_views(body: str) -> str:
 
 
 def rnd(expression: str, name: str, digits: int = 6) -> str:
-    """Rounded output column without negative zero."""
-    return f"round({expression}, {digits}) + 0.0::DOUBLE AS {name}"
+    """Rounded output column without last-bit noise and negative zero."""
+    return f"round(round({expression}, 9), {digits}) + 0.0::DOUBLE AS {name}"
 
 
 BY_CITY = "PARTITION BY city ORDER BY date"
