@@ -23,11 +23,11 @@ def round_half_even(value: Column, digits: int) -> Column:
     product = value * F.lit(scale)
     error = (high * scale - product) + low * scale
     base = F.floor(product).cast("double")
-    above_half = (product - base) - 0.5
-    up = ((above_half > 0)
-          | ((above_half == 0) & (error > 0))
-          | ((above_half == 0) & (error == 0) & (F.pmod(base, F.lit(2.0)) == 1)))
-    return (F.when(up, base + 1).otherwise(base) / scale) + 0.0
+    # The error is smaller than one step of `product`, so this sum has the sign of the exact value.
+    beyond_half = ((product - base) - 0.5) + error
+    step = (F.when(beyond_half > 0, 1.0).when(beyond_half < 0, 0.0)
+            .otherwise(F.pmod(base, F.lit(2.0))))
+    return (base + step) / scale + 0.0
 
 
 def to_fahrenheit(celsius: Column) -> Column:

@@ -104,11 +104,21 @@ def climatology(split_rows: DataFrame, classes: list[str]) -> DataFrame:
     rates of all training rows.
     """
     train = split_rows.filter(F.col("split") == "train")
-    shares = F.array(*[F.avg((F.col("y_condition") == c).cast("double")) for c in classes])
-    rates = [F.avg("y_is_wet").alias("p_wet"), shares.alias("p_condition")]
-    overall = train.agg(F.struct(*rates).alias("overall")).scalar()
+    hits = {"wet": F.col("y_is_wet"),
+            **{f"c{i}": (F.col("y_condition") == c).cast("double") for i, c in enumerate(classes)}}
+    totals = train.groupBy("city").agg(
+        F.count(F.lit(1)).cast("double").alias("n"), *[F.sum(v).alias(k) for k, v in hits.items()])
+
+    def rates() -> list[Column]:
+        share = {k: F.col(k) / F.col("n") for k in hits}
+        return [share["wet"].alias("p_wet"),
+                F.array(*[share[f"c{i}"] for i in range(len(classes))]).alias("p_condition")]
+
+    # The overall rates add up the per-city totals, so the rows are aggregated once.
+    overall = totals.agg(*[F.sum(k).alias(k) for k in ("n", *hits)]).select(
+        F.struct(*rates()).alias("overall")).scalar()
     return (
-        split_rows.join(train.groupBy("city").agg(*rates), "city", "left")
+        split_rows.join(totals.select("city", *rates()), "city", "left")
         .withColumn("__overall", overall)
         .withColumns({c: F.coalesce(c, f"__overall.{c}") for c in ("p_wet", "p_condition")})
         .drop("__overall")

@@ -23,16 +23,23 @@ def running_totals(df: DataFrame, order: list[str], totals: dict[str, str],
     placed = cut_lineage(
         df.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()))
 
+    # One small row per range: their running totals are added up on the driver.
+    names = list(totals)
+    per_range = placed.groupBy("__range").agg(
+        *[F.sum(column).alias(name) for name, column in totals.items()])
+    offsets, before = [], [0] * len(names)
+    for row in sorted(per_range.collect(), key=lambda r: r["__range"]):
+        offsets.append((row["__range"], *before))
+        before = [so_far + (row[name] or 0) for so_far, name in zip(before, names)]
+    types = {f.name: f.dataType.simpleString() for f in per_range.schema.fields}
+    shifts = spark.createDataFrame(
+        offsets, ", ".join(f"`{c}` {types[c]}" for c in ("__range", *names))
+    ).select("__range", *[F.col(name).alias(f"__o_{name}") for name in names])
+
     inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1)
-    ranges = Window.partitionBy(F.lit(0)).orderBy("__range").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("__range").agg(
-        *[F.sum(column).alias(f"__o_{name}") for name, column in totals.items()]
-    ).select("__range", *[F.coalesce(F.sum(f"__o_{name}").over(ranges), F.lit(0))
-                          .alias(f"__o_{name}") for name in totals])
-    # At most `n` rows, so the broadcast is bounded by the partition count.
-    return placed.join(F.broadcast(offsets), "__range").select(
+    # At most `n` shift rows, so the broadcast is bounded by the partition count.
+    return placed.join(F.broadcast(shifts), "__range").select(
         *df.columns,
         *[(F.coalesce(F.sum(column).over(inside), F.lit(0)) + F.col(f"__o_{name}")).alias(name)
           for name, column in totals.items()],

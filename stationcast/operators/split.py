@@ -21,6 +21,16 @@ def split_hash(seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", "city", F.col("date").cast("string"), F.lit(str(seed))))
 
 
+def require_enough_rows(rows: DataFrame) -> DataFrame:
+    """Return ``rows``, or fail when a split would leave a part empty.
+
+    This runs a job, so call it on stored rows; the split itself stays lazy.
+    """
+    if len(rows.select("city").take(MINIMUM_ROWS)) < MINIMUM_ROWS:
+        raise ValueError(f"cannot split fewer than {MINIMUM_ROWS} rows")
+    return rows
+
+
 def split_64_16_20(rows: DataFrame, seed: int = SEED, exact: bool = False) -> DataFrame:
     """Add ``split``: train, validate or test.
 
@@ -28,8 +38,6 @@ def split_64_16_20(rows: DataFrame, seed: int = SEED, exact: bool = False) -> Da
     on average. ``exact`` finds the bounds that give ceil(20 %) test rows and ceil(20 %) of the
     rest as validation rows.
     """
-    if len(rows.select("city").take(MINIMUM_ROWS)) < MINIMUM_ROWS:
-        raise ValueError(f"cannot split fewer than {MINIMUM_ROWS} rows")
     h = split_hash(seed)
     if exact:
         test_from, validate_from = _exact_bounds(rows.select(h.alias("h")))

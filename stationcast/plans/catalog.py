@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stationcast import sources
+from stationcast import sources, streaming
 from stationcast.operators import export, forecast, load, lookup, metrics, quality, rollup
 from stationcast.operators import features as ft
 from stationcast.operators import split, training, trailing
@@ -35,7 +35,7 @@ def rounded(df: DataFrame) -> DataFrame:
     The first step removes noise in the last bits, so that the second sees a tie as a tie.
     """
     def six(name: str):
-        scaled = F.round(name, 9) * 1e6
+        scaled = F.rint(F.col(name) * 1e9) / 1e9 * 1e6
         return F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / 1e6 + 0.0
 
     return df.select(*[
@@ -503,6 +503,18 @@ def _(fx):
         F.array_join(F.map_keys("d.condition.probabilities"), ">").alias("ranking"), "config"))
 
 
+# --- streaming ----------------------------------------------------------------------------------
+
+@query("streaming_daily_rollup")
+def _(fx):
+    base = scratch_path(fx.spark, "stream")
+    fx.wx_data.withColumn("dtg", F.col("dtg").cast("timestamp")).write.parquet(f"{base}/in")
+    days = streaming.stream_daily_rollup(
+        streaming.read_readings(fx.spark, f"{base}/in"), fx.cities)
+    streaming.run_available(days, f"{base}/out", f"{base}/state")
+    return rounded(fx.spark.read.parquet(f"{base}/out"))
+
+
 # --- training (rows-only checks) ----------------------------------------------------------------
 
 SMALL_GRID = (

@@ -12,7 +12,7 @@ from stationcast.operators import load, training
 from stationcast.operators.forecast import forecast_documents
 from stationcast.operators.lookup import match_city, requests_to_features
 from stationcast.operators.rollup import first_coordinates
-from stationcast.operators.split import condition_encoder, split_64_16_20
+from stationcast.operators.split import condition_encoder, require_enough_rows, split_64_16_20
 from stationcast.schemas import CANDIDATES, PATIENCE, TARGET_CONDITION
 from stationcast.session import cut_lineage
 from stationcast.sources import scan_star_schema, write_star_schema
@@ -21,10 +21,13 @@ SPLIT_NAME = "hash 64/16/20 by city and date"
 
 
 def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, exact: bool = False):
-    """Labelled feature rows with class index and split; returns (rows, feature names, classes)."""
-    rows = ft.labelled(ft.build_features(days, vocabulary))
+    """Labelled feature rows with class index and split; returns (rows, feature names, classes).
+
+    The rows are stored once: encoding, splitting and assembling all read them again.
+    """
+    rows = cut_lineage(ft.labelled(ft.build_features(days, vocabulary)))
     names = ft.feature_names(rows)
-    encoder = condition_encoder(rows)
+    encoder = condition_encoder(require_enough_rows(rows))
     coded = encoder.transform(rows).withColumn(
         TARGET_CONDITION, F.col(TARGET_CONDITION).cast("int"))
     return split_64_16_20(coded, exact=exact), names, list(encoder.labels)
@@ -41,8 +44,9 @@ def assembled(rows: DataFrame, names: list[str]):
 def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: str = "csv",
           exact_split: bool = False, parallel: int = 8):
     """Search all targets, keep the best model of each; returns (bundle, trials)."""
+    days = cut_lineage(days)
     vocabulary = ft.city_vocabulary(days)
-    rows, names, classes = supervised_rows(cut_lineage(days), vocabulary, exact_split)
+    rows, names, classes = supervised_rows(days, vocabulary, exact_split)
     assembler, vectors = assembled(rows, names)
     found = training.search(["temperature", "precipitation", "condition"], vectors, classes,
                             grid, patience, parallel)

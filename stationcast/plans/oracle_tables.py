@@ -224,6 +224,10 @@ ORACLES: dict[str, str] = {
     "serving_features": "SELECT * EXCLUDE (y_temp_mean_c, y_precip_mm, y_is_wet, y_condition) "
                         f"FROM ({pick(FEATURE_SQL, 'lab')}) WHERE date = DATE '2000-06-30' "
                         "AND temp_mean_c_roll30_mean IS NOT NULL",
+    # streaming: days that ended at least two days before the newest reading
+    "streaming_daily_rollup": pick(
+        DAY_SQL, "fx_obs WHERE date + INTERVAL 1 DAY <= "
+                 "(SELECT MAX(dtg) - INTERVAL 2 DAYS FROM fx_wx_data)"),
     # split, baselines, scores
     "split_64_16_20": "SELECT city, date, split FROM split_rows",
     "split_exact": """
