@@ -85,11 +85,11 @@ def load_reference(places: DataFrame, states: DataFrame, divisions: DataFrame,
     if natural_key not in ("reference", "composite"):
         raise ValueError("natural_key is 'reference' or 'composite'")
     composite = natural_key == "composite"
-    coded = require_iso3(places).select(
+    coded = cut_lineage(require_iso3(places).select(
         F.substring("city", 1, LONG_NAME).alias("city_name"),
         "city", "country", "state_abbr",
         F.substring(F.coalesce(F.nullif("admin1", F.lit("")), F.nullif("country", F.lit("")),
-                               F.col("city")), 1, LONG_NAME).alias("div1_name"))
+                               F.col("city")), 1, LONG_NAME).alias("div1_name")))
 
     states = get_or_create(
         states,

@@ -96,16 +96,18 @@ def ingest(spark: SparkSession, obs: DataFrame, places: DataFrame, path: str,
            replace: bool = False, natural_key: str = "reference") -> tuple[int, int]:
     """Load city-days into the star schema at ``path``; returns (inserted, skipped).
 
-    The location tables are extended first, then codes, then facts. The dimensions are read,
-    extended and stored before their old files are replaced.
+    The batch is stored once, since every step reads it. The location tables are extended first,
+    then codes, then facts; the extended dimensions are stored before their old files go.
     """
-    days = load.normalize(obs)
-    codes = load.require_code_texts(days.select(F.col("wmo_code").cast("int").cast("string")
-                                                .alias("wmo_code")))
+    days = cut_lineage(load.normalize(obs))
+    codes = load.require_code_texts(
+        days.select(F.col("wmo_code").cast("int").cast("string").alias("wmo_code")))
     tables = scan_star_schema(spark, path)
-    named = places.join(days.select("city").distinct(), "city", "left_semi")
-    missing = days.select("city").distinct().join(places, "city", "left_anti")
-    unplaced = [r.city for r in missing.orderBy("city").take(20)]
+    cities = days.select("city").distinct()
+    named = cut_lineage(cities.join(places, "city", "left").select(
+        "city", F.col("country_code").isNotNull().alias("known"), "country", "country_code",
+        "admin1"))
+    unplaced = [r.city for r in named.filter("NOT known").orderBy("city").take(20)]
     if unplaced:
         raise ValueError(f"no geocoding entry for {', '.join(map(repr, unplaced))}")
     grown = load.load_reference(named, tables["states"], tables["admin_div_1"],
