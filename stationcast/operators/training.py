@@ -44,17 +44,17 @@ FIRST_BUDGET = 64
 # --- feature matrix -----------------------------------------------------------------------------
 
 def fit_assembler(rows: DataFrame, names: list[str]) -> PipelineModel:
-    """Fit the step from feature columns to a vector.
+    """Fit the step from feature columns to a vector on training rows.
 
     MLlib trees do not route missing values, so every column that can be null is filled with its
-    median, and columns that are null somewhere in ``rows`` also get a 0/1 missing flag.
+    median, and columns that are null somewhere in ``rows`` also get a 0/1 missing flag. A column
+    without any value says nothing and is left out.
     """
     nullable = [c for c in names if not c.startswith(ALWAYS_PRESENT)]
     counts = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in nullable]
                       ).first().asDict()
-    empty = [c for c in nullable if counts[c] == 0]
-    if empty:
-        raise ValueError(f"feature columns without any value: {', '.join(empty)}")
+    names = [c for c in names if counts.get(c) != 0]
+    nullable = [c for c in nullable if counts[c] != 0]
     flagged = [c for c in nullable if counts[c] < counts["rows"]]
     flags = "".join(f", CAST(`{c}` IS NULL AS DOUBLE) AS `{c}_missing`" for c in flagged)
     filled = {c: f"{c}_filled" for c in nullable}

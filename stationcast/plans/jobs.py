@@ -35,7 +35,7 @@ def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, exact: b
 
 def assembled(rows: DataFrame, names: list[str]):
     """Vectors for training, stored once: every fit reads them from the shared folder."""
-    assembler = training.fit_assembler(rows, names)
+    assembler = training.fit_assembler(rows.filter("split = 'train'"), names)
     kept = ["city", "date", "split", "features", "temp_mean_c", "y_temp_mean_c", "y_is_wet",
             TARGET_CONDITION]
     return assembler, cut_lineage(assembler.transform(rows).select(*kept))
