@@ -26,7 +26,10 @@ def denormalised(readings: DataFrame, cities: DataFrame, divisions: DataFrame,
         "city_id", "city_name", F.col("div1_name").alias("admin_region"),
         F.col("state_name_short").alias("state_country"), "state_abbr")
     texts = codes.select("wmo_code", F.col("wmo_text").alias("weather_condition"))
-    rows = readings.join(places, "city_id").join(texts, "wmo_code", "left").select(
+    rows = readings.join(places, "city_id").join(texts, "wmo_code", "left")
+    if newest_first:
+        # The key as second order lets Spark cut one busy timestamp into several ranges.
+        rows = rows.orderBy(F.col("dtg").desc(), F.col("data_id").desc())
+    return rows.select(
         "dtg", "city_name", "admin_region", "state_country", "state_abbr", "temp_c", "humidity",
         "precip_chance", "precip_mm", "weather_condition")
-    return rows.orderBy(F.col("dtg").desc()) if newest_first else rows

@@ -140,6 +140,12 @@ def drop_warmup(features: DataFrame) -> DataFrame:
     return features.filter(F.col(WARMUP_COLUMN).isNotNull())
 
 
+def servable_cities(days: DataFrame) -> DataFrame:
+    """Cities with at least one servable day, from the temperature column alone."""
+    full = F.count("temp_mean_c").over(rows_back(max(WINDOWS))) == max(WINDOWS)
+    return days.select("city", full.alias("full")).filter("full").select("city").distinct()
+
+
 def labelled(features: DataFrame) -> DataFrame:
     return features.dropna(subset=[TARGET_TEMP, TARGET_WET, "y_condition"])
 

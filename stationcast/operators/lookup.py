@@ -12,7 +12,8 @@ def attach_coordinates(days: DataFrame, coordinates: DataFrame, strict: bool = T
     """Add latitude and longitude by folded city name, as second and third column.
 
     ``coordinates`` has one row per ``slug`` (see ``sources.scan_geocode_map``). Names are folded
-    once per distinct city. A city without coordinates is an error unless ``strict`` is off.
+    once per distinct city. A city without coordinates is an error unless ``strict`` is off; the
+    check is a job of its own, so pass stored rows when the days are costly to compute.
     """
     names = days.select("city").distinct().withColumn("slug", slug("city"))
     located = names.join(coordinates.select("slug", "latitude", "longitude"), "slug", "left")

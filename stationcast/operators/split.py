@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.schemas import SEED, TARGET_CONDITION
+from stationcast.session import cut_lineage
 
 # First eight hex digits of the hash at which the last 20 % and the 16 % before them begin.
 TEST_FROM = "cccccccc"
@@ -40,7 +41,7 @@ def split_64_16_20(rows: DataFrame, seed: int = SEED, exact: bool = False) -> Da
     """
     h = split_hash(seed)
     if exact:
-        test_from, validate_from = _exact_bounds(rows.select(h.alias("h")))
+        test_from, validate_from = _exact_bounds(cut_lineage(rows.select(h.alias("h"))))
     else:
         test_from, validate_from, h = TEST_FROM, VALIDATE_FROM, F.substring(h, 1, 8)
     label = F.when(h >= test_from, "test").when(h >= validate_from, "validate").otherwise("train")
@@ -48,7 +49,7 @@ def split_64_16_20(rows: DataFrame, seed: int = SEED, exact: bool = False) -> Da
 
 
 def _exact_bounds(hashes: DataFrame) -> tuple[str, str]:
-    """The hash values from which test and validation rows begin.
+    """The hash values from which test and validation rows begin; ``hashes`` are stored rows.
 
     Rows are counted per four-digit hash prefix (65,536 counts at most, evenly filled because md5
     is); only the two prefixes that contain a bound are then looked into.

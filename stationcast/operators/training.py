@@ -148,16 +148,12 @@ def fit_rounds(make: Callable[[dict, int, str], object], candidate: dict, train:
     return Fit(model, best, best + 1 >= budget, curve)
 
 
-def fit_one_vs_rest(candidate: dict, train: DataFrame, validate: DataFrame, classes: int,
-                    patience: int = PATIENCE) -> list[Fit]:
-    """One boosted yes/no model per class; MLlib boosting knows two classes only."""
-    fits = []
-    for index in range(classes):
-        label = f"__is_{index}"
-        hit = (F.col(TARGET_CONDITION) == index).cast("double")
-        fits.append(fit_rounds(classifier, candidate, train.withColumn(label, hit),
-                               validate.withColumn(label, hit), label, patience))
-    return fits
+def fit_class(candidate: dict, train: DataFrame, validate: DataFrame, index: int,
+              patience: int = PATIENCE) -> Fit:
+    """A boosted yes/no model of one condition class; MLlib boosting knows two classes only."""
+    hit = (F.col(TARGET_CONDITION) == index).cast("double")
+    return fit_rounds(classifier, candidate, train.withColumn("is_class", hit),
+                      validate.withColumn("is_class", hit), "is_class", patience)
 
 
 # --- scoring ------------------------------------------------------------------------------------
@@ -213,21 +209,26 @@ class Trial:
     curve: list[tuple[int, float]]
 
 
-def run_trial(target: str, candidate: dict, position: int, train: DataFrame,
-              validate: DataFrame, classes: list[str], patience: int = PATIENCE) -> Trial:
+def _fit(target: str, candidate: dict, index: int, train: DataFrame, validate: DataFrame,
+         patience: int) -> tuple[Fit, float]:
     started = perf_counter()
     if target == "temperature":
-        fits = [fit_rounds(regressor, candidate, train, validate, TARGET_TEMP, patience)]
+        fit = fit_rounds(regressor, candidate, train, validate, TARGET_TEMP, patience)
     elif target == "precipitation":
-        fits = [fit_rounds(classifier, candidate, train, validate, TARGET_WET, patience)]
+        fit = fit_rounds(classifier, candidate, train, validate, TARGET_WET, patience)
     else:
-        fits = fit_one_vs_rest(candidate, train, validate, len(classes), patience)
-    models = [fit.model for fit in fits]
+        fit = fit_class(candidate, train, validate, index, patience)
+    return fit, perf_counter() - started
+
+
+def _trial(target: str, candidate: dict, position: int, fits: list[tuple[Fit, float]],
+           validate: DataFrame, classes: list[str]) -> Trial:
+    models = [fit.model for fit, _ in fits]
     scores = evaluate(target, models, validate, classes)
-    longest = max(fits, key=lambda fit: fit.best)
+    longest = max((fit for fit, _ in fits), key=lambda fit: fit.best)
     return Trial(target, candidate, position, models, longest.best,
-                 any(fit.capped for fit in fits), scores,
-                 scores[SELECTION_METRIC[target]], perf_counter() - started,
+                 any(fit.capped for fit, _ in fits), scores, scores[SELECTION_METRIC[target]],
+                 sum(seconds for _, seconds in fits),
                  learning_curve(longest.curve, longest.best))
 
 
@@ -235,23 +236,32 @@ def search(targets: list[str], rows: DataFrame, classes: list[str], grid=CANDIDA
            patience: int = PATIENCE, parallel: int = 8) -> dict[str, list[Trial]]:
     """Fit every candidate for every target and return the trials, best first.
 
-    Fits are independent Spark jobs submitted from a few driver threads; with the FAIR scheduler
-    they share the executors.
+    Fits are independent Spark jobs submitted from a few driver threads, the deepest first; with
+    the FAIR scheduler they share the executors. A condition candidate is one fit per class.
     """
-    shared_dir(rows.sparkSession)
+    spark = rows.sparkSession
+    shared_dir(spark)
     train = rows.filter("split = 'train'").persist()
     validate = rows.filter("split = 'validate'").persist()
-    jobs = [(t, c, i) for t in targets for i, c in enumerate(grid)]
+    trials = [(t, c, i) for t in targets for i, c in enumerate(grid)]
+    units = [(t, c, i, k) for t, c, i in trials
+             for k in range(len(classes) if t == "condition" else 1)]
+    units.sort(key=lambda u: -u[1]["max_depth"])
 
-    def run(job):
-        target, candidate, position = job
-        return run_trial(target, candidate, position, train, validate, classes, patience)
+    def submit(pool, run, *args):
+        return pool.submit(inheritable_thread_target(spark)(run), *args)
 
     try:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            futures = [pool.submit(inheritable_thread_target(rows.sparkSession)(run), job)
-                       for job in jobs]
-            done = [future.result() for future in futures]
+            running = {(t, i, k): submit(pool, _fit, t, c, k, train, validate, patience)
+                       for t, c, i, k in units}
+            fits = {key: future.result() for key, future in running.items()}
+            scored = [
+                submit(pool, _trial, t, c, i,
+                       [fits[key] for key in sorted(fits) if key[:2] == (t, i)],
+                       validate, classes)
+                for t, c, i in trials]
+            done = [future.result() for future in scored]
     finally:
         train.unpersist()
         validate.unpersist()

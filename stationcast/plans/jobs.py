@@ -72,14 +72,16 @@ def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: st
 
 
 def forecast(bundle: training.Bundle, days: DataFrame, requests: DataFrame) -> DataFrame:
-    """Forecast every request (query, as_of) in one job.
+    """Forecast every request (query, as_of) at once; features are built for asked cities only.
 
     Returns the request columns with ``city``, ``reason`` (why a request was refused) and the
     nested ``forecast`` (null when refused).
     """
-    features = ft.build_features(days, bundle.vocabulary)
-    resolved = match_city(requests, days.select("city").distinct())
-    joined = requests_to_features(resolved, features)
+    resolved = match_city(requests, ft.servable_cities(days))
+    asked = days.join(resolved.select("city").dropna().distinct(), "city", "left_semi")
+    features = ft.build_features(asked, bundle.vocabulary)
+    # Stored, because answered and refused requests take different ways from here.
+    joined = cut_lineage(requests_to_features(resolved, features))
     ok = joined.filter("reason IS NULL")
     info = {"bundle_version": bundle.version, "trained_at": bundle.trained_at,
             "split": bundle.split,

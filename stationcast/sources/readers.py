@@ -17,6 +17,7 @@ from stationcast.schemas import (
     OBS_SCHEMA,
     STAR_SCHEMAS,
 )
+from stationcast.session import cut_lineage
 
 SOURCES = ("csv", "db")
 
@@ -72,7 +73,8 @@ def load_observations(spark: SparkSession, source: str, path: str,
     if coordinates is None:
         raise ValueError("the star schema stores no coordinates: pass them")
     tables = scan_star_schema(spark, path)
-    days = daily_rollup(tables["wx_data"], tables["cities"], tz, min_obs)
+    # The readings are scanned once: the checks below and the caller read the stored city-days.
+    days = cut_lineage(daily_rollup(tables["wx_data"], tables["cities"], tz, min_obs))
     if days.isEmpty():
         raise ValueError(f"no observations in {path}")
     return normalize(attach_coordinates(require_unique_names(days), coordinates), origin=path)
