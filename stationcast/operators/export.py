@@ -19,14 +19,18 @@ def denormalised(readings: DataFrame, cities: DataFrame, divisions: DataFrame,
                  states: DataFrame, codes: DataFrame, newest_first: bool = True) -> DataFrame:
     """Readings with their place names and weather text, newest first.
 
-    The location tables are joined with each other before the facts, so facts meet one place table
-    and one code table; Spark broadcasts either when its measured size allows.
+    The location tables are joined one by one: each has a known size of its own, by which Spark
+    decides to broadcast it, while the size of a join of them would only be guessed.
     """
-    places = cities.join(divisions, "div1_id").join(states, "state_id").select(
-        "city_id", "city_name", F.col("div1_name").alias("admin_region"),
-        F.col("state_name_short").alias("state_country"), "state_abbr")
-    texts = codes.select("wmo_code", F.col("wmo_text").alias("weather_condition"))
-    rows = readings.join(places, "city_id").join(texts, "wmo_code", "left")
+    rows = (
+        readings.join(cities.select("city_id", "city_name", "div1_id"), "city_id")
+        .join(divisions.select("div1_id", F.col("div1_name").alias("admin_region"), "state_id"),
+              "div1_id")
+        .join(states.select("state_id", F.col("state_name_short").alias("state_country"),
+                            "state_abbr"), "state_id")
+        .join(codes.select("wmo_code", F.col("wmo_text").alias("weather_condition")),
+              "wmo_code", "left")
+    )
     if newest_first:
         # The key as second order lets Spark cut one busy timestamp into several ranges.
         rows = rows.orderBy(F.col("dtg").desc(), F.col("data_id").desc())

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from stationcast.functions.numbers import round_half_even
 from stationcast.operators.ordering import dense_numbers
 from stationcast.schemas import ISO3, LONG_NAME, REQUIRED_OBS, SHORT_NAME, WMO_TEXT
-from stationcast.session import cut_lineage
+from stationcast.session import cut_lineage, fixed_table
 
 
 def normalize(obs: DataFrame, ingest_order: str | None = None,
@@ -115,13 +115,10 @@ def load_reference(places: DataFrame, states: DataFrame, divisions: DataFrame,
     }
 
 
-def _literal_rows(df: DataFrame, rows: dict, schema: str) -> DataFrame:
-    return df.sparkSession.createDataFrame(list(rows.items()), schema)
-
-
 def iso3_lookup(places: DataFrame) -> DataFrame:
     """Add ``state_abbr``, null where the two-letter code is not known."""
-    table = _literal_rows(places, ISO3, "country_code STRING, state_abbr STRING")
+    table = fixed_table(places.sparkSession, "country_code STRING, state_abbr STRING",
+                        list(ISO3.items()))
     return places.join(F.broadcast(table), "country_code", "left")
 
 
@@ -136,8 +133,8 @@ def require_iso3(places: DataFrame) -> DataFrame:
 
 def code_texts(codes: DataFrame) -> DataFrame:
     """Distinct WMO codes with their text; the text is null for codes that are not known."""
-    table = _literal_rows(codes, {str(k): v for k, v in WMO_TEXT.items()},
-                          "wmo_code STRING, wmo_text STRING")
+    table = fixed_table(codes.sparkSession, "wmo_code STRING, wmo_text STRING",
+                        [(str(code), text) for code, text in WMO_TEXT.items()])
     used = codes.select(
         F.nullif(F.trim("wmo_code"), F.lit("")).alias("wmo_code")).dropna().distinct()
     return used.join(F.broadcast(table), "wmo_code", "left").withColumn(

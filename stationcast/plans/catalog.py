@@ -243,6 +243,18 @@ def _(fx):
     return _plain_decimals(fx.spark.read.schema(rows.schema).json(path))
 
 
+@query("export_train_csv")
+def _(fx):
+    path = scratch_path(fx.spark, "train-csv")
+    jobs.export_train_csv(_split(fx), path)
+    back = fx.spark.read.option("header", True).csv(path)
+    return rounded(back.select(
+        "city", F.to_date("date").alias("date"),
+        *[F.col(c).cast("double").alias(c) for c in (
+            "temp_mean_c", "temp_mean_c_roll30_mean", "y_temp_mean_c", "y_is_wet")],
+        "y_condition"))
+
+
 @query("trailing_years_filter")
 def _(fx):
     return rounded(sources.trailing_years_filter(fx.obs, years=2, end=date(2000, 2, 29)))
@@ -285,6 +297,12 @@ def _(fx):
     return _plain_decimals(load.outside_replace_scope(fx.wx_data, batch))
 
 
+@query("stored_as_dry")
+def _(fx):
+    tenths = fx.obs.withColumn("precip_mm", F.col("precip_mm") / 10)
+    return load.rounded_to_dry(tenths)
+
+
 @query("dimension_get_or_create")
 def _(fx):
     grown = load.load_reference(fx.place_batch, fx.loaded_places["states"],
@@ -412,7 +430,11 @@ def _climatology(fx) -> tuple[DataFrame, list[str]]:
     rows, classes = _split(fx), ALL_CLASSES
     coded = rows.withColumn("y_condition_code", F.array_position(
         F.array(*map(F.lit, classes)), F.col("y_condition")).cast("int") - 1)
-    return metrics.climatology(coded, classes), classes
+    # Stored once: the rates and the rows they are joined to both read it.
+    stored = cut_lineage(coded.select(
+        "city", "date", "latitude", "longitude", "temp_mean_c", "temp_max_c", "temp_min_c",
+        "precip_mm", "condition", "y_is_wet", "y_condition", "y_condition_code", "split"))
+    return metrics.climatology(stored, classes), classes
 
 
 @query("split_64_16_20")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from stationcast.functions.names import slug
 from stationcast.operators.rollup import daily_rollup
 from stationcast.schemas import WMO_TEXT
+from stationcast.session import fixed_table
 
 CODE_CYCLE = ("0,1,2,3,45,48,51,53,55,56,57,61,63,65,66,67,71,73,75,77,80,81,82,85,86,95,96,99,7"
               ).split(",")
@@ -66,15 +67,15 @@ class Fixtures:
 
     @cached_property
     def states(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(0, "Evenland", "Evenland", "EVN"), (1, "Oddland", "Oddland", "ODD")],
-            "state_id INT, state_name_long STRING, state_name_short STRING, state_abbr STRING")
+        return fixed_table(
+            self.spark,
+            "state_id INT, state_name_long STRING, state_name_short STRING, state_abbr STRING",
+            [(0, "Evenland", "Evenland", "EVN"), (1, "Oddland", "Oddland", "ODD")])
 
     @cached_property
     def wmo_codes(self) -> DataFrame:
-        return self.spark.createDataFrame(
-            [(str(code), text) for code, text in WMO_TEXT.items()],
-            "wmo_code STRING, wmo_text STRING")
+        return fixed_table(self.spark, "wmo_code STRING, wmo_text STRING",
+                           [(str(code), text) for code, text in WMO_TEXT.items()])
 
     @cached_property
     def coordinates(self) -> DataFrame:
@@ -167,11 +168,12 @@ class Fixtures:
         cities = self.table("supplier").filter("s_acctbal < 0").select(
             (F.col("s_suppkey") + 1).cast("int").alias("city_id"),
             F.col("s_name").alias("city_name"), F.lit(1).alias("div1_id"))
-        divisions = self.spark.createDataFrame(
-            [(1, "Division 1", 1)], "div1_id INT, div1_name STRING, state_id INT")
-        states = self.spark.createDataFrame(
-            [(1, "Country US", "Country US", "USA")],
-            "state_id INT, state_name_long STRING, state_name_short STRING, state_abbr STRING")
+        divisions = fixed_table(
+            self.spark, "div1_id INT, div1_name STRING, state_id INT", [(1, "Division 1", 1)])
+        states = fixed_table(
+            self.spark,
+            "state_id INT, state_name_long STRING, state_name_short STRING, state_abbr STRING",
+            [(1, "Country US", "Country US", "USA")])
         return {"states": states, "admin_div_1": divisions, "cities": cities}
 
     @cached_property

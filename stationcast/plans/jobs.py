@@ -15,7 +15,7 @@ from stationcast.operators.rollup import first_coordinates
 from stationcast.operators.split import condition_encoder, require_enough_rows, split_64_16_20
 from stationcast.schemas import CANDIDATES, PATIENCE, TARGET_CONDITION
 from stationcast.session import cut_lineage
-from stationcast.sources import scan_star_schema, write_star_schema
+from stationcast.sources import export_csv, scan_star_schema, write_star_schema
 
 SPLIT_NAME = "hash 64/16/20 by city and date"
 
@@ -71,6 +71,11 @@ def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: st
     return bundle, found
 
 
+def export_train_csv(split_rows: DataFrame, path: str) -> None:
+    """The train split as CSV."""
+    export_csv(split_rows.filter("split = 'train'").drop("split"), path)
+
+
 def forecast(bundle: training.Bundle, days: DataFrame, requests: DataFrame) -> DataFrame:
     """Forecast every request (query, as_of) at once; features are built for asked cities only.
 

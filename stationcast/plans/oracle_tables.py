@@ -67,6 +67,10 @@ ORACLES: dict[str, str] = {
     "export_denormalised": "SELECT * FROM exported",
     "export_csv": "SELECT * FROM exported",
     "export_json": "SELECT * FROM exported",
+    "export_train_csv": pick(
+        ["city", "date", rnd("temp_mean_c", "temp_mean_c"),
+         rnd("roll30", "temp_mean_c_roll30_mean"), rnd("y_temp_mean_c", "y_temp_mean_c"),
+         "y_is_wet", "y_condition"], "split_rows WHERE split = 'train'"),
     "trailing_years_filter": pick(
         DAY_SQL, "fx_obs WHERE date BETWEEN DATE '1998-02-28' AND DATE '2000-02-29'"),
     "recent_since_cutoff":
@@ -100,6 +104,9 @@ ORACLES: dict[str, str] = {
         SELECT {FACT_SQL} FROM fx_wx_data
         WHERE NOT (city_id IN (SELECT city_id FROM batch)
                    AND dtg BETWEEN (SELECT MIN(dtg) FROM batch) AND (SELECT MAX(dtg) FROM batch))""",
+    "stored_as_dry": """
+        SELECT COUNT(*) FILTER (WHERE precip_mm > 0 AND precip_mm / 10 < 0.5) AS stored_as_dry
+        FROM fx_obs""",
     "dimension_get_or_create": """
         SELECT CAST(city_id AS INT) AS city_id, city_name, CAST(div1_id AS INT) AS div1_id,
           div1_name, CAST(state_id AS INT) AS state_id, state_abbr, state_name_short

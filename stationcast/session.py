@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -60,3 +61,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later jobs read stored rows, also after losing executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def fixed_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
+    """A small fixed table. Spark knows its size, unlike that of rows parallelised from Python."""
+    names = [column.split()[0] for column in schema.split(", ")]
+    columns = [list(values) for values in zip(*rows)]
+    table = spark.createDataFrame(pa.table(dict(zip(names, columns))))
+    return table.selectExpr(*[
+        f"CAST({column.split()[0]} AS {column.split()[1]}) AS {column.split()[0]}"
+        for column in schema.split(", ")])
