@@ -126,6 +126,11 @@ def test_geocode_map(spark):
     assert sources.extract_places(df).count() == 4
 
 
+def test_jdbc_schema_name_is_checked(spark):
+    with pytest.raises(ValueError, match="identifier"):
+        sources.scan_star_schema_jdbc(spark, "jdbc:x", "bad; name", 4, (1, 10))
+
+
 def test_trailing_years():
     assert sources.trailing_years(5, date(2024, 12, 31)) == (date(2019, 12, 31), date(2024, 12, 31))
     assert sources.trailing_years(1, date(2024, 2, 29))[0] == date(2023, 2, 28)
