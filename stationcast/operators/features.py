@@ -8,6 +8,7 @@ the record does not break a lag or a rolling window, only a label.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,13 +161,13 @@ def record_gaps(days: DataFrame) -> DataFrame:
     )
 
 
-def city_vocabulary(days: DataFrame, limit: int = DENSE_CITY_LIMIT) -> dict[str, str]:
-    """Sorted cities and their column names. Too many cities for columns is an error:
-    use :func:`city_vector`, which has no such bound."""
+def city_vocabulary(days: DataFrame, limit: int = DENSE_CITY_LIMIT) -> dict[str, str] | None:
+    """Sorted cities and their column names; None when there are more than ``limit``, for which
+    :func:`city_vector` is the way."""
     names = days.select("city").distinct()
-    rows = names.select("city", slug("city").alias("slug")).limit(limit + 1).collect()
+    rows = names.limit(limit + 1).select("city", slug("city").alias("slug")).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} cities: encode them with city_vector instead")
+        return None
     return {row.city: f"city_{row.slug}" for row in sorted(rows, key=lambda row: row.city)}
 
 
@@ -176,12 +177,20 @@ def city_flags(vocabulary: dict[str, str]) -> dict[str, Column]:
     return {name: (F.col("city") == city).cast("double") for city, name in vocabulary.items()}
 
 
+def city_encoder(output: str) -> list:
+    """Stages for a sparse one-hot vector over the alphabetical city list; cities that were not
+    there when it was fitted share the last position."""
+    return [
+        StringIndexer(inputCol="city", outputCol="city_index", handleInvalid="keep",
+                      stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCol="city_index", outputCol=output, dropLast=False),
+    ]
+
+
 def city_vector(days: DataFrame, output: str = "city_vec") -> DataFrame:
-    """Sparse one-hot vector over the alphabetical city list, for any number of cities."""
-    indexed = StringIndexer(inputCol="city", outputCol="__city_index", handleInvalid="keep",
-                            stringOrderType="alphabetAsc").fit(days).transform(days)
-    encoder = OneHotEncoder(inputCol="__city_index", outputCol=output, dropLast=False)
-    return encoder.fit(indexed).transform(indexed).drop("__city_index")
+    """Add the sparse one-hot vector of the city, for any number of cities."""
+    encoder = Pipeline(stages=city_encoder(output)).fit(days)
+    return encoder.transform(days).drop("city_index")
 
 
 def feature_names(features: DataFrame) -> list[str]:

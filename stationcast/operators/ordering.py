@@ -27,14 +27,16 @@ def running_totals(df: DataFrame, order: list[str], totals: dict[str, str],
     names = list(totals)
     per_range = placed.groupBy("__range").agg(
         *[F.sum(column).alias(name) for name, column in totals.items()])
-    offsets, before = [], [0] * len(names)
+    offsets, before = [], dict.fromkeys(names)
     for row in sorted(per_range.collect(), key=lambda r: r["__range"]):
-        offsets.append((row["__range"], *before))
-        before = [so_far + (row[name] or 0) for so_far, name in zip(before, names)]
+        offsets.append((row["__range"], *before.values()))
+        for name in names:
+            if row[name] is not None:
+                before[name] = row[name] if before[name] is None else before[name] + row[name]
     types = {f.name: f.dataType.simpleString() for f in per_range.schema.fields}
     shifts = spark.createDataFrame(
         offsets, ", ".join(f"`{c}` {types[c]}" for c in ("__range", *names))
-    ).select("__range", *[F.col(name).alias(f"__o_{name}") for name in names])
+    ).select("__range", *[F.coalesce(name, F.lit(0)).alias(f"__o_{name}") for name in names])
 
     inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.operators import metrics
+from stationcast.operators.features import city_encoder
 from stationcast.schemas import (
     BUNDLE_VERSION,
     CANDIDATES,
@@ -43,12 +44,13 @@ FIRST_BUDGET = 64
 
 # --- feature matrix -----------------------------------------------------------------------------
 
-def fit_assembler(rows: DataFrame, names: list[str]) -> PipelineModel:
+def fit_assembler(rows: DataFrame, names: list[str], city_vector: bool = False) -> PipelineModel:
     """Fit the step from feature columns to a vector on training rows.
 
     MLlib trees do not route missing values, so every column that can be null is filled with its
     median, and columns that are null somewhere in ``rows`` also get a 0/1 missing flag. A column
-    without any value says nothing and is left out.
+    without any value says nothing and is left out. ``city_vector`` appends a sparse one-hot of
+    the city, for when there are too many cities for columns.
     """
     nullable = [c for c in names if not c.startswith(ALWAYS_PRESENT)]
     counts = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in nullable]
@@ -59,16 +61,34 @@ def fit_assembler(rows: DataFrame, names: list[str]) -> PipelineModel:
     flags = "".join(f", CAST(`{c}` IS NULL AS DOUBLE) AS `{c}_missing`" for c in flagged)
     filled = {c: f"{c}_filled" for c in nullable}
     inputs = [filled.get(c, c) for c in names] + [f"{c}_missing" for c in flagged]
-    return Pipeline(stages=[
+    stages = [
         SQLTransformer(statement=f"SELECT *{flags} FROM __THIS__"),
         Imputer(strategy="median", inputCols=nullable, outputCols=list(filled.values())),
-        VectorAssembler(inputCols=inputs, outputCol="features"),
-    ]).fit(rows)
+    ]
+    if city_vector:
+        stages += city_encoder("city_vec")
+        inputs = [*inputs, "city_vec"]
+    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
+    return Pipeline(stages=stages).fit(rows)
 
 
 def vector_names(assembler: PipelineModel) -> list[str]:
     """What each vector position holds, in terms of the feature columns."""
-    return [c.removesuffix("_filled") for c in assembler.stages[-1].getInputCols()]
+    names = []
+    for column in assembler.stages[-1].getInputCols():
+        if column == "city_vec":
+            labels = assembler.stages[2].labels
+            size = assembler.stages[3].categorySizes[0]
+            names += [f"city={label}" for label in labels]
+            names += ["city=other"] * (size - len(labels))
+        else:
+            names.append(column.removesuffix("_filled"))
+    return names
+
+
+def assemble(assembler: PipelineModel, features: DataFrame) -> DataFrame:
+    """``features`` plus the vector column alone."""
+    return assembler.transform(features).select(*features.columns, "features")
 
 
 # --- one candidate ------------------------------------------------------------------------------
@@ -128,6 +148,12 @@ class Fit:
     curve: list[float]
 
 
+def next_budget(rounds: int, best: int, patience: int) -> int:
+    """Rounds to try next: what patience still lacks where that is little, else twice as many."""
+    needed = best + 1 + patience
+    return needed if needed <= rounds * 1.5 else rounds * 2
+
+
 def fit_rounds(make: Callable[[dict, int, str], object], candidate: dict, train: DataFrame,
                validate: DataFrame, label: str, patience: int = PATIENCE) -> Fit:
     """Fit one candidate and keep the rounds up to its best validation score."""
@@ -140,7 +166,7 @@ def fit_rounds(make: Callable[[dict, int, str], object], candidate: dict, train:
         best, stopped = stopping_round(curve, patience)
         if stopped or rounds >= budget:
             break
-        rounds = min(budget, rounds * 2)
+        rounds = min(budget, next_budget(rounds, best, patience))
     if best + 1 < rounds:
         model = make(candidate, best + 1, label).fit(rows)
         if stopped:
@@ -233,7 +259,7 @@ def _trial(target: str, candidate: dict, position: int, fits: list[tuple[Fit, fl
 
 
 def search(targets: list[str], rows: DataFrame, classes: list[str], grid=CANDIDATES,
-           patience: int = PATIENCE, parallel: int = 8) -> dict[str, list[Trial]]:
+           patience: int = PATIENCE, parallel: int = 16) -> dict[str, list[Trial]]:
     """Fit every candidate for every target and return the trials, best first.
 
     Fits are independent Spark jobs submitted from a few driver threads, the deepest first; with
@@ -342,9 +368,7 @@ class Bundle:
 
     def score(self, features: DataFrame) -> DataFrame:
         """Add ``p_temp``, ``p_wet`` and ``p_condition`` to feature rows."""
-        added = {"features", *[c for stage in self.assembler.stages[1:2]
-                               for c in stage.getOutputCols()]}
-        rows = self.assembler.transform(features).drop(*added - {"features"})
+        rows = assemble(self.assembler, features)
         rows = score_temperature(self.temperature, rows)
         rows = score_precipitation(self.precipitation, rows)
         return score_condition(self.condition, rows).drop("features")

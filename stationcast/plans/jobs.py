@@ -33,21 +33,25 @@ def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, exact: b
     return split_64_16_20(coded, exact=exact), names, list(encoder.labels)
 
 
-def assembled(rows: DataFrame, names: list[str]):
+def assembled(rows: DataFrame, names: list[str], city_vector: bool = False):
     """Vectors for training, stored once: every fit reads them from the shared folder."""
-    assembler = training.fit_assembler(rows.filter("split = 'train'"), names)
+    assembler = training.fit_assembler(rows.filter("split = 'train'"), names, city_vector)
     kept = ["city", "date", "split", "features", "temp_mean_c", "y_temp_mean_c", "y_is_wet",
             TARGET_CONDITION]
-    return assembler, cut_lineage(assembler.transform(rows).select(*kept))
+    return assembler, cut_lineage(training.assemble(assembler, rows).select(*kept))
 
 
 def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: str = "csv",
-          exact_split: bool = False, parallel: int = 8):
-    """Search all targets, keep the best model of each; returns (bundle, trials)."""
+          exact_split: bool = False, parallel: int = 16,
+          city_limit: int = ft.DENSE_CITY_LIMIT):
+    """Search all targets, keep the best model of each; returns (bundle, trials).
+
+    Up to ``city_limit`` cities become 0/1 columns, more become one sparse vector.
+    """
     days = cut_lineage(days)
-    vocabulary = ft.city_vocabulary(days)
+    vocabulary = ft.city_vocabulary(days, city_limit)
     rows, names, classes = supervised_rows(days, vocabulary, exact_split)
-    assembler, vectors = assembled(rows, names)
+    assembler, vectors = assembled(rows, names, city_vector=vocabulary is None)
     found = training.search(["temperature", "precipitation", "condition"], vectors, classes,
                             grid, patience, parallel)
     test = vectors.filter("split = 'test'")
@@ -66,7 +70,7 @@ def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: st
         precipitation=found["precipitation"][0].models[0],
         condition=found["condition"][0].models,
         cities=first_coordinates(days), feature_names=names, classes=classes,
-        vocabulary=vocabulary, metrics=scores, split=SPLIT_NAME, source=source,
+        vocabulary=vocabulary or {}, metrics=scores, split=SPLIT_NAME, source=source,
         trained_at=datetime.now(timezone.utc).isoformat(timespec="seconds"))
     return bundle, found
 

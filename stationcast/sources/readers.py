@@ -106,9 +106,9 @@ def payload_rows(payloads: DataFrame, text: str = "payload") -> DataFrame:
     """Archive payloads (city, latitude, longitude, JSON text) as one row per day.
 
     The ``time`` array decides how many rows there are; a shorter, empty or absent array gives
-    nulls.
+    nulls. Text that is no JSON is an error.
     """
-    daily = F.from_json(text, DAILY_PAYLOAD_SCHEMA)["daily"]
+    daily = F.from_json(text, DAILY_PAYLOAD_SCHEMA, {"mode": "FAILFAST"})["daily"]
     days = payloads.select("city", "latitude", "longitude", daily.alias("d")).select(
         "city", "latitude", "longitude", "d", F.posexplode("d.time").alias("i", "day"))
 

@@ -183,6 +183,16 @@ def test_running_totals(spark, partitions):
     assert numbered.filter(F.col("n") != F.col("k") + 11).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(10,2)"])
+def test_running_totals_of_fractions_and_nulls(spark, kind):
+    df = spark.range(40).select("id", F.when(F.col("id") % 4 != 0, F.lit(0.5)).cast(kind).alias("v"))
+    out = running_totals(df, ["id"], {"before": "v"}, 5).orderBy("id").collect()
+    so_far = 0.0
+    for row in out:
+        assert float(row.before) == so_far
+        so_far += float(row.v or 0)
+
+
 def test_running_totals_of_nothing(spark):
     empty = spark.createDataFrame([], "k INT, v INT")
     assert running_totals(empty, ["k"], {"before": "v"}).count() == 0

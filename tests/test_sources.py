@@ -113,6 +113,11 @@ def test_payload_without_days_gives_no_rows(spark, payload):
     assert payload_days(spark, payload) == []
 
 
+def test_broken_payload_is_an_error(spark):
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        payload_days(spark, '{"daily": {"time": ["2022-01-01"')
+
+
 def test_geocode_map(spark):
     def place(name, lat, lon):
         return {"name": name, "latitude": lat, "longitude": lon, "timezone": "UTC",
