@@ -17,11 +17,11 @@ def running_totals(df: DataFrame, order: list[str], totals: dict[str, str],
     offset table has one row per range. ``order`` must be unique: aggregate equal keys first.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Without a number given, Spark merges small ranges at run time; they stay in order.
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *order)
     # The range number is only stable once written down: a recomputed or re-planned exchange could
     # number its ranges differently.
-    placed = cut_lineage(
-        df.repartitionByRange(n, *order).withColumn("__range", F.spark_partition_id()))
+    placed = cut_lineage(ranged.withColumn("__range", F.spark_partition_id()))
 
     # One small row per range: their running totals are added up on the driver.
     names = list(totals)
@@ -40,7 +40,7 @@ def running_totals(df: DataFrame, order: list[str], totals: dict[str, str],
 
     inside = Window.partitionBy("__range").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1)
-    # At most `n` shift rows, so the broadcast is bounded by the partition count.
+    # One row per range, so the broadcast is bounded by the shuffle partition count.
     return placed.join(F.broadcast(shifts), "__range").select(
         *df.columns,
         *[(F.coalesce(F.sum(column).over(inside), F.lit(0)) + F.col(f"__o_{name}")).alias(name)

@@ -502,10 +502,8 @@ def _(fx):
         rows.withColumn("p_temp", F.col("temp_mean_c")), classes, trained, 1.23456,
         {"bundle_version": "1.0", "trained_at": "2001-01-01T00:00:00+00:00", "split": "hash",
          "configs": {"temperature": "persistence"}})
-    text = forecast.to_json()
-    parsed = F.from_json(text, documents.schema["forecast"].dataType.simpleString())
-    d = documents.select(parsed.alias("d"), F.get_json_object(
-        text, "$.model.configs.temperature").alias("config"))
+    parsed = F.from_json(forecast.to_json(), documents.schema["forecast"].dataType.simpleString())
+    d = documents.select(parsed.alias("d"))
     fields = {
         "city": "city", "as_of_date": "as_of_date", "target_date": "target_date",
         "latitude": "location.latitude", "longitude": "location.longitude",
@@ -522,7 +520,8 @@ def _(fx):
     }
     return rounded(d.select(
         *[F.col(f"d.{path}").alias(name) for name, path in fields.items()],
-        F.array_join(F.map_keys("d.condition.probabilities"), ">").alias("ranking"), "config"))
+        F.array_join(F.map_keys("d.condition.probabilities"), ">").alias("ranking"),
+        F.col("d.model.configs")["temperature"].alias("config")))
 
 
 # --- streaming ----------------------------------------------------------------------------------

@@ -174,7 +174,7 @@ def test_rain_stored_as_dry(spark):
     assert load.rounded_to_dry(df).first().stored_as_dry == 2
 
 
-@pytest.mark.parametrize("partitions", [1, 3, 8])
+@pytest.mark.parametrize("partitions", [None, 1, 3, 8])
 def test_running_totals(spark, partitions):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(2).alias("v"))
     out = running_totals(df, ["k"], {"before": "v"}, partitions)
