@@ -112,13 +112,21 @@ def gazetteer_pick(candidates: DataFrame) -> DataFrame:
     """Best place per query: the best-ranked one in the wanted country, else the best-ranked.
 
     ``candidates``: query, wanted_country, rank, country_code and place columns. An empty wanted
-    country accepts every candidate. One mergeable ``min`` per query, no sorting of groups.
+    country accepts every candidate. Missing text fields get their defaults (the query as name,
+    UTC, empty). One mergeable ``min`` per query, no sorting of groups.
     """
     open_choice = F.coalesce(F.col("wanted_country"), F.lit("")) == ""
     elsewhere = ~(open_choice | F.coalesce(
         F.col("country_code") == F.col("wanted_country"), F.lit(False)))
     place = [c for c in candidates.columns if c not in ("query", "wanted_country", "rank")]
     best = F.min(F.struct(elsewhere.alias("elsewhere"), F.col("rank"), *place)).alias("best")
+    absent = {"name": F.col("query"), "timezone": F.lit("UTC"), "country": F.lit(""),
+              "country_code": F.lit(""), "admin1": F.lit("")}
+
+    def picked(column: str):
+        value = F.col(f"best.{column}")
+        return F.coalesce(value, absent[column]) if column in absent else value
+
     return candidates.groupBy("query", "wanted_country").agg(best).select(
         "query", "wanted_country", F.col("best.rank").alias("rank"),
-        *[F.col(f"best.{c}").alias(c) for c in place])
+        *[picked(c).alias(c) for c in place])

@@ -110,6 +110,13 @@ def test_gazetteer_prefers_the_wanted_country(spark):
     assert got == {"London": "London", "Paris": "Paris", "Rome": "Rome, Georgia"}
 
 
+def test_gazetteer_fills_missing_fields(spark):
+    df = spark.createDataFrame(
+        [("Oslo", None, 1, None, None, None)], "query STRING, wanted_country STRING, rank INT, "
+        "country_code STRING, name STRING, timezone STRING")
+    assert tuple(lookup.gazetteer_pick(df).first()) == ("Oslo", None, 1, "", "Oslo", "UTC")
+
+
 def test_cutoff_reaches_the_scan(spark, tmp_path):
     spark.sql("SELECT id, TIMESTAMP'2024-01-01' + make_dt_interval(CAST(id AS INT)) AS dtg "
               "FROM range(100)").write.parquet(str(tmp_path / "f"))
