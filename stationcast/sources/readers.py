@@ -23,7 +23,10 @@ SOURCES = ("csv", "db")
 
 
 def scan_observations_csv(spark: SparkSession, path: str) -> DataFrame:
-    """City-day CSV with header, normalised. Columns are matched by name and typed strictly."""
+    """City-day CSV with header, normalised. Columns are matched by name and typed strictly.
+
+    Of several rows for one city-day the first in the file counts (files in path order).
+    """
     header = spark.read.option("header", True).csv(path).columns
     missing = sorted({f.name for f in OBS_SCHEMA.fields} - set(header))
     if missing:
@@ -33,9 +36,12 @@ def scan_observations_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = (
         spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
         .option("encoding", "UTF-8").csv(path)
-        .select(*[f.name for f in OBS_SCHEMA.fields])
     )
-    return normalize(raw, origin=path)
+    # File, block and row within the block: the same for a task that runs again.
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                     F.monotonically_increasing_id())
+    columns = [f.name for f in OBS_SCHEMA.fields]
+    return normalize(raw.select(*columns, place.alias("place")), "place", origin=path)
 
 
 def scan_star_schema(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -97,9 +103,10 @@ def scan_geocode_map(documents: DataFrame, text: str = "json",
     one counts.
     """
     places = extract_places(documents, text, order).dropna(subset=["latitude", "longitude"])
-    rank = F.struct(*([order] if order else []), "position")
-    last = F.max_by(F.struct("name", "latitude", "longitude"), rank).alias("last")
-    return places.groupBy(slug("name").alias("slug")).agg(last).select("slug", "last.*")
+    fields = ["name", "latitude", "longitude"]
+    last = F.max(F.struct(*([order] if order else []), "position", *fields)).alias("last")
+    return places.groupBy(slug("name").alias("slug")).agg(last).select(
+        "slug", *[F.col(f"last.{c}").alias(c) for c in fields])
 
 
 def payload_rows(payloads: DataFrame, text: str = "payload") -> DataFrame:

@@ -20,6 +20,25 @@ def test_csv_round_trip(spark, tmp_path):
     assert back.exceptAll(days).count() == 0 and back.count() == 15
 
 
+def test_csv_keeps_the_first_of_equal_city_days(spark, tmp_path):
+    lines = ["city,latitude,longitude,date,temp_mean_c,temp_max_c,temp_min_c,precip_mm,wmo_code"]
+    for day in range(1, 29):
+        for temp in (50 + day, 10, 99):
+            lines.append(f"Oslo,59.9,10.7,2022-01-{day:02d},{temp},{temp},{temp},,")
+    (tmp_path / "obs.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    rows = sources.scan_observations_csv(spark, str(tmp_path / "obs.csv")).collect()
+    assert {r.date.day: r.temp_mean_c for r in rows} == {d: 50.0 + d for d in range(1, 29)}
+    assert all(r.precip_mm is None and r.wmo_code is None for r in rows)
+
+
+def test_csv_rejects_text_in_a_number(spark, tmp_path):
+    path = str(tmp_path / "obs")
+    days = to_spark(spark, make_days(2))
+    sources.export_csv(days.withColumn("precip_mm", F.lit("wet")), path)
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        sources.scan_observations_csv(spark, path).collect()
+
+
 def test_csv_columns_are_matched_by_name(spark, tmp_path):
     days = to_spark(spark, make_days(2))
     path = str(tmp_path / "obs")
