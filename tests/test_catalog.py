@@ -6,11 +6,11 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
+from stationcast.plans import catalog, oracles
 from tests import compare
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), oracles.oracle_sql()
 ROWS_ONLY = {"assemble_features", "train_temperature", "train_precipitation", "train_condition",
              "grid_search", "batch_forecast"}
 
