@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stationcast.llm import decontamination, mixing, quality, sharding, urls
+from stationcast.llm import decontamination, lm, mixing, quality, sharding, urls
 from stationcast.llm.store import table
 
 
@@ -11,6 +11,7 @@ def _on(function, *names):
 
 
 QUERIES = {
+    "op1_subword_lattice": _on(lm.op1_subword_lattice, "documents"),
     "op2_line_field": _on(quality.op2_line_field, "documents", "labels"),
     "op3_pareto_mix": _on(mixing.op3_pareto_mix, "documents"),
     "op5_url_rules": _on(urls.op5_url_rules, "pages"),
