@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stationcast.llm import decontamination, lm, mixing, quality, sharding, urls
+from stationcast.llm import decontamination, lm, mixing, quality, sharding, toxicity, urls
 from stationcast.llm.store import table
 
 
@@ -14,6 +14,7 @@ QUERIES = {
     "op1_subword_lattice": _on(lm.op1_subword_lattice, "documents"),
     "op2_line_field": _on(quality.op2_line_field, "documents", "labels"),
     "op3_pareto_mix": _on(mixing.op3_pareto_mix, "documents"),
+    "op4_noisy_channel": _on(toxicity.op4_noisy_channel, "documents", "labels"),
     "op5_url_rules": _on(urls.op5_url_rules, "pages"),
     "op9_positional_index": _on(decontamination.op9_positional_index, "documents", "benchmark"),
     "op10_byte_shards": _on(sharding.op10_byte_shards, "documents"),
