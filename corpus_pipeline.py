@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationcast.llm import decontamination, mixing, quality, sharding
+from stationcast.llm import decontamination, minhash, mixing, quality, sharding
 from stationcast.llm.store import stored, table
 
 
@@ -13,6 +13,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-equal texts."""
+    return minhash.one_of_each(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     return decontamination.clean_rows(docs, table(spark, sf_dir, "benchmark"))
@@ -30,6 +35,7 @@ def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality", good_documents),
+    ("near_duplicates", distinct_documents),
     ("decontamination", decontaminated),
     ("mixing", mixed),
     ("sharding", sharded),
