@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stationcast.llm import decontamination, embeddings, lm, minhash, mixing, quality, sharding, toxicity, urls
+from stationcast.llm import decontamination, embeddings, lm, minhash, mixing, quality, sharding, substrings, toxicity, urls
 from stationcast.llm.store import table
 
 
@@ -16,6 +16,7 @@ QUERIES = {
     "op3_pareto_mix": _on(mixing.op3_pareto_mix, "documents"),
     "op4_noisy_channel": _on(toxicity.op4_noisy_channel, "documents", "labels"),
     "op5_url_rules": _on(urls.op5_url_rules, "pages"),
+    "op6_recompression": _on(substrings.op6_recompression, "documents"),
     "op7_iterative_quantisation": _on(embeddings.op7_iterative_quantisation, "embeddings"),
     "op8_prob_minhash": _on(minhash.op8_prob_minhash, "documents"),
     "op9_positional_index": _on(decontamination.op9_positional_index, "documents", "benchmark"),
