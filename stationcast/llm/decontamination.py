@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationcast.llm.store import null_safe_join, stored
+from stationcast.llm.store import null_safe_join, stored, unused_name
 from stationcast.llm.text import ALNUM, FOLD, ranges, slices, split_words
 
 SEGMENT_BYTES = 2 << 20
@@ -283,8 +283,9 @@ def _match_segment(windows, names, slop, keys, ids, first, terms, counts, positi
 def clean_rows(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the documents that hold a window of a benchmark item, same columns."""
     found = search(build_index(docs), items, window).where(F.size("spans") > 0)
-    bad = stored(found.select(F.col("key").alias("__key"), "doc_id").distinct(), "contaminated")
-    return null_safe_join(docs.withColumn("__key", row_key()), bad, ["__key", "doc_id"],
+    key = unused_name(docs, "__key")
+    bad = stored(found.select(F.col("key").alias(key), "doc_id").distinct(), "contaminated")
+    return null_safe_join(docs.withColumn(key, row_key()), bad, [key, "doc_id"],
                           "left_anti").select(*docs.columns)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.llm.components import connected_components
-from stationcast.llm.store import null_safe_join, stored
+from stationcast.llm.store import null_safe_join, stored, unused_name
 from stationcast.llm.text import FOLD, SPACE, mix, slices, split_words
 
 CHUNK_BYTES = 4 << 20
@@ -228,10 +228,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, the one with the smallest id; same columns."""
+    key = unused_name(docs, "__key")
     keepers = stored(near_duplicates(docs, threshold).where("keeper")
-                     .select(F.col("key").alias("__key"), "doc_id").distinct(), "keepers")
-    kept = null_safe_join(docs.withColumn("__key", text_key()), keepers, ["__key", "doc_id"])
-    return kept.dropDuplicates(["__key", "doc_id"]).select(*docs.columns)
+                     .select(F.col("key").alias(key), "doc_id").distinct(), "keepers")
+    kept = null_safe_join(docs.withColumn(key, text_key()), keepers, [key, "doc_id"])
+    return kept.dropDuplicates([key, "doc_id"]).select(*docs.columns)
 
 
 def op8_prob_minhash(spark, docs: DataFrame) -> DataFrame:

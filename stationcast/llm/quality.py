@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from stationcast.llm.store import in_fold
+from stationcast.llm.store import in_fold, unused_name
 from stationcast.llm.text import SPACE, slices, split_words, text_bytes
 
 CHUNK_BYTES = 2 << 20
@@ -164,7 +164,7 @@ def fit_field(lines: Lines, labels: np.ndarray, rounds: int = 3, steps: int = 12
     prior = float(labels.mean()) if len(labels) else 0.5
     field = Field(mean, scale, np.zeros(x.shape[1]), 0.0, np.zeros((2, 2)), prior)
     if len(set(labels.tolist())) < 2 or not len(x):
-        field.bias = 4.0 if prior > 0.5 else -4.0
+        field.bias = 8.0 * (prior - 0.5)     # one label only, or none: nothing to tell lines by
         return field
     z = ((x - mean) / scale).clip(-8, 8)
     y = labels[text].astype(int)
@@ -254,7 +254,8 @@ def train_field(docs: DataFrame, labels: DataFrame, label: str = "quality", held
 def score_documents(docs: DataFrame, field: Field, output: str = "score") -> DataFrame:
     """``docs`` with the quality of every whole text, 0 to 1, as column ``output``.
 
-    A null or wordless text takes the share of good documents in the sample. Other columns pass
+    A null or wordless text takes the share of good documents in the sample, a half if it is empty.
+    Without labels every text scores a half. Repeated rows score alike. Other columns pass
     through; a column named like the output is replaced.
     """
     kept = docs.select(*[c for c in docs.columns if c != output])
@@ -272,8 +273,9 @@ def score_documents(docs: DataFrame, field: Field, output: str = "score") -> Dat
 
 def keep_good(docs: DataFrame, labels: DataFrame, at_least: float = 0.3) -> DataFrame:
     """The documents whose quality reaches ``at_least``, same columns."""
-    scored = score_documents(docs, train_field(docs, labels), "__quality")
-    return scored.where(F.col("__quality") >= at_least).select(*docs.columns)
+    name = unused_name(docs, "quality")
+    scored = score_documents(docs, train_field(docs, labels), name)
+    return scored.where(F.col(name) >= at_least).select(*docs.columns)
 
 
 def op2_line_field(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:

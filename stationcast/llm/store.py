@@ -30,6 +30,14 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one if the table has a column of that name already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str],
                    how: str = "inner") -> DataFrame:
     """Equi join in which null keys meet; the keys come from the left side."""

@@ -27,6 +27,7 @@ FIT_DOCUMENTS = 40_000
 LEXICON = 50_000
 PREFIX = 5          # letters of a word's stem, a feature beside the word
 TABLE = 1 << 20     # bytes decoded at once
+LONGEST = 1000      # bytes of a token that are decoded together; longer ones in pieces
 
 # Symbols of the language model: 0 word boundary, 1-26 letters, 27 any other character.
 OTHER, SYMBOLS = 27, 28
@@ -116,8 +117,12 @@ def decode(tokens: list[bytes], transitions: np.ndarray) -> list[bytes]:
 
     Viterbi over lattices of one step per byte: the states are the last symbol read, all tokens of
     similar length advance together. Each byte offers up to two letters, its own symbol, and a step
-    that reads nothing.
+    that reads nothing. Tokens of more than ``LONGEST`` bytes are decoded piece by piece, all of them.
     """
+    if any(len(t) > LONGEST for t in tokens):
+        cut = [[t[k:k + LONGEST] for k in range(0, len(t), LONGEST)] or [t] for t in tokens]
+        read = iter(decode([piece for pieces in cut for piece in pieces], transitions))
+        return [b"".join(next(read) for _ in pieces) for pieces in cut]
     out: list[bytes] = [b""] * len(tokens)
     length = np.array([len(t) for t in tokens], np.int64)
     order = np.argsort(length, kind="stable")
@@ -295,8 +300,8 @@ def train_scorer(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_
     """Learn the character model from all texts, and the lexicon and weights from labelled ones.
 
     The lexicon holds the words and stems that more toxic than clean texts share, counted over at
-    most ``limit`` restored labelled texts outside the held-out fold, copies once. Weights of the four inputs
-    are fitted to the same texts with each one's own share left out of the counts.
+    most ``limit`` restored labelled texts outside the held-out fold, copies once. Weights of the
+    four inputs are fitted to the same texts, with each one's own share left out of the counts.
     """
     spark = docs.sparkSession
     transitions = train_characters(docs)
@@ -341,7 +346,8 @@ def train_scorer(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_
 
     table = np.array(sorted(tuple(r) for r in sample.select("label", "text").mapInArrow(
         inputs, "label double, a double, b double, c double, d double").toLocalIterator()))
-    scorer.weights = _logistic(table[:, 1:], table[:, 0]) if len(table) else np.zeros(4)
+    scorer.weights = _logistic(table[:, 1:], table[:, 0]) if len(table) else np.array(
+        [-5.0, 0.0, 0.0, 0.0])
     return scorer
 
 
@@ -363,8 +369,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 50
 def score_documents(docs: DataFrame, scorer: Scorer, output: str = "score") -> DataFrame:
     """``docs`` with the toxicity of every whole text, 0 to 1, as column ``output``.
 
-    A null or wordless text has no evidence and takes the score of the constant alone. Other columns
-    pass through; a column named like the output is replaced.
+    A null or wordless text has no evidence and takes the score of the constant alone; without labels
+    every text does, and none is called toxic. Repeated rows score alike. Other columns pass through;
+    a column named like the output is replaced.
     """
     kept = docs.select(*[c for c in docs.columns if c != output])
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
