@@ -176,8 +176,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``class_id`` is the smallest doc_id of all documents reachable over links; ``key`` the MD5 of the
     text; ``keeper`` marks the class's one text and id to keep. Equal texts are always together;
-    null and empty texts are equal, and texts without words meet only their copies. Null ids order
-    first. Repeated rows each come out; an empty table gives no rows.
+    null and empty texts are equal, and texts without words meet only their copies. A null id names a
+    class only if no document of it has another. Repeated rows each come out, with the same marks; an
+    empty table gives no rows.
     """
     rows, classes = _classes(docs)
     banded = stored(classes.select("cid", F.posexplode("bands").alias("band", "value")), "bands")
@@ -217,7 +218,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found = connected_components(links).withColumnRenamed("node", "cid")
     member = classes.join(found, "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
-    best = member.groupBy("component").agg(F.min(F.struct("rep", "key")).alias("best"))
+    best = member.groupBy("component").agg(
+        F.min(F.struct(F.col("rep").isNull(), "rep", "key")).alias("best"))
     named = stored(member.join(best, "component").select(
         "key", F.col("best.rep").alias("class_id"), (F.col("best.key") == F.col("key")).alias("own")),
         "named")

@@ -1,0 +1,72 @@
+"""The pipeline's stages, one by one, against the operators' definitions."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+from stationcast.llm import quality
+from tests.llm.conftest import ODD_ROWS, make_docs
+from tests.llm.test_documents import classes_by_hand, hits_by_hand
+
+
+def test_stages_take_effect(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    columns = docs.columns
+    kept = docs
+    seen = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = kept
+        kept = stage(spark, before, small).cache()
+        seen[name] = (before, kept)
+        assert kept.columns == (columns if name != "sharding" else [*columns, "shard"])
+    assert list(seen) == ["quality", "near_duplicates", "decontamination", "mixing", "sharding"]
+
+    before, after = seen["quality"]
+    field = quality.train_field(docs, spark.read.parquet(f"{small}/labels.parquet"))
+    good = {r["doc_id"] for r in quality.score_documents(before, field).collect()
+            if r["score"] >= 0.3}
+    assert {r["doc_id"] for r in after.collect()} == good and len(good) < before.count()
+
+    before, after = seen["near_duplicates"]
+    short = [(r["doc_id"], r["text"]) for r in before.collect() if len(r["text"]) < 1500][:300]
+    part = make_docs(spark, [(i, t, "s") for i, t in short])
+    assert corpus_pipeline.distinct_documents(spark, part, small).count() \
+        == len(set(classes_by_hand(short)))
+
+    before, after = seen["decontamination"]
+    items = [(r["item_id"], r["text"])
+             for r in spark.read.parquet(f"{small}/benchmark.parquet").collect()]
+    clean = {h[0] for h in hits_by_hand([(r["doc_id"], r["text"]) for r in before.collect()], items)
+             if not h[5]}
+    assert {r["doc_id"] for r in after.collect()} == clean
+
+    before, after = seen["mixing"]
+    times = Counter(r["doc_id"] for r in after.collect())
+    assert max(times.values()) <= 3 and set(times) <= clean
+
+    before, after = seen["sharding"]
+    assert Counter(r["doc_id"] for r in after.collect()) == times
+    size, largest = Counter(), 0
+    for r in after.collect():
+        weight = len(r["text"].encode()) + 16
+        size[r["shard"]] += weight
+        largest = max(largest, weight)
+    target = sum(size.values()) / 40
+    # Repeated rows share a shard, so a cut is up to three rows off.
+    assert all(abs(size[k] - target) <= 3 * largest + 0.02 * target for k in range(40))
+
+
+def test_run_gives_the_last_stage(spark, small):
+    rows = corpus_pipeline.run(spark, small)
+    assert rows.columns[-1] == "shard" and rows.count() > 0
+
+
+def test_stages_of_odd_and_no_rows(spark, odd_docs, no_docs, small):
+    for docs in (odd_docs, no_docs):
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES:
+            kept = stage(spark, kept, small)
+            names = docs.columns if name != "sharding" else docs.columns
+            assert kept.columns == names        # the odd rows have a column "shard" already
+        assert kept.count() <= 3 * len(ODD_ROWS)
