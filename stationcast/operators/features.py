@@ -26,7 +26,6 @@ from stationcast.functions.weather import (
 from stationcast.schemas import LAGGED, LAGS, META, TARGET_TEMP, TARGET_WET, TARGETS, WINDOWS
 
 WARMUP_COLUMN = f"temp_mean_c_roll{max(WINDOWS)}_mean"
-DENSE_CITY_LIMIT = 500
 
 
 def by_city():
@@ -141,12 +140,6 @@ def drop_warmup(features: DataFrame) -> DataFrame:
     return features.filter(F.col(WARMUP_COLUMN).isNotNull())
 
 
-def servable_cities(days: DataFrame) -> DataFrame:
-    """Cities with at least one servable day, from the temperature column alone."""
-    full = F.count("temp_mean_c").over(rows_back(max(WINDOWS))) == max(WINDOWS)
-    return days.select("city", full.alias("full")).filter("full").select("city").distinct()
-
-
 def labelled(features: DataFrame) -> DataFrame:
     return features.dropna(subset=[TARGET_TEMP, TARGET_WET, "y_condition"])
 
@@ -161,13 +154,10 @@ def record_gaps(days: DataFrame) -> DataFrame:
     )
 
 
-def city_vocabulary(days: DataFrame, limit: int = DENSE_CITY_LIMIT) -> dict[str, str] | None:
-    """Sorted cities and their column names; None when there are more than ``limit``, for which
-    :func:`city_vector` is the way."""
-    names = days.select("city").distinct()
-    rows = names.limit(limit + 1).select("city", slug("city").alias("slug")).collect()
-    if len(rows) > limit:
-        return None
+def city_vocabulary(days: DataFrame) -> dict[str, str]:
+    """Sorted cities and their column names, for the 0/1 columns of a list of cities that may be
+    named in a schema. :func:`city_vector` holds any number of cities."""
+    rows = days.select("city").distinct().select("city", slug("city").alias("slug")).collect()
     return {row.city: f"city_{row.slug}" for row in sorted(rows, key=lambda row: row.city)}
 
 
@@ -214,6 +204,28 @@ def serving_tail(days: DataFrame, as_of, rows: int = max(WINDOWS)) -> DataFrame:
     )
 
 
+def asked_history(days: DataFrame, asked: DataFrame, rows: int = max(WINDOWS)) -> DataFrame:
+    """The city-days that forecasts for ``asked`` (city, as_of) read: per city the asked span and the
+    ``rows`` - 1 days of its record before it.
+
+    Cities that nobody asks for drop out in a join of one row per asked city.
+    """
+    spans = asked.dropna(subset=["city", "as_of"]).groupBy("city").agg(
+        F.min("as_of").alias("__low"), F.max("as_of").alias("__high"))
+    near = days.join(spans, "city").filter(F.col("date") <= F.col("__high"))
+    before = Window.partitionBy("city", F.col("date") < F.col("__low")).orderBy(F.desc("date"))
+    return (near.withColumn("__back", F.row_number().over(before))
+            .filter((F.col("date") >= F.col("__low")) | (F.col("__back") < rows))
+            .select(*days.columns))
+
+
+def usable_days(days: DataFrame) -> DataFrame:
+    """First and last servable day per city, from the temperature column alone."""
+    full = F.count("temp_mean_c").over(rows_back(max(WINDOWS))) == max(WINDOWS)
+    return days.select("city", "date", full.alias("full")).filter("full").groupBy("city").agg(
+        F.min("date").alias("first_usable"), F.max("date").alias("last_usable"))
+
+
 def serving_features(days: DataFrame, as_of, vocabulary: dict[str, str] | None = None) -> DataFrame:
     """Feature rows of exactly ``as_of``, built from the serving tail only."""
     tail = serving_tail(days, as_of)

@@ -8,17 +8,19 @@ from pyspark.sql import types as T
 
 from stationcast.functions.numbers import round_half_even
 from stationcast.operators.ordering import dense_numbers
+from stationcast.operators.rejects import refuse
 from stationcast.schemas import ISO3, LONG_NAME, REQUIRED_OBS, SHORT_NAME, WMO_TEXT
 from stationcast.session import cut_lineage, fixed_table
 
 
 def normalize(obs: DataFrame, ingest_order: str | None = None,
-              origin: str = "the observations") -> DataFrame:
+              origin: str = "the observations", strict: bool = False) -> DataFrame:
     """One row per (city, date): checked columns, real dates, the first-ingested row kept.
 
     The first row is found with a mergeable ``min`` over (ingest order, row), so any number of
     copies of one city-day collapses before the shuffle. Without an ingest order, ties are broken
-    by the row's own values, which keeps the result repeatable.
+    by the row's own values, which keeps the result repeatable; ``strict`` then refuses city-days
+    whose copies differ, since which came first is not known.
     """
     missing = sorted(set(REQUIRED_OBS) - set(obs.columns))
     if missing:
@@ -29,8 +31,13 @@ def normalize(obs: DataFrame, ingest_order: str | None = None,
         *[_no_nan(obs, c) for c in values],
         *([ingest_order] if ingest_order else []))
     order = [ingest_order] if ingest_order else []
-    row = F.min(F.struct(*order, *values)).alias("row")
-    kept = clean.groupBy("city", "date").agg(row).select(
+    struct = F.struct(*order, *values)
+    days = clean.groupBy("city", "date").agg(F.min(struct).alias("row"), F.max(struct).alias("last"))
+    if strict and not ingest_order:
+        refuse(days.filter("row <> last").select(
+            F.concat_ws(" ", "city", "date").alias("city_day")),
+            f"{origin} differ in copies of a city-day and have no ingest order:", "city_day")
+    kept = days.select(
         "city", "date", *[F.col(f"row.{c}").alias(c) for c in values])
     return kept.select(*[c for c in obs.columns if c != ingest_order])
 
@@ -74,6 +81,17 @@ def get_or_create(existing: DataFrame, wanted: DataFrame, key: list[str], id_col
         allowMissingColumns=True)
 
 
+def one_place_per_city(places: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per city: the last in ``order``. Without an order, places that differ are refused."""
+    values = [c for c in places.columns if c not in ("city", order)]
+    row = F.struct(*([order] if order else []), *values)
+    picked = places.groupBy("city").agg(F.max(row).alias("row"), F.min(row).alias("other"))
+    if not order:
+        refuse(picked.filter("row <> other").select("city"),
+               "different places and no order for", "city")
+    return picked.select("city", *[F.col(f"row.{c}").alias(c) for c in values])
+
+
 def load_reference(places: DataFrame, states: DataFrame, divisions: DataFrame,
                    cities: DataFrame, natural_key: str = "reference") -> dict[str, DataFrame]:
     """Extend the three location dimensions with the places of a batch.
@@ -111,7 +129,8 @@ def load_reference(places: DataFrame, states: DataFrame, divisions: DataFrame,
     ids = cities.groupBy(*city_key).agg(F.min("city_id").alias("city_id"))
     return {
         "states": states, "admin_div_1": divisions, "cities": cities,
-        "city_ids": placed.join(ids, city_key).select("city", "city_id"),
+        "city_ids": placed.join(ids, city_key).groupBy("city").agg(
+            F.min("city_id").alias("city_id")),
     }
 
 
@@ -124,10 +143,8 @@ def iso3_lookup(places: DataFrame) -> DataFrame:
 
 def require_iso3(places: DataFrame) -> DataFrame:
     looked_up = iso3_lookup(places)
-    bad = [r.country_code for r in looked_up.filter("state_abbr IS NULL")
-           .select("country_code").distinct().orderBy("country_code").take(20)]
-    if bad:
-        raise ValueError(f"no ISO 3-letter code known for {bad}")
+    refuse(looked_up.filter("state_abbr IS NULL").select("country_code").distinct(),
+           "no ISO 3-letter code known for", "country_code")
     return looked_up
 
 
@@ -143,10 +160,8 @@ def code_texts(codes: DataFrame) -> DataFrame:
 
 def require_code_texts(codes: DataFrame) -> DataFrame:
     texts = code_texts(codes)
-    unknown = [r.wmo_code for r in texts.filter("wmo_text IS NULL").select("wmo_code")
-               .orderBy(F.col("wmo_code").cast("int")).take(20)]
-    if unknown:
-        raise ValueError(f"no wmo_text for code(s) {unknown}")
+    refuse(texts.filter("wmo_text IS NULL").select("wmo_code"), "no wmo_text for code(s)",
+           "wmo_code")
     return texts
 
 
@@ -195,10 +210,30 @@ def rounded_to_dry(obs: DataFrame) -> DataFrame:
                    .alias("stored_as_dry"))
 
 
-def number_facts(rows: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Give new fact rows the ``data_id`` values that follow the target's largest."""
-    start = F.lit(0) if target is None else target.agg(
-        F.coalesce(F.max("data_id"), F.lit(0)).alias("last")).scalar()
+ID_RANGES = "first_id BIGINT, rows BIGINT"
+
+
+def reserve_ids(target: DataFrame | None, rows: int, path: str, spark) -> int:
+    """Set aside ``rows`` fact ids and return the number before the first of them.
+
+    Ranges given out are kept beside the facts, one row per load, so that no load reads the whole
+    table for its largest id. The range is written before the facts: a load that dies in between
+    leaves a gap, never a number used twice. A table from before the ranges is read once.
+    """
+    folder = f"{path}_ids"
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    known = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
+    if known:
+        last = spark.read.schema(ID_RANGES).parquet(folder).agg(
+            F.max(F.col("first_id") + F.col("rows") - 1)).first()[0] or 0
+    else:
+        last = 0 if target is None else target.agg(F.max("data_id")).first()[0] or 0
+    spark.createDataFrame([(last + 1, rows)], ID_RANGES).write.mode("append").parquet(folder)
+    return last
+
+
+def number_facts(rows: DataFrame, start: int) -> DataFrame:
+    """Give fact rows the ``data_id`` values after ``start``, in key order."""
     return dense_numbers(rows, FACT_KEY, "data_id", start)
 
 
@@ -229,9 +264,13 @@ def load_facts(stage: DataFrame, target: DataFrame | None, path: str) -> tuple[i
         return 0, 0
     new = stage
     if target is not None:
-        new = append_new_only(stage, target.filter(F.col("year").between(span.low, span.high)))
-    inserted = write_facts(number_facts(new, target), path)
-    return inserted, span.rows - inserted
+        new = cut_lineage(append_new_only(
+            stage, target.filter(F.col("year").between(span.low, span.high))))
+    rows = new.count()
+    if rows:
+        start = reserve_ids(target, rows, path, stage.sparkSession)
+        write_facts(number_facts(new, start), path)
+    return rows, span.rows - rows
 
 
 def replace_facts(stage: DataFrame, target: DataFrame, path: str) -> tuple[int, int]:
@@ -245,8 +284,9 @@ def replace_facts(stage: DataFrame, target: DataFrame, path: str) -> tuple[int,
         return 0, 0
     nearby = target.filter(F.col("year").between(span.low, span.high))
     kept = outside_replace_scope(nearby, stage)
+    start = reserve_ids(target, span.rows, path, stage.sparkSession)
     content = cut_lineage(kept.withColumn("__old", F.lit(True)).unionByName(
-        number_facts(stage, target).withColumns({"year": F.year("dtg"), "__old": F.lit(False)}),
+        number_facts(stage, start).withColumns({"year": F.year("dtg"), "__old": F.lit(False)}),
         allowMissingColumns=True))
     before = {r.year: r["count"] for r in nearby.groupBy("year").count().collect()}
     after = {r.year: r.old for r in content.groupBy("year").agg(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions.names import slug
+from stationcast.operators.rejects import refuse
 
 
 def attach_coordinates(days: DataFrame, coordinates: DataFrame, strict: bool = True) -> DataFrame:
@@ -18,11 +19,7 @@ def attach_coordinates(days: DataFrame, coordinates: DataFrame, strict: bool = T
     names = days.select("city").distinct().withColumn("slug", slug("city"))
     located = names.join(coordinates.select("slug", "latitude", "longitude"), "slug", "left")
     if strict:
-        missing = located.filter("latitude IS NULL").select("city")
-        first = [r.city for r in missing.orderBy("city").take(20)]
-        if first:
-            raise ValueError(f"no coordinates for {missing.count()} cities, among them "
-                             + ", ".join(map(repr, first)))
+        refuse(located.filter("latitude IS NULL").select("city"), "no coordinates for", "city")
     others = [c for c in days.columns if c != "city"]
     return days.join(located.drop("slug"), "city", "left").select(
         "city", "latitude", "longitude", *others)
@@ -44,32 +41,43 @@ def city_keys(cities: DataFrame) -> DataFrame:
         F.min(F.when(F.col("slug") == F.col("key"), F.col("city"))).alias("exact"),
         F.count(F.lit(1)).alias("prefixed"),
         F.min("city").alias("only"),
+        F.max("city").alias("last"),
     )
 
 
 def match_city(requests: DataFrame, cities: DataFrame, text: str = "query") -> DataFrame:
     """Resolve request text to a city: the exact fold first, else the only city it is a prefix of.
 
-    Adds ``city`` (null when refused) and ``reason``.
+    Adds ``city`` (null when refused) and ``reason``, which says how many cities an
+    ambiguous name fits and the first and last of them. Each distinct text is folded and matched once, then joined back.
     """
-    keyed = requests.withColumn("__key", slug(text))
-    found = keyed.join(city_keys(cities).withColumnRenamed("key", "__key"), "__key", "left")
+    texts = requests.select(F.col(text).alias("__text")).distinct().withColumn(
+        "__key", slug("__text"))
+    resolved = texts.join(city_keys(cities).withColumnRenamed("key", "__key"), "__key", "left")
+    found = requests.join(resolved, F.col(text).eqNullSafe(F.col("__text")), "left")
     city = F.coalesce("exact", F.when(F.col("prefixed") == 1, F.col("only")))
     return found.withColumn("city", city).withColumn(
         "reason",
         F.when(F.col("city").isNotNull(), F.lit(None))
-        .when(F.col("prefixed") > 1, "ambiguous city")
+        .when(F.col("prefixed") > 1, F.concat(
+            F.lit("ambiguous city: "), F.col("prefixed").cast("string"), F.lit(" fit, from "),
+            F.col("only"), F.lit(" to "), F.col("last")))
         .otherwise("unknown city"),
     ).select(*requests.columns, "city", "reason")
 
 
-def requests_to_features(requests: DataFrame, features: DataFrame) -> DataFrame:
+def requests_to_features(requests: DataFrame, features: DataFrame,
+                         usable: DataFrame | None = None) -> DataFrame:
     """Join resolved requests (city, as_of) to their feature row.
 
-    Requests without one keep null features and a ``reason`` that names the usable dates.
+    Requests without one keep null features and a ``reason`` that names the usable dates: those of
+    ``usable`` (city, first_usable, last_usable), or else of the features.
     """
-    usable = features.groupBy("city").agg(
-        F.min("date").alias("__first"), F.max("date").alias("__last"))
+    if usable is None:
+        usable = features.groupBy("city").agg(
+            F.min("date").alias("first_usable"), F.max("date").alias("last_usable"))
+    usable = usable.select("city", F.col("first_usable").alias("__first"),
+                           F.col("last_usable").alias("__last"))
     rows = features.withColumn("__found", F.lit(True)).withColumnRenamed("date", "as_of")
     joined = requests.withColumn("as_of", F.to_date("as_of")).join(
         rows, ["city", "as_of"], "left").join(usable, "city", "left")

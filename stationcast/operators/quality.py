@@ -22,6 +22,9 @@ FOREIGN_KEYS = (("wx_data", "city_id", "cities"), ("wx_data", "wmo_code", "wmo_c
                 ("cities", "div1_id", "admin_div_1"), ("admin_div_1", "state_id", "states"))
 
 
+RANGED = ("dtg", "temp_c", "precip_chance", "precip_mm")
+
+
 def check_ranges(earliest: str = EARLIEST_READING) -> dict[str, Column]:
     """Conditions a reading must not break; a null value passes."""
     low, high = TEMP_BOUNDS_C
@@ -33,19 +36,14 @@ def check_ranges(earliest: str = EARLIEST_READING) -> dict[str, Column]:
     }
 
 
-def _counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """One pass over ``df``: a (constraint, violations) row per rule that rows must not meet."""
-    totals = df.agg(*[F.count_if(broken).alias(name) for name, broken in rules.items()])
-    return totals.select(F.explode(F.map_from_arrays(
-        F.array(*map(F.lit, rules)), F.array(*[F.col(f"`{name}`") for name in rules])
-    )).alias("constraint", "violations"))
-
-
-def _row_rules(table: str, earliest: str) -> dict[str, Column]:
-    rules = {f"{table}_{c}_not_null": F.col(c).isNull() for c in NOT_NULL[table]}
+def _row_rules(table: str, earliest: str, columns: list[str] | None = None) -> dict[str, Column]:
+    """What rows must not meet; with ``columns``, only rules about those."""
+    rules = {c: {f"{table}_{c}_not_null": F.col(c).isNull()} for c in NOT_NULL[table]}
     if table == "wx_data":
-        rules |= {name: ~holds for name, holds in check_ranges(earliest).items()}
-    return rules
+        for (name, holds), c in zip(check_ranges(earliest).items(), RANGED):
+            rules.setdefault(c, {})[name] = ~holds
+    return {name: broken for c, named in rules.items() if columns is None or c in columns
+            for name, broken in named.items()}
 
 
 def _primary_key(df: DataFrame, table: str) -> DataFrame:
@@ -57,36 +55,49 @@ def _primary_key(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def _foreign_key(child: DataFrame, parent: DataFrame, table: str, key: str,
-                 parent_table: str) -> DataFrame:
-    """Child rows without a parent. Keys are counted first, so the join sees each key once."""
-    used = child.filter(F.col(key).isNotNull()).groupBy(key).agg(
-        F.count(F.lit(1)).alias("rows"))
-    orphans = used.join(parent.select(key), key, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")).select(
-        F.lit(f"{table}_{key}_{parent_table}_fk").alias("constraint"), "violations")
+def _row_and_reference_rules(tables: dict[str, DataFrame], table: str, earliest: str) -> DataFrame:
+    """All but the primary key from one pass: rows are counted by their foreign keys, with the rows
+    that break each rule, and only those counts meet the parents."""
+    rules = _row_rules(table, earliest)
+    keys = [(key, parent) for child, key, parent in FOREIGN_KEYS
+            if child == table and parent in tables]
+    counted = tables[table].groupBy(*[key for key, _ in keys]).agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count_if(broken).alias(name) for name, broken in rules.items()])
+    for key, parent in keys:
+        known = tables[parent].select(key).distinct().withColumn(f"__has_{key}", F.lit(True))
+        counted = counted.join(known, key, "left")
+        orphan = F.col(key).isNotNull() & F.col(f"__has_{key}").isNull()
+        counted = counted.withColumn(f"{table}_{key}_{parent}_fk",
+                                     F.when(orphan, F.col("__rows")).otherwise(0))
+    names = [*rules, *[f"{table}_{key}_{parent}_fk" for key, parent in keys]]
+    totals = counted.agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in names])
+    return totals.select(F.explode(F.map_from_arrays(
+        F.array(*map(F.lit, names)), F.array(*[F.col(f"`{name}`") for name in names])
+    )).alias("constraint", "violations"))
 
 
 def constraint_violations(tables: dict[str, DataFrame],
                           earliest: str = EARLIEST_READING) -> DataFrame:
-    """(constraint, violations) for every constraint of the star schema.
+    """(constraint, violations) for every constraint of the star schema, two passes per table.
 
     Tables missing from ``tables`` are skipped, so a single table can be checked too. Primary keys
     count the key values that occur more than once.
     """
     parts = []
     for table, df in tables.items():
-        parts += [_counts(df, _row_rules(table, earliest)), _primary_key(df, table)]
-    for table, key, parent in FOREIGN_KEYS:
-        if table in tables and parent in tables:
-            parts.append(_foreign_key(tables[table], tables[parent], table, key, parent))
+        parts += [_row_and_reference_rules(tables, table, earliest), _primary_key(df, table)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def quarantine(readings: DataFrame, tables: dict[str, DataFrame],
                earliest: str = EARLIEST_READING) -> DataFrame:
-    """Readings that break a row rule or a foreign key, with the names of what they break."""
-    broken = [F.when(rule, F.lit(name)) for name, rule in _row_rules("wx_data", earliest).items()]
+    """Readings that break a row rule or a foreign key, with the names of what they break.
+
+    Rules about columns that ``readings`` lacks, such as ids not yet given, are left out.
+    """
+    rules = _row_rules("wx_data", earliest, readings.columns)
+    broken = [F.when(rule, F.lit(name)) for name, rule in rules.items()]
     marked = readings
     for table, key, parent in FOREIGN_KEYS:
         if table == "wx_data" and parent in tables:

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions.weather import local_day, wet_flag
+from stationcast.operators.rejects import refuse
 
 
 def reading_measures() -> list:
-    """Aggregates of one city-day. Sums and counts merge, so Spark pre-aggregates map-side."""
+    """Aggregates of one city-day, in the readings' own types: decimals and integers add up to the same
+    sums in any order. They merge, so Spark pre-aggregates map-side."""
     code = F.nullif(F.trim("wmo_code"), F.lit("")).cast("int")
     return [
-        F.sum("temp_c").cast("double").alias("temp_sum"),
+        F.sum("temp_c").alias("temp_sum"),
         F.count("temp_c").alias("temp_n"),
-        F.max("temp_c").cast("double").alias("temp_max_c"),
-        F.min("temp_c").cast("double").alias("temp_min_c"),
-        F.sum("precip_mm").cast("double").alias("precip_mm"),
+        F.max("temp_c").alias("temp_max_c"),
+        F.min("temp_c").alias("temp_min_c"),
+        F.sum("precip_mm").alias("precip_mm"),
         F.max(code).alias("wmo_code"),
     ]
 
@@ -25,7 +27,10 @@ def finish_day(days: DataFrame, min_obs: int) -> DataFrame:
     """Turn merged sums into the city-day measures, keeping days with enough temperatures."""
     return (
         days.filter(F.col("temp_n") >= min_obs)
-        .withColumn("temp_mean_c", F.try_divide("temp_sum", F.col("temp_n").cast("double")))
+        .withColumn("temp_mean_c", F.try_divide(F.col("temp_sum").cast("double"),
+                                                F.col("temp_n").cast("double")))
+        .withColumns({c: F.col(c).cast("double")
+                      for c in ("temp_max_c", "temp_min_c", "precip_mm")})
         .drop("temp_sum", "temp_n")
     )
 
@@ -57,10 +62,8 @@ def name_clashes(days: DataFrame) -> DataFrame:
 
 def require_unique_names(days: DataFrame) -> DataFrame:
     """Return ``days`` unchanged, or fail naming cities whose series would be mixed."""
-    clashing = [row.city for row in name_clashes(days).select("city").orderBy("city").take(20)]
-    if clashing:
-        raise ValueError("more than one city row is named " + ", ".join(map(repr, clashing))
-                         + "; give the rows distinct city_name values")
+    refuse(name_clashes(days), "give the rows distinct city_name values; more than one is named",
+           "city")
     return days
 
 
@@ -88,7 +91,3 @@ def usable_range(features: DataFrame) -> DataFrame:
     """First and last servable day per city."""
     return features.groupBy("city").agg(
         F.min("date").alias("first_usable"), F.max("date").alias("last_usable"))
-
-
-def known_cities(days: DataFrame) -> DataFrame:
-    return days.select("city").distinct().orderBy("city")

@@ -3,7 +3,8 @@
 MLlib trains each model on the whole cluster; the driver holds only curves and scores. Rounds are
 chosen by patience on the validation curve. MLlib cannot stop that way itself, so a candidate is
 fitted with a growing budget and finally with exactly the chosen number of rounds; equal seeds make
-the shorter model the prefix of the longer one.
+the shorter model the prefix of the longer one. Boosting there knows two classes, so the sky condition
+is a random forest over all classes unless one boosted model per class is asked for.
 """
 
 from __future__ import annotations
@@ -16,7 +17,12 @@ from time import perf_counter
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
@@ -40,6 +46,8 @@ from stationcast.session import shared_dir
 ALWAYS_PRESENT = ("is_wet", "cond_today_", "target_", "hemisphere_", "latitude", "longitude",
                   "city_")
 FIRST_BUDGET = 64
+FOREST_TREES = 100
+CONDITION_MODELS = ("forest", "boosted")
 
 
 # --- feature matrix -----------------------------------------------------------------------------
@@ -134,10 +142,11 @@ def stopping_round(curve: list[float], patience: int = PATIENCE) -> tuple[int, b
 
 
 def learning_curve(curve: list[float], best: int, points: int = 8) -> list[tuple[int, float]]:
-    """The curve at about ``points`` even steps and at the kept round, rounds counted from 1."""
-    step = max(1, len(curve) // points)
-    kept = sorted({*range(0, len(curve), step), best}) if curve else []
-    return [(i + 1, float(curve[i])) for i in kept]
+    """(round, score) of the first round, of every ``points``-th part of the curve after it, and of
+    the kept round; rounds count from 1."""
+    apart = len(curve) // points or 1
+    return [(number, float(score)) for number, score in enumerate(curve, start=1)
+            if number % apart == 1 % apart or number - 1 == best]
 
 
 @dataclass
@@ -174,6 +183,23 @@ def fit_rounds(make: Callable[[dict, int, str], object], candidate: dict, train:
     return Fit(model, best, best + 1 >= budget, curve)
 
 
+def fit_forest(candidate: dict, train: DataFrame, validate: DataFrame, classes: int,
+               trees: int = FOREST_TREES) -> Fit:
+    """A random forest over all condition classes at once.
+
+    Its trees do not build on each other, so a candidate's rounds and step size do not apply: every
+    forest has ``trees`` trees, grown level by level together, and no learning curve.
+    """
+    model = RandomForestClassifier(
+        labelCol=TARGET_CONDITION, featuresCol="features", probabilityCol="p_forest",
+        rawPredictionCol="votes", predictionCol="hard", numTrees=trees,
+        maxDepth=candidate["max_depth"], subsamplingRate=candidate["subsample"],
+        featureSubsetStrategy=str(float(candidate["colsample_bytree"])),
+        minInstancesPerNode=candidate["min_child_weight"], seed=SEED,
+    ).fit(train.select("features", F.col(TARGET_CONDITION).cast("double").alias(TARGET_CONDITION)))
+    return Fit(model, trees - 1, False, [])
+
+
 def fit_class(candidate: dict, train: DataFrame, validate: DataFrame, index: int,
               patience: int = PATIENCE) -> Fit:
     """A boosted yes/no model of one condition class; MLlib boosting knows two classes only."""
@@ -197,8 +223,15 @@ def score_precipitation(model: GBTClassificationModel, rows: DataFrame) -> DataF
     return _positive(model, rows, "p_wet")
 
 
-def score_condition(models: list[GBTClassificationModel], rows: DataFrame) -> DataFrame:
-    """Class probabilities: the yes-probabilities of all classes, scaled to sum 1."""
+def score_condition(models: list, rows: DataFrame, classes: int) -> DataFrame:
+    """Class probabilities: those of a forest, or the yes-probabilities of one boosted model per class
+    scaled to sum 1. A class that a forest never saw gets 0."""
+    if isinstance(models[0], RandomForestClassificationModel):
+        voted = vector_to_array("p_forest")
+        padded = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)),
+                             lambda i: F.coalesce(F.get(voted, i), F.lit(0.0)))
+        return models[0].transform(rows).withColumn("p_condition", padded).drop(
+            "p_forest", "votes", "hard")
     parts = [f"__p_{i}" for i in range(len(models))]
     for name, model in zip(parts, models):
         rows = _positive(model, rows, name)
@@ -214,7 +247,7 @@ def evaluate(target: str, models: list, rows: DataFrame, classes: list[str]) ->
         scored = score_precipitation(models[0], rows)
         table = metrics.evaluate_precipitation(scored, TARGET_WET, "p_wet")
     else:
-        scored = score_condition(models, rows)
+        scored = score_condition(models, rows, len(classes))
         table = metrics.evaluate_condition(scored, TARGET_CONDITION, "p_condition", len(classes))
     return table.first().asDict()
 
@@ -236,12 +269,14 @@ class Trial:
 
 
 def _fit(target: str, candidate: dict, index: int, train: DataFrame, validate: DataFrame,
-         patience: int) -> tuple[Fit, float]:
+         patience: int, condition: str, classes: int) -> tuple[Fit, float]:
     started = perf_counter()
     if target == "temperature":
         fit = fit_rounds(regressor, candidate, train, validate, TARGET_TEMP, patience)
     elif target == "precipitation":
         fit = fit_rounds(classifier, candidate, train, validate, TARGET_WET, patience)
+    elif condition == "forest":
+        fit = fit_forest(candidate, train, validate, classes)
     else:
         fit = fit_class(candidate, train, validate, index, patience)
     return fit, perf_counter() - started
@@ -259,19 +294,23 @@ def _trial(target: str, candidate: dict, position: int, fits: list[tuple[Fit, fl
 
 
 def search(targets: list[str], rows: DataFrame, classes: list[str], grid=CANDIDATES,
-           patience: int = PATIENCE, parallel: int = 16) -> dict[str, list[Trial]]:
+           patience: int = PATIENCE, parallel: int = 16,
+           condition: str = "forest") -> dict[str, list[Trial]]:
     """Fit every candidate for every target and return the trials, best first.
 
     Fits are independent Spark jobs submitted from a few driver threads, the deepest first; with
-    the FAIR scheduler they share the executors. A condition candidate is one fit per class.
+    the FAIR scheduler they share the executors. The sky condition is a ``forest`` over all classes,
+    or ``boosted``: one boosted model, and one fit, per class.
     """
+    if condition not in CONDITION_MODELS:
+        raise ValueError(f"condition is one of: {', '.join(CONDITION_MODELS)}")
     spark = rows.sparkSession
     shared_dir(spark)
     train = rows.filter("split = 'train'").persist()
     validate = rows.filter("split = 'validate'").persist()
     trials = [(t, c, i) for t in targets for i, c in enumerate(grid)]
     units = [(t, c, i, k) for t, c, i in trials
-             for k in range(len(classes) if t == "condition" else 1)]
+             for k in range(len(classes) if (t, condition) == ("condition", "boosted") else 1)]
     units.sort(key=lambda u: -u[1]["max_depth"])
 
     def submit(pool, run, *args):
@@ -279,7 +318,8 @@ def search(targets: list[str], rows: DataFrame, classes: list[str], grid=CANDIDA
 
     try:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            running = {(t, i, k): submit(pool, _fit, t, c, k, train, validate, patience)
+            running = {(t, i, k): submit(pool, _fit, t, c, k, train, validate, patience, condition,
+                                         len(classes))
                        for t, c, i, k in units}
             fits = {key: future.result() for key, future in running.items()}
             scored = [
@@ -329,7 +369,7 @@ class Bundle:
     assembler: PipelineModel
     temperature: GBTRegressionModel
     precipitation: GBTClassificationModel
-    condition: list[GBTClassificationModel]
+    condition: list     # one forest, or one boosted model per class
     cities: DataFrame
     feature_names: list[str]
     classes: list[str]
@@ -347,22 +387,26 @@ class Bundle:
         self.assembler.write().overwrite().save(f"{path}/assembler")
         self.temperature.write().overwrite().save(f"{path}/temperature")
         self.precipitation.write().overwrite().save(f"{path}/precipitation")
+        kind = type(self.condition[0])
         for i, model in enumerate(self.condition):
             model.write().overwrite().save(f"{path}/condition/{i}")
         self.cities.write.mode("overwrite").parquet(f"{path}/cities")
-        meta = json.dumps({name: getattr(self, name) for name in self._META})
+        meta = json.dumps({name: getattr(self, name) for name in self._META}
+                          | {"condition_models": [kind.__name__, len(self.condition)]})
         self.cities.sparkSession.createDataFrame([(meta,)], "meta STRING").write.mode(
             "overwrite").parquet(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Bundle:
         meta = json.loads(spark.read.parquet(f"{path}/meta").first().meta)
+        name, number = meta.pop("condition_models")
+        kind = {c.__name__: c for c in (RandomForestClassificationModel,
+                                        GBTClassificationModel)}[name]
         return cls(
             assembler=PipelineModel.load(f"{path}/assembler"),
             temperature=GBTRegressionModel.load(f"{path}/temperature"),
             precipitation=GBTClassificationModel.load(f"{path}/precipitation"),
-            condition=[GBTClassificationModel.load(f"{path}/condition/{i}")
-                       for i in range(len(meta["classes"]))],
+            condition=[kind.load(f"{path}/condition/{i}") for i in range(number)],
             cities=spark.read.parquet(f"{path}/cities"),
             **meta)
 
@@ -371,4 +415,4 @@ class Bundle:
         rows = assemble(self.assembler, features)
         rows = score_temperature(self.temperature, rows)
         rows = score_precipitation(self.precipitation, rows)
-        return score_condition(self.condition, rows).drop("features")
+        return score_condition(self.condition, rows, len(self.classes)).drop("features")

@@ -3,24 +3,41 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationcast.operators import features as ft
-from stationcast.operators import load, training
+from stationcast.operators import load, quality, training
+from stationcast.operators.export import denormalised, recent_since_cutoff
 from stationcast.operators.forecast import forecast_documents
 from stationcast.operators.lookup import match_city, requests_to_features
+from stationcast.operators.rejects import refuse
 from stationcast.operators.rollup import first_coordinates
-from stationcast.operators.split import condition_encoder, require_enough_rows, split_64_16_20
-from stationcast.schemas import CANDIDATES, PATIENCE, TARGET_CONDITION
+from stationcast.operators.split import (
+    condition_encoder,
+    require_enough_rows,
+    split_64_16_20,
+    split_by_time,
+)
+from stationcast.schemas import CANDIDATES, EARLIEST_READING, PATIENCE, TARGET_CONDITION
 from stationcast.session import cut_lineage
-from stationcast.sources import export_csv, scan_star_schema, write_star_schema
+from stationcast.sources import (
+    export_csv,
+    export_json,
+    scan_payloads,
+    scan_star_schema,
+    trailing_years_filter,
+    write_star_schema,
+)
 
-SPLIT_NAME = "hash 64/16/20 by city and date"
+SPLIT_NAMES = {"hash": "hash 64/16/20 by city and date",
+               "exact": "hash 64/16/20 by city and date, exact sizes",
+               "time": "64/16/20 in order of time"}
 
 
-def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, exact: bool = False):
+def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, how: str = "hash"):
     """Labelled feature rows with class index and split; returns (rows, feature names, classes).
 
     The rows are stored once: encoding, splitting and assembling all read them again.
@@ -30,7 +47,10 @@ def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, exact: b
     encoder = condition_encoder(require_enough_rows(rows))
     coded = encoder.transform(rows).withColumn(
         TARGET_CONDITION, F.col(TARGET_CONDITION).cast("int"))
-    return split_64_16_20(coded, exact=exact), names, list(encoder.labels)
+    if how not in SPLIT_NAMES:
+        raise ValueError(f"unknown split {how!r}; expected one of: {', '.join(SPLIT_NAMES)}")
+    parts = split_by_time(coded) if how == "time" else split_64_16_20(coded, exact=how == "exact")
+    return parts, names, list(encoder.labels)
 
 
 def assembled(rows: DataFrame, names: list[str], city_vector: bool = False):
@@ -42,18 +62,22 @@ def assembled(rows: DataFrame, names: list[str], city_vector: bool = False):
 
 
 def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: str = "csv",
-          exact_split: bool = False, parallel: int = 16,
-          city_limit: int = ft.DENSE_CITY_LIMIT):
+          split: str = "hash", parallel: int = 16, cities: str = "vector",
+          condition: str = "forest"):
     """Search all targets, keep the best model of each; returns (bundle, trials).
 
-    Up to ``city_limit`` cities become 0/1 columns, more become one sparse vector.
+    ``cities`` names the form of the city: one sparse ``vector`` for any number of them, or 0/1
+    ``columns`` by name. ``split`` is ``hash``, ``exact`` or ``time``; ``condition`` the model of the
+    sky condition, see :func:`training.search`.
     """
+    if cities not in ("vector", "columns"):
+        raise ValueError("cities is 'vector' or 'columns'")
     days = cut_lineage(days)
-    vocabulary = ft.city_vocabulary(days, city_limit)
-    rows, names, classes = supervised_rows(days, vocabulary, exact_split)
-    assembler, vectors = assembled(rows, names, city_vector=vocabulary is None)
+    vocabulary = ft.city_vocabulary(days) if cities == "columns" else {}
+    rows, names, classes = supervised_rows(days, vocabulary, split)
+    assembler, vectors = assembled(rows, names, city_vector=cities == "vector")
     found = training.search(["temperature", "precipitation", "condition"], vectors, classes,
-                            grid, patience, parallel)
+                            grid, patience, parallel, condition)
     test = vectors.filter("split = 'test'")
     scores = {}
     for target, trials in found.items():
@@ -70,7 +94,7 @@ def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: st
         precipitation=found["precipitation"][0].models[0],
         condition=found["condition"][0].models,
         cities=first_coordinates(days), feature_names=names, classes=classes,
-        vocabulary=vocabulary or {}, metrics=scores, split=SPLIT_NAME, source=source,
+        vocabulary=vocabulary, metrics=scores, split=SPLIT_NAMES[split], source=source,
         trained_at=datetime.now(timezone.utc).isoformat(timespec="seconds"))
     return bundle, found
 
@@ -81,16 +105,18 @@ def export_train_csv(split_rows: DataFrame, path: str) -> None:
 
 
 def forecast(bundle: training.Bundle, days: DataFrame, requests: DataFrame) -> DataFrame:
-    """Forecast every request (query, as_of) at once; features are built for asked cities only.
+    """Forecast every request (query, as_of) at once.
 
-    Returns the request columns with ``city``, ``reason`` (why a request was refused) and the
+    The city-days are stored once. Features are built only for what was asked: per city the span of
+    its requests and the window before it. Returns the request columns with ``city``, ``reason`` (why a request was refused) and the
     nested ``forecast`` (null when refused).
     """
-    resolved = match_city(requests, ft.servable_cities(days))
-    asked = days.join(resolved.select("city").dropna().distinct(), "city", "left_semi")
-    features = ft.build_features(asked, bundle.vocabulary)
+    days = cut_lineage(days)
+    usable = cut_lineage(ft.usable_days(days))
+    resolved = cut_lineage(match_city(requests, usable).withColumn("as_of", F.to_date("as_of")))
+    features = ft.build_features(ft.asked_history(days, resolved), bundle.vocabulary)
     # Stored, because answered and refused requests take different ways from here.
-    joined = cut_lineage(requests_to_features(resolved, features))
+    joined = cut_lineage(requests_to_features(resolved, features, usable))
     ok = joined.filter("reason IS NULL")
     info = {"bundle_version": bundle.version, "trained_at": bundle.trained_at,
             "split": bundle.split,
@@ -103,36 +129,88 @@ def forecast(bundle: training.Bundle, days: DataFrame, requests: DataFrame) -> D
         joined.filter("reason IS NOT NULL").select(*kept), allowMissingColumns=True)
 
 
-def ingest(spark: SparkSession, obs: DataFrame, places: DataFrame, path: str,
-           replace: bool = False, natural_key: str = "reference") -> tuple[int, int]:
-    """Load city-days into the star schema at ``path``; returns (inserted, skipped).
+class Ingested(NamedTuple):
+    """What a load did: rows inserted, already there, held back, and with rain stored as 0."""
+
+    inserted: int
+    skipped: int
+    quarantined: int
+    stored_as_dry: int
 
-    The batch is stored once, since every step reads it. The location tables are extended first,
-    then codes, then facts; the extended dimensions are stored before their old files go.
+
+def ingest(spark: SparkSession, obs: DataFrame, places: DataFrame, path: str,
+           replace: bool = False, natural_key: str = "reference",
+           ingest_order: str | None = None, place_order: str | None = None,
+           earliest: str = EARLIEST_READING, strict_codes: bool = True) -> Ingested:
+    """Load city-days into the star schema at ``path``.
+
+    Of several copies of a city-day the first in ``ingest_order`` counts, of several places of a city
+    the last in ``place_order``; without these columns, copies that differ are refused. Rows that
+    break a constraint are appended to ``path/quarantine`` with what they break and never become
+    facts; a code without text is an error, or with ``strict_codes`` off such a row is held back too.
+
+    The batch is stored once, since every step reads it. Location tables come first, then codes,
+    then facts, each by appending what is missing, so a load that died can be run again.
     """
-    days = cut_lineage(load.normalize(obs))
-    codes = load.require_code_texts(
-        days.select(F.col("wmo_code").cast("int").cast("string").alias("wmo_code")))
+    days = cut_lineage(load.normalize(obs, ingest_order, strict=True))
+    used = days.select(F.col("wmo_code").cast("int").cast("string").alias("wmo_code"))
+    codes = load.require_code_texts(used) if strict_codes else load.code_texts(used).dropna()
     tables = scan_star_schema(spark, path)
-    cities = days.select("city").distinct()
-    named = cut_lineage(cities.join(places, "city", "left").select(
+    named = cut_lineage(days.select("city").distinct().join(
+        load.one_place_per_city(places, place_order), "city", "left").select(
         "city", F.col("country_code").isNotNull().alias("known"), "country", "country_code",
         "admin1"))
-    unplaced = [r.city for r in named.filter("NOT known").orderBy("city").take(20)]
-    if unplaced:
-        raise ValueError(f"no geocoding entry for {', '.join(map(repr, unplaced))}")
+    refuse(named.filter("NOT known").select("city"), "no geocoding entry for", "city")
     grown = load.load_reference(named, tables["states"], tables["admin_div_1"],
                                 tables["cities"], natural_key)
     ids = cut_lineage(grown.pop("city_ids"))
     grown["wmo_codes"] = load.insert_missing(tables["wmo_codes"], codes, ["wmo_code"])
-    write_star_schema({name: cut_lineage(df) for name, df in grown.items()}, path)
+    for name, df in grown.items():
+        key = quality.PRIMARY_KEYS[name]
+        added = cut_lineage(df.join(tables[name].select(key), key, "left_anti"))
+        added.select(*df.columns).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
 
     stage = cut_lineage(load.to_storage_rows(days, ids))
+    fresh = scan_star_schema(spark, path)
+    broken = cut_lineage(quality.quarantine(
+        stage, {"cities": fresh["cities"], "wmo_codes": fresh["wmo_codes"]}, earliest))
+    held = broken.count()
+    if held:
+        broken.write.mode("append").parquet(f"{path}/quarantine")
+        # One row per city-day, so the key tells good rows from bad ones.
+        stage = cut_lineage(stage.join(broken.select(*load.FACT_KEY), load.FACT_KEY, "left_anti"))
+    dry = load.rounded_to_dry(days).first()["stored_as_dry"]
     facts = f"{path}/wx_data"
     if replace:
         _, inserted = load.replace_facts(stage, tables["wx_data"], facts)
-        return inserted, 0
-    return load.load_facts(stage, tables["wx_data"], facts)
+        return Ingested(inserted, 0, held, dry)
+    return Ingested(*load.load_facts(stage, tables["wx_data"], facts), held, dry)
+
+
+def load_payloads(spark: SparkSession, folder: str, places: DataFrame, path: str,
+                  years: int = 5, end=None, **options) -> Ingested:
+    """Landed payload files to the star schema: rows per day, the trailing years, then ``ingest``."""
+    days = trailing_years_filter(scan_payloads(spark, folder), years, end)
+    return ingest(spark, days, places, path, **options)
+
+
+def export(tables: dict[str, DataFrame], path: str, days: int | None = None, now=None,
+           form: str = "csv") -> bool:
+    """Save the denormalised readings of the last ``days`` days as CSV or JSON lines.
+
+    Returns False, and writes nothing, when there are none.
+    """
+    if form not in ("csv", "json"):
+        raise ValueError(f"unknown export form {form!r}; expected csv or json")
+    facts = tables["wx_data"]
+    if days is not None:
+        facts = recent_since_cutoff(facts, now or datetime.now(timezone.utc), days)
+    if facts.isEmpty():
+        return False
+    rows = denormalised(facts, tables["cities"], tables["admin_div_1"], tables["states"],
+                        tables["wmo_codes"])
+    (export_csv if form == "csv" else export_json)(rows, path)
+    return True
 
 
 def empty_star_schema(spark: SparkSession, path: str) -> None:

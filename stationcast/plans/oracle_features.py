@@ -17,6 +17,9 @@ from stationcast.plans.oracle_views import (
     rnd,
 )
 
+CITY_SQL = [f"CASE WHEN city = 'NATION_{i}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
+            f"AS city_nation_{i}" for i in range(25)]
+
 ORACLES: dict[str, str] = {
     # 2.4 rollup and 2.2 projections
     "daily_rollup": pick(DAY_SQL, "fx_obs"),
@@ -34,12 +37,9 @@ ORACLES: dict[str, str] = {
     "drop_warmup": pick(["city", "date", rnd("roll30", "temp_mean_c_roll30_mean")],
                         "lab WHERE roll30 IS NOT NULL"),
     "labelled_rows": pick(["city", "date", *LABEL_SQL], "supervised"),
-    "feature_frame": f"SELECT * FROM ({pick(FEATURE_SQL, 'lab')}) "
+    "feature_frame": f"SELECT * FROM ({pick([*FEATURE_SQL, *CITY_SQL], 'lab')}) "
                      "WHERE temp_mean_c_roll30_mean IS NOT NULL",
-    "city_one_hot": "SELECT city, date, "
-                    + ", ".join(f"CASE WHEN city = 'NATION_{i}' THEN 1.0::DOUBLE "
-                                f"ELSE 0.0::DOUBLE END AS city_nation_{i}" for i in range(25))
-                    + " FROM days",
+    "city_one_hot": pick(["city", "date", *CITY_SQL], "days"),
     "record_gaps": """
         SELECT city, date, next_date, CAST(next_date - date AS INT) AS gap_days
         FROM (SELECT city, date, LEAD(date) OVER (PARTITION BY city ORDER BY date) AS next_date

@@ -67,10 +67,9 @@ ORACLES: dict[str, str] = {
     "export_denormalised": "SELECT * FROM exported",
     "export_csv": "SELECT * FROM exported",
     "export_json": "SELECT * FROM exported",
-    "export_train_csv": pick(
-        ["city", "date", rnd("temp_mean_c", "temp_mean_c"),
-         rnd("roll30", "temp_mean_c_roll30_mean"), rnd("y_temp_mean_c", "y_temp_mean_c"),
-         "y_is_wet", "y_condition"], "split_rows WHERE split = 'train'"),
+    "export_train_csv": f"""
+        SELECT f.* FROM ({pick(FEATURE_SQL, 'lab')}) f
+        JOIN (SELECT city, date FROM split_rows WHERE split = 'train') t USING (city, date)""",
     "trailing_years_filter": pick(
         DAY_SQL, "fx_obs WHERE date BETWEEN DATE '1998-02-28' AND DATE '2000-02-29'"),
     "recent_since_cutoff":
@@ -129,6 +128,19 @@ ORACLES: dict[str, str] = {
           NULLIF(split_part('USA,GBR,JPN,AUS,BRA,CAN,DEU,FRA,IND,MEX,,', ',',
                             c_nationkey % 12 + 1), '')
         FROM customer""",
+    "strict_code_rejects": """
+        SELECT u.wmo_code FROM (SELECT DISTINCT trim(wmo_code) AS wmo_code FROM fx_wx_data
+                                WHERE trim(wmo_code) <> '') u
+        WHERE u.wmo_code NOT IN (SELECT wmo_code FROM fx_wmo_codes)""",
+    # the messy rows once each, the first copy kept, those that break a CHECK held back
+    "ingest_round_trip": """
+        SELECT row_number() OVER (ORDER BY city, date) AS data_id, city, date,
+          CAST(format('{:.1f}', temp_mean_c) AS DOUBLE) + 0.0::DOUBLE AS temp_c,
+          CAST(round_even(precip_mm, 0) AS INT) AS precip_mm
+        FROM fx_obs o
+        WHERE date >= DATE '1996-01-01' AND NOT coalesce(day(date) = 7 AND precip_mm > 0, FALSE)
+          AND (wmo_code IS NULL
+               OR CAST(wmo_code AS VARCHAR) IN (SELECT wmo_code FROM fx_wmo_codes))""",
     # data quality
     "constraint_violations": CONSTRAINTS,
     "quarantined_rows": """
@@ -172,13 +184,14 @@ ORACLES: dict[str, str] = {
                    FROM asked),
         found AS (
           SELECT f.c_custkey, f.query, MIN(CASE WHEN k.slug = f.s THEN k.city END) AS exact,
-                 COUNT(k.city) AS n, MIN(k.city) AS lone
+                 COUNT(k.city) AS n, MIN(k.city) AS lone, MAX(k.city) AS final
           FROM folded f LEFT JOIN slugs k ON starts_with(k.slug, f.s)
           GROUP BY f.c_custkey, f.query)
         SELECT c_custkey, query,
           COALESCE(exact, CASE WHEN n = 1 THEN lone END) AS city,
           CASE WHEN exact IS NOT NULL OR n = 1 THEN NULL
-               WHEN n > 1 THEN 'ambiguous city' ELSE 'unknown city' END AS reason
+               WHEN n > 1 THEN 'ambiguous city: ' || n || ' fit, from ' || lone || ' to ' || final
+               ELSE 'unknown city' END AS reason
         FROM found""",
     "requests_to_features": f"""
         WITH asked AS (SELECT data_id, city_name AS city,
@@ -186,16 +199,14 @@ ORACLES: dict[str, str] = {
                               AS DATE) AS as_of FROM named_readings),
         usable AS (SELECT city, MIN(date) AS lo, MAX(date) AS hi FROM lab
                    WHERE roll30 IS NOT NULL GROUP BY city),
-        wet AS (SELECT city, date, {guarded('SUM', 'is_wet', 7)} AS wet7 FROM days)
-        SELECT a.data_id, a.city, a.as_of, {rnd('l.temp_mean_c', 'temp_mean_c')},
-          {rnd('l.roll30', 'temp_mean_c_roll30_mean')}, {rnd('w.wet7', 'wet_days_roll7')},
+        frame AS (SELECT * FROM ({pick(FEATURE_SQL, 'lab')})
+                  WHERE temp_mean_c_roll30_mean IS NOT NULL)
+        SELECT a.data_id, a.city, a.as_of, l.* EXCLUDE (city, date),
           CASE WHEN l.city IS NULL
                THEN 'no usable history for ' || a.city || ' on ' || a.as_of
                     || '; available dates run ' || u.lo || ' to ' || u.hi END AS reason
         FROM asked a
-        LEFT JOIN (SELECT * FROM lab WHERE roll30 IS NOT NULL) l
-          ON l.city = a.city AND l.date = a.as_of
-        LEFT JOIN wet w ON w.city = l.city AND w.date = l.date
+        LEFT JOIN frame l ON l.city = a.city AND l.date = a.as_of
         LEFT JOIN usable u ON u.city = a.city""",
     "point_lookup": """
         WITH asked AS (
@@ -231,10 +242,8 @@ ORACLES: dict[str, str] = {
     "serving_features": "SELECT * EXCLUDE (y_temp_mean_c, y_precip_mm, y_is_wet, y_condition) "
                         f"FROM ({pick(FEATURE_SQL, 'lab')}) WHERE date = DATE '2000-06-30' "
                         "AND temp_mean_c_roll30_mean IS NOT NULL",
-    # streaming: days that ended at least two days before the newest reading
-    "streaming_daily_rollup": pick(
-        DAY_SQL, "fx_obs WHERE date + INTERVAL 1 DAY <= "
-                 "(SELECT MAX(dtg) - INTERVAL 2 DAYS FROM fx_wx_data)"),
+    # streaming: all days, however the files fall into batches
+    "streaming_daily_rollup": pick(DAY_SQL, "fx_obs"),
     # split, baselines, scores
     "split_64_16_20": "SELECT city, date, split FROM split_rows",
     "split_exact": """

@@ -23,9 +23,11 @@ SOURCES = ("csv", "db")
 
 
 def scan_observations_csv(spark: SparkSession, path: str) -> DataFrame:
-    """City-day CSV with header, normalised. Columns are matched by name and typed strictly.
+    """City-day CSV with header, normalised. Columns are typed strictly.
 
-    Of several rows for one city-day the first in the file counts (files in path order).
+    All files of a folder must have the same columns in the same order: each header is compared and
+    another one is an error, since values are read by position. Of several rows for one city-day the
+    first in the file counts (files in path order).
     """
     header = spark.read.option("header", True).csv(path).columns
     missing = sorted({f.name for f in OBS_SCHEMA.fields} - set(header))
@@ -35,7 +37,7 @@ def scan_observations_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = ", ".join(f"`{c}` {types.get(c, 'string')}" for c in header)
     raw = (
         spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-        .option("encoding", "UTF-8").csv(path)
+        .option("encoding", "UTF-8").option("enforceSchema", False).csv(path)
     )
     # File, block and row within the block: the same for a task that runs again.
     place = F.struct("_metadata.file_path", "_metadata.file_block_start",
@@ -67,10 +69,13 @@ def scan_star_schema_jdbc(spark: SparkSession, url: str, schema: str, partitions
     return tables
 
 
-def load_observations(spark: SparkSession, source: str, path: str,
+def load_observations(spark: SparkSession, source: str, path: str | dict[str, DataFrame],
                       coordinates: DataFrame | None = None, tz: str = "UTC",
                       min_obs: int = 1) -> DataFrame:
-    """City-days with coordinates from a CSV (``csv``) or a star schema folder (``db``)."""
+    """City-days with coordinates from a CSV (``csv``) or a star schema (``db``).
+
+    The star schema is a Parquet folder, or its tables as either star schema reader returns them.
+    """
     kind = source.strip().lower()
     if kind not in SOURCES:
         raise ValueError(f"unknown data source {source!r}; expected one of: {', '.join(SOURCES)}")
@@ -78,7 +83,8 @@ def load_observations(spark: SparkSession, source: str, path: str,
         return scan_observations_csv(spark, path)
     if coordinates is None:
         raise ValueError("the star schema stores no coordinates: pass them")
-    tables = scan_star_schema(spark, path)
+    tables = path if isinstance(path, dict) else scan_star_schema(spark, path)
+    path = "the tables" if isinstance(path, dict) else path
     # The readings are scanned once: the checks below and the caller read the stored city-days.
     days = cut_lineage(daily_rollup(tables["wx_data"], tables["cities"], tz, min_obs))
     if days.isEmpty():

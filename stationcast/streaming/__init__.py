@@ -1,5 +1,5 @@
 """Structured Streaming form of the daily rollup."""
 
-from stationcast.streaming.daily import read_readings, run_available, stream_daily_rollup
+from stationcast.streaming.daily import merged_days, read_readings, run_available
 
-__all__ = ["read_readings", "run_available", "stream_daily_rollup"]
+__all__ = ["merged_days", "read_readings", "run_available"]

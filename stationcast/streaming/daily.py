@@ -1,41 +1,51 @@
-"""The daily rollup over a stream of readings: the batch aggregates, closed by a watermark."""
+"""The daily rollup over a stream of readings: every reading counts, in whatever order it arrives.
+
+Each micro-batch leaves the mergeable sums of its city-days in a folder named after the batch, which
+a repeated batch replaces. Reading merges the sums of all batches, so a late reading changes its day
+and no watermark decides what is too late.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stationcast.functions.weather import local_day
 from stationcast.operators.rollup import finish_day, reading_measures
 from stationcast.schemas import STAR_SCHEMAS
 
+#: How the sums of one city-day in several batches become one.
+MERGE = {"temp_sum": F.sum, "temp_n": F.sum, "temp_max_c": F.max, "temp_min_c": F.min,
+         "precip_mm": F.sum, "wmo_code": F.max}
+
+
+def read_readings(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """New reading files below ``path`` as a stream; how files fall into batches changes no result."""
+    reader = spark.readStream.schema(STAR_SCHEMAS["wx_data"])
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
+
+
+def run_available(readings: DataFrame, path: str, checkpoint: str, tz: str = "UTC") -> None:
+    """Add the sums of all readings that have arrived to ``path``, and stop."""
+    day = local_day(F.col("dtg"), readings.schema["dtg"].dataType.typeName(), tz)
+
+    def add(batch: DataFrame, number: int) -> None:
+        sums = batch.groupBy("city_id", day.alias("date")).agg(*reading_measures())
+        sums.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-def read_readings(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """New reading files below ``path`` as a stream."""
-    return spark.readStream.schema(STAR_SCHEMAS["wx_data"]).option(
-        "maxFilesPerTrigger", files_per_batch).parquet(path)
+    readings.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True).start().awaitTermination()
 
 
-def stream_daily_rollup(readings: DataFrame, cities: DataFrame, tz: str = "UTC",
-                        lateness: str = "2 days", min_obs: int = 1) -> DataFrame:
-    """One row per (city, local day), emitted once no reading of that day is awaited any more.
+def merged_days(spark: SparkSession, path: str, cities: DataFrame, min_obs: int = 1) -> DataFrame:
+    """One row per (city, local day) from the sums below ``path``: the batch rollup of all readings.
 
-    State holds one row of mergeable sums per open city-day, whatever the number of readings.
+    A day that is still open is there too, with what has arrived.
     """
-    local = readings.withColumn("local", F.from_utc_timestamp("dtg", tz)).withWatermark(
-        "local", lateness)
-    days = finish_day(
-        local.groupBy("city_id", F.window("local", "1 day")).agg(*reading_measures()), min_obs)
+    sums = spark.read.parquet(path).groupBy("city_id", "date").agg(
+        *[merge(c).alias(c) for c, merge in MERGE.items()])
     names = cities.select("city_id", F.col("city_name").alias("city"))
-    return days.join(names, "city_id").select(
-        "city", F.to_date("window.start").alias("date"), "temp_mean_c", "temp_max_c",
-        "temp_min_c", "precip_mm", "wmo_code")
-
-
-def run_available(days: DataFrame, path: str, checkpoint: str) -> None:
-    """Process everything that has arrived, append finished days to ``path``, and stop."""
-    query = (
-        days.writeStream.outputMode("append").format("parquet")
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    return finish_day(sums, min_obs).join(names, "city_id").select(
+        "city", "date", "temp_mean_c", "temp_max_c", "temp_min_c", "precip_mm", "wmo_code")

@@ -7,11 +7,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from stationcast.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 EAGER = {"train_temperature", "train_precipitation", "train_condition", "grid_search",
-         "batch_forecast", "streaming_daily_rollup"}
+         "batch_forecast", "streaming_daily_rollup", "ingest_round_trip", "strict_code_rejects"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -20,9 +20,9 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - EAGER))
 def test_no_pairwise_joins_and_no_single_task_windows(spark, name):
-    lines = plan_of(entry.queries()[name](spark, FOLDER)).splitlines()
+    lines = plan_of(catalog.queries()[name](spark, FOLDER)).splitlines()
     assert not [x for x in lines if re.search("CartesianProduct|NestedLoop", x)]
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
@@ -31,12 +31,12 @@ def test_no_pairwise_joins_and_no_single_task_windows(spark, name):
 
 
 def test_scans_read_only_needed_columns(spark):
-    plan = plan_of(entry.queries()["dataset_profile"](spark, FOLDER))
+    plan = plan_of(catalog.queries()["dataset_profile"](spark, FOLDER))
     read = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     assert not any("o_orderstatus" in r or "c_acctbal" in r for r in read)
 
 
 def test_facts_are_not_shuffled_for_the_export_joins(spark):
-    plan = plan_of(entry.queries()["export_denormalised"](spark, FOLDER))
+    plan = plan_of(catalog.queries()["export_denormalised"](spark, FOLDER))
     assert plan.count("BroadcastHashJoin") == 5 and "SortMergeJoin" not in plan
     assert "Exchange hashpartitioning" not in plan

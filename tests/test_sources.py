@@ -24,7 +24,7 @@ def test_csv_keeps_the_first_of_equal_city_days(spark, tmp_path):
     lines = ["city,latitude,longitude,date,temp_mean_c,temp_max_c,temp_min_c,precip_mm,wmo_code"]
     for day in range(1, 29):
         for temp in (50 + day, 10, 99):
-            lines.append(f"Oslo,59.9,10.7,2022-01-{day:02d},{temp},{temp},{temp},,")
+            lines.append(f"Oslo,59.9,10.7,2021-01-{day:02d},{temp},{temp},{temp},,")
     (tmp_path / "obs.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
     rows = sources.scan_observations_csv(spark, str(tmp_path / "obs.csv")).collect()
     assert {r.date.day: r.temp_mean_c for r in rows} == {d: 50.0 + d for d in range(1, 29)}
@@ -56,9 +56,9 @@ def test_csv_needs_all_nine_columns(spark, tmp_path):
 def test_json_export_keeps_nulls(spark, tmp_path):
     path = str(tmp_path / "out")
     sources.export_json(spark.createDataFrame(
-        [("Portland", None, date(2022, 1, 1))], "city_name STRING, temp_c DOUBLE, day DATE"), path)
+        [("Portland", None, date(2021, 1, 1))], "city_name STRING, temp_c DOUBLE, day DATE"), path)
     lines = [json.loads(r.value) for r in spark.read.text(path).collect()]
-    assert lines == [{"city_name": "Portland", "temp_c": None, "day": "2022-01-01"}]
+    assert lines == [{"city_name": "Portland", "temp_c": None, "day": "2021-01-01"}]
 
 
 def test_unknown_source_is_refused(spark):
@@ -68,7 +68,7 @@ def test_unknown_source_is_refused(spark):
 
 def test_csv_and_star_schema_give_equal_days(spark, tmp_path):
     days = to_spark(spark, make_days(6)).drop("latitude", "longitude")
-    ids = {"Testville": 1, "Southtown": 2, "Ácme City": 3}
+    ids = {"Brackwater": 1, "Umberfeld": 2, "Zörnach Bay": 3}
     city_ids = spark.createDataFrame(list(ids.items()), "city STRING, city_id INT")
     readings = days.join(city_ids, "city").select(
         F.monotonically_increasing_id().alias("data_id"), "city_id",
@@ -86,7 +86,7 @@ def test_csv_and_star_schema_give_equal_days(spark, tmp_path):
         **empty, "wx_data": readings,
         "cities": city_ids.select("city_id", F.col("city").alias("city_name"))}, path)
     coordinates = spark.createDataFrame(
-        [("testville", 40.0, -74.0), ("southtown", -33.0, 151.0), ("acme_city", 10.0, 20.0)],
+        [("brackwater", 40.0, -74.0), ("umberfeld", -33.0, 151.0), ("zornach_bay", 10.0, 20.0)],
         "slug STRING, latitude DOUBLE, longitude DOUBLE")
     out = sources.load_observations(spark, "db", path, coordinates)
     assert out.columns[:4] == ["city", "latitude", "longitude", "date"]
@@ -116,7 +116,7 @@ def payload_days(spark, payload):
 
 def test_payload_rows_follow_the_time_array(spark):
     rows = payload_days(spark, {"daily": {
-        "time": ["2022-01-01", "2022-01-02", "2022-01-03"],
+        "time": ["2021-01-01", "2021-01-02", "2021-01-03"],
         "temperature_2m_mean": [1.5, None], "temperature_2m_max": [],
         "precipitation_sum": [0, 1, 2, 3, 4], "weather_code": [61, 3, 0]}})
     assert [r.date.day for r in rows] == [1, 2, 3]
@@ -134,7 +134,7 @@ def test_payload_without_days_gives_no_rows(spark, payload):
 
 def test_broken_payload_is_an_error(spark):
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
-        payload_days(spark, '{"daily": {"time": ["2022-01-01"')
+        payload_days(spark, '{"daily": {"time": ["2021-01-01"')
 
 
 def test_geocode_map(spark):
@@ -169,3 +169,29 @@ def test_trailing_years():
 def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
     assert scratch_path(spark, "a").startswith(shared_dir(spark))
+
+
+def test_csv_folder_with_differing_headers_is_refused(spark, tmp_path):
+    columns = "city,latitude,longitude,date,temp_mean_c,temp_max_c,temp_min_c,precip_mm,wmo_code"
+    (tmp_path / "a.csv").write_text(f"{columns}\nVarn,1,2,2021-01-01,10,20,5,0,1\n")
+    same = sources.scan_observations_csv(spark, str(tmp_path)).collect()
+    assert [(r.temp_mean_c, r.temp_max_c) for r in same] == [(10.0, 20.0)]
+    swapped = columns.replace("temp_mean_c,temp_max_c", "temp_max_c,temp_mean_c")
+    for other in (f"{swapped}\nVarn,1,2,2021-01-02,20,10,5,0,1\n",
+                  f"{columns.removesuffix(',wmo_code')}\nVarn,1,2,2021-01-02,10,20,5,0\n"):
+        (tmp_path / "b.csv").write_text(other)
+        with pytest.raises(Exception, match="(?i)header"):
+            sources.scan_observations_csv(spark, str(tmp_path)).collect()
+
+
+def test_tables_of_either_reader_serve_as_source(spark, tmp_path):
+    days = to_spark(spark, make_days(4))
+    readings = days.select(
+        F.lit(1).alias("city_id"), F.col("date").cast("timestamp").alias("dtg"),
+        F.col("temp_mean_c").cast("decimal(4,1)").alias("temp_c"),
+        F.col("precip_mm").cast("int").alias("precip_mm"), F.lit("61").alias("wmo_code"))
+    cities = spark.createDataFrame([(1, "Brackwater")], "city_id INT, city_name STRING")
+    places = spark.createDataFrame([("brackwater", 54.2, -2.9)],
+                                   "slug STRING, latitude DOUBLE, longitude DOUBLE")
+    out = sources.load_observations(spark, "db", {"wx_data": readings, "cities": cities}, places)
+    assert out.count() == 4

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from stationcast.operators.rollup import daily_rollup
-from stationcast.streaming import read_readings, run_available, stream_daily_rollup
+from stationcast.streaming import merged_days, read_readings, run_available
 
 SCHEMA = "data_id BIGINT, city_id INT, dtg TIMESTAMP, temp_c DECIMAL(4,1), precip_mm INT, " \
          "wmo_code STRING"
@@ -21,15 +21,28 @@ def readings(spark, first_day, days):
     return rows
 
 
+def check(spark, sums, source, cities):
+    streamed = merged_days(spark, sums, cities)
+    batch = daily_rollup(spark.read.parquet(source), cities)
+    assert streamed.count() == batch.count() and streamed.exceptAll(batch).count() == 0
+    return batch.count()
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     cities = spark.createDataFrame([(1, "A"), (2, "B")], "city_id INT, city_name STRING")
-    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
-    for first_day, days in ((0, 6), (6, 6)):
-        readings(spark, first_day, days).write.mode("append").parquet(source)
-        stream = stream_daily_rollup(read_readings(spark, source), cities)
-        run_available(stream, out, state)
-    streamed = spark.read.parquet(out)
-    batch = daily_rollup(spark.read.parquet(source), cities)
-    closed = batch.filter("date < '2022-01-10'")
-    assert streamed.count() == closed.count() == 18
-    assert streamed.exceptAll(closed).count() == 0
+    source, sums, state = (str(tmp_path / n) for n in ("in", "sums", "state"))
+    for first_day in (0, 6):
+        readings(spark, first_day, 6).write.mode("append").parquet(source)
+        run_available(read_readings(spark, source), sums, state)
+    assert check(spark, sums, source, cities) == 24
+
+
+def test_order_of_files_and_batches_changes_nothing(spark, tmp_path):
+    cities = spark.createDataFrame([(1, "A"), (2, "B")], "city_id INT, city_name STRING")
+    source, sums, state = (str(tmp_path / n) for n in ("in", "sums", "state"))
+    # Readings of every day in every file, and the oldest days last.
+    readings(spark, 20, 10).repartition(5).write.parquet(source)
+    readings(spark, 0, 10).repartition(3).write.mode("append").parquet(source)
+    run_available(read_readings(spark, source, files_per_batch=1), sums, state)
+    assert spark.read.parquet(sums).select("batch").distinct().count() == 8
+    assert check(spark, sums, source, cities) == 40
