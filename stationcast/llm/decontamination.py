@@ -296,4 +296,4 @@ def op9_positional_index(spark, docs: DataFrame, benchmark: DataFrame) -> DataFr
         "doc_id", F.col("n_words").cast("bigint").alias("n_words"), n_hit.alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-        (F.size("spans") > 0).alias("contaminated"), "spans")
+        (F.size("spans") > 0).alias("contaminated"))

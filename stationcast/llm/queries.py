@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from stationcast.llm import decontamination, embeddings, lm, minhash, mixing, quality, sharding, substrings, toxicity, urls
+from stationcast.llm import (decontamination, embeddings, lm, minhash, mixing, oracles, quality,
+                             sharding, substrings, toxicity, urls)
 from stationcast.llm.store import table
 
 
@@ -22,4 +23,4 @@ QUERIES = {
     "op9_positional_index": _on(decontamination.op9_positional_index, "documents", "benchmark"),
     "op10_byte_shards": _on(sharding.op10_byte_shards, "documents"),
 }
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
