@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = (both.where("b > a").join(least, "a").select(b.alias("a"), F.col("m").alias("b"))
-                 .where("a > b").distinct())
+                 .where("a > b"))
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = (joined.where("b <> m").select(b.alias("a"), F.col("m").alias("b"))
