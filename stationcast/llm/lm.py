@@ -22,12 +22,12 @@ from stationcast.llm.text import FOLD, SPACE, slices, span_strings, split_words,
 
 #: The public vocabulary file of the query; read by the driver alone.
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
 LATTICE_BYTES = 1 << 18
 END = ""            # no word is empty
 
-POSTING = ("block bigint, word string, docs array<int>, counts array<int>, train array<int>, "
-           "ids array<bigint>, held array<boolean>")
+BLOCK = ("block bigint, ids array<bigint>, held array<boolean>, words array<string>, "
+         "trained binary, first array<int>, docs array<int>, counts array<int>")
 
 
 @dataclass
@@ -47,19 +47,24 @@ class Model:
         corpus's words, and theirs to the pieces.
         """
         total, d = counts.sum(axis=1), self.discount
+        if not self.tokens[-1]:
+            # Nothing was learnt: an end is as likely as any other token.
+            flat = np.log(0.5) + np.where(np.isneginf(lattice), 0.0, lattice)
+            return np.repeat(flat[:, None], counts.shape[1], axis=1)
         with np.errstate(divide="ignore"):
-            corpus = (np.maximum(total - d, 0) + d * self.types[-1] * np.exp(lattice)) / max(
-                1, self.tokens[-1])
-            own = (np.maximum(counts - d, 0) + d * self.types[:-1] * corpus[:, None]) / np.maximum(
-                1, self.tokens[:-1])
-            return np.log(np.where(self.tokens[:-1] > 0, own, corpus[:, None]))
+            corpus = np.logaddexp(np.log(np.maximum(total - d, 0)),
+                                  np.log(d * self.types[-1]) + lattice) - np.log(self.tokens[-1])
+            own = np.logaddexp(np.log(np.maximum(counts - d, 0)),
+                               np.log(d * self.types[:-1]) + corpus[:, None])
+            used = self.tokens[:-1] > 0
+            return np.where(used, own - np.log(np.maximum(1, self.tokens[:-1])), corpus[:, None])
 
 
-def word_postings(docs: DataFrame, train: Column, group: Column, groups: int) -> DataFrame:
-    """Words of all texts by block: in which of the block's documents, and how often, each occurs.
+def word_blocks(docs: DataFrame, train: Column, group: Column, groups: int) -> DataFrame:
+    """The documents in blocks of some 8 MB of whole texts, a row each, stored.
 
-    A block is some 6 MB of whole texts from one task. Postings are stored, since blocks are known by
-    the task that made them. The end is a token of every document; its row also lists the documents.
+    A block lists its distinct words, how often each occurs in training texts of every class, and in
+    which of its documents, how often. The end is a token of every document and the last word.
     """
     def build(batches):
         block = TaskContext.get().partitionId() << 32
@@ -76,37 +81,53 @@ def word_postings(docs: DataFrame, train: Column, group: Column, groups: int) ->
             pair = np.flatnonzero(new_pair)
             counts = np.diff(np.append(pair, len(order)))
             heads = np.flatnonzero(new_word)
-            first = np.searchsorted(pair, heads)
+            first = np.concatenate([np.searchsorted(pair, heads), [len(pair), len(pair) + n]])
             kept = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
             kind = batch.column("class").to_numpy(zero_copy_only=False).astype(np.int64)
-            trained = np.zeros((len(heads) + 1, groups), np.int64)
+            trained = np.zeros((len(heads) + 1, groups), np.int32)
             word_no = np.cumsum(new_word)[pair] - 1
             seen = kept[owner[pair]]
             np.add.at(trained, (word_no[seen], kind[owner[pair]][seen]), counts[seen])
             np.add.at(trained[-1], kind[kept], 1)
             at = order[heads]
-            names = span_strings(words.data, words.start[at], words.end[at])
-            total = len(heads) + 1
+            names = pa.concat_arrays([span_strings(words.data, words.start[at], words.end[at]),
+                                      pa.array([END])])
 
-            def lists(offsets, values, kind):
-                return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                pa.array(values, kind))
+            def row(values):
+                return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-            offsets = np.concatenate([first, [len(pair), len(pair) + n]])
-            only_end = np.concatenate([np.zeros(total), [n]]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(total, block)), pa.concat_arrays([names, pa.array([END])]),
-                lists(offsets, np.concatenate([owner[pair], np.arange(n)]), pa.int32()),
-                lists(offsets, np.concatenate([counts, np.ones(n, np.int64)]), pa.int32()),
-                lists(np.arange(total + 1) * groups, trained.ravel(), pa.int32()),
-                pa.ListArray.from_arrays(pa.array(only_end), batch.column("doc_id")),
-                pa.ListArray.from_arrays(pa.array(only_end), batch.column("held")),
-            ], ["block", "word", "docs", "counts", "train", "ids", "held"])
+                pa.array([block], pa.int64()), row(batch.column("doc_id")),
+                row(batch.column("held")), row(names), pa.array([trained.tobytes()], pa.binary()),
+                row(pa.array(first, pa.int32())),
+                row(pa.array(np.concatenate([owner[pair], np.arange(n)]), pa.int32())),
+                row(pa.array(np.concatenate([counts, np.ones(n, np.int64)]), pa.int32())),
+            ], ["block", "ids", "held", "words", "trained", "first", "docs", "counts"])
             block += 1
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
-                       train.alias("train"), (~train).alias("held"), group.cast("int").alias("class"))
-    return stored(rows.mapInArrow(build, POSTING), "postings")
+                       train.alias("train"), (~train).alias("held"),
+                       group.cast("int").alias("class"))
+    # Few blocks to a file: a reader holds a file's rows at once.
+    return stored(rows.mapInArrow(build, BLOCK), "blocks", maxRecordsPerFile=4)
+
+
+def block_words(blocks: DataFrame, count: list[str]) -> DataFrame:
+    """One row per block and word: word, block, place in the block, training counts."""
+    def flatten(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words = batch.column("words")[k].values
+                trained = np.frombuffer(batch.column("trained")[k].as_buffer(), np.int32).reshape(
+                    len(words), -1)
+                yield pa.RecordBatch.from_arrays([
+                    words, pa.array(np.full(len(words), batch.column("block")[k].as_py())),
+                    pa.array(np.arange(len(words), dtype=np.int32)),
+                    *[pa.array(np.ascontiguousarray(c)) for c in trained.T],
+                ], ["word", "block", "place", *count])
+
+    return blocks.select("block", "words", "trained").mapInArrow(flatten, ", ".join(
+        ["word string, block bigint, place int", *[f"{c} int" for c in count]]))
 
 
 def _lattices(batch: pa.RecordBatch, vocabulary: Vocabulary):
@@ -175,11 +196,11 @@ def score_documents(docs: DataFrame, train: Column | None = None, group: Column
     number = F.lit(groups - 1)
     for k, name in enumerate(common):
         number = F.when(group == name, k).otherwise(number)
-    postings = word_postings(docs, train, number, groups)
+    blocks = word_blocks(docs, train, number, groups)
 
     count = [f"c{k}" for k in range(groups)]
-    types = stored(postings.groupBy("word").agg(
-        *[F.sum(F.col("train")[k]).alias(c) for k, c in enumerate(count)]), "types")
+    words = block_words(blocks, count)
+    types = stored(words.groupBy("word").agg(*[F.sum(c).alias(c) for c in count]), "types")
     total = sum((F.col(c) for c in count[1:]), F.col(count[0]))
     stats = types.agg(
         *[F.sum(c).alias(f"n_{c}") for c in count], F.count_if(total > 0).alias("v_all"),
@@ -208,33 +229,33 @@ def score_documents(docs: DataFrame, train: Column | None = None, group: Column
 
     spelled = types.mapInArrow(spell, ", ".join(
         ["word string", *[f"{c} bigint" for c in count], "lattice float"]))
-    joined = postings.drop("train").join(spelled, "word").drop("word")
+    # Only words travel to their counts and back; which documents have them stays in the blocks.
+    found = words.select("word", "block", "place").join(spelled, "word").drop("word")
 
-    def add(table: pa.Table) -> pa.Table:
-        return _score_block(shared.value, table, count)
+    def add(left, right):
+        return _score_block(shared.value, left, right, count)
 
-    return joined.groupBy("block").applyInArrow(
+    return blocks.drop("words", "trained").groupBy("block").cogroup(
+        found.groupBy("block")).applyInArrow(
         add, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
              "train_tokens bigint, base_score double, score double")
 
 
-def _score_block(model: Model, table: pa.Table, count: list[str]) -> pa.Table:
-    table = table.combine_chunks()
-
+def _score_block(model: Model, block: pa.Table, found: pa.Table, count: list[str]) -> pa.Table:
     def flat(name):
-        return table.column(name).combine_chunks().flatten()
+        return block.column(name).combine_chunks().flatten()
 
-    ids, held = flat("ids"), flat("held")
-    n = len(ids)
-    docs = flat("docs").to_numpy()
+    ids, held, docs = flat("ids"), flat("held"), flat("docs").to_numpy()
     times = flat("counts").to_numpy().astype(float)
-    offsets = table.column("docs").combine_chunks().value_lengths().to_numpy()
-    row = np.repeat(np.arange(table.num_rows), offsets)
-    counts = np.column_stack([table.column(c).to_numpy() for c in count]).astype(float)
+    first = flat("first").to_numpy()
+    n = len(ids)
+    order = np.argsort(found.column("place").to_numpy(), kind="stable")
+    counts = np.column_stack([found.column(c).to_numpy() for c in count])[order].astype(float)
+    lattice = found.column("lattice").to_numpy()[order].astype(float)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
     total, all_tokens = counts.sum(axis=1), model.tokens[-1]
-    half = all_tokens + 0.5 * (model.types[-1] + 1)
-    base = np.log10((total + 0.5) / half)
-    by_class = model.class_scores(counts, table.column("lattice").to_numpy().astype(float))
+    base = np.log10((total + 0.5) / (all_tokens + 0.5 * (model.types[-1] + 1)))
+    by_class = model.class_scores(counts, lattice)
     scores = np.column_stack([np.bincount(docs, times * by_class[row, k], n)
                               for k in range(len(count))])
     with np.errstate(divide="ignore"):
