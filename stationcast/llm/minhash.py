@@ -13,10 +13,10 @@ from stationcast.llm.text import FOLD, SPACE, mix, slices, split_words
 
 CHUNK_BYTES = 4 << 20
 SHINGLE = 5
-BANDS, ROWS = 20, 5
+BANDS, ROWS = 32, 7
 THRESHOLD = 0.8
 #: Pairs beyond the stars are verified if so many registers agree: 4 deviations below the threshold.
-ESTIMATE = 0.64
+ESTIMATE = 0.68
 PAIR_BYTES = 4 << 20
 
 
@@ -134,15 +134,21 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return signed.select("doc_id", "key"), classes
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) of classes whose texts' similarity reaches the threshold."""
-    needed = stored(pairs.select("a").union(pairs.select("b")).distinct().join(
-        classes.select(F.col("cid").alias("a"), "key", F.col("rep").alias("doc_id")), "a"), "needed")
-    # One copy of each text is fetched, by key and id, so that copies of one text do not meet.
-    texts = stored(null_safe_join(
-        docs.select("doc_id", text_key().alias("key"), "text"), needed, ["key", "doc_id"])
-        .select("a", "key", "doc_id", "text").dropDuplicates(["key", "doc_id"]), "texts")
+def _texts_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The texts of the classes ``wanted`` (cid), stored: cid, text.
+
+    One copy of each text is fetched, by key and id, so that copies of one text do not meet. This is
+    the one step that moves texts; the hint keeps it the same at every size.
+    """
+    needed = wanted.join(classes.select("cid", "key", F.col("rep").alias("doc_id")), "cid")
+    keyed = docs.select("doc_id", text_key().alias("key"), "text").hint("merge")
+    return stored(null_safe_join(keyed, needed, ["key", "doc_id"])
+                  .select("cid", "key", "doc_id", "text").dropDuplicates(["key", "doc_id"])
+                  .select("cid", "text"), "texts")
 
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of classes whose texts' similarity reaches the threshold."""
     def verify(batches):
         for batch in batches:
             for part in slices(iter([batch]), "text_a", PAIR_BYTES):
@@ -152,11 +158,33 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, threshold:
                         for k in range(part.num_rows)]
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    named = texts.select("a", F.col("text").alias("text_a"))
-    other = texts.select(F.col("a").alias("b"), F.col("text").alias("text_b"))
-    return stored(pairs.select("a", "b").join(named, "a").join(other, "b")
-                  .select("a", "b", "text_a", "text_b").mapInArrow(verify, "a bigint, b bigint"),
-                  "links")
+    named = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
+    return stored(pairs.select("a", "b").hint("merge").join(named, "a").hint("merge")
+                  .join(other, "b").select("a", "b", "text_a", "text_b")
+                  .mapInArrow(verify, "a bigint, b bigint"), "links")
+
+
+def _reach(texts: DataFrame) -> DataFrame:
+    """Of each text (cid, text) the weight of its shingles, of those that another of the texts has too,
+    and whether every shingle occurs once. Only these texts are candidates for each other."""
+    def shingle(batches):
+        for batch in slices(batches, "text", CHUNK_BYTES):
+            owner, value, weight = weighted_shingles(batch.column("text"))
+            ids = batch.column("cid").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[owner]), pa.array(value.view(np.int64)), pa.array(weight)],
+                ["cid", "shingle", "weight"])
+
+    rows = texts.select("cid", "text").mapInArrow(
+        shingle, "cid bigint, shingle bigint, weight double")
+    single = (rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("cid").alias("cid"),
+                                          F.max("weight").alias("weight")).where("n = 1")
+              .groupBy("cid").agg(F.sum("weight").alias("own")))
+    whole = rows.groupBy("cid").agg(F.sum("weight").alias("weight"),
+                                    (F.max("weight") == 1).alias("plain"))
+    return whole.join(single, "cid", "left").select(
+        "cid", "weight", "plain", (F.col("weight") - F.coalesce("own", F.lit(0.0))).alias("shared"))
 
 
 def _per_row(column: pa.Array, n: int):
@@ -168,11 +196,13 @@ def _per_row(column: pa.Array, n: int):
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Classes of documents linked by near-equal texts: doc_id, key, class_id, keeper.
 
-    Texts are signed with 100 registers in 20 bands. In every band the texts that agree are compared
-    with one of them, another in each band, and links are kept where the exact probability Jaccard
-    of five-word shingles (weighted by count) reaches ``threshold``. Texts that share a band but are
-    not connected after that are compared with each other, unless the registers put them far below
-    the threshold, so that no link within a band is lost and no group is paired out.
+    Texts are signed with 224 registers in 32 bands of seven: texts at the threshold agree in some
+    band with a probability of 0.9995. In every band the texts that agree are compared with the one
+    that agrees with most others in all, and links are kept where the exact probability Jaccard of
+    five-word shingles (weighted by count) reaches ``threshold``. Texts that share a band but are not
+    connected after that are compared with each other, unless what they share with any of these texts
+    rules a link out, or the registers put them far below the threshold. So no link within a band is
+    lost, and a group of copies is not paired out.
 
     ``class_id`` is the smallest doc_id of all documents reachable over links; ``key`` the MD5 of the
     text; ``keeper`` marks the class's one text and id to keep. Equal texts are always together;
@@ -181,26 +211,44 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     empty table gives no rows.
     """
     rows, classes = _classes(docs)
-    banded = stored(classes.select("cid", F.posexplode("bands").alias("band", "value")), "bands")
-    order = F.struct(F.xxhash64("cid", "band").alias("h"), F.col("cid").alias("c"))
-    buckets = stored(banded.groupBy("band", "value").agg(
-        F.min(order)["c"].alias("center"), F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = stored(banded.join(buckets, ["band", "value"]), "members")
-    stars = stored(members.where("cid <> center").select(
+    banded = classes.select("cid", F.posexplode("bands").alias("band", "value"))
+    shared = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(banded.join(shared, ["band", "value"]), "members")
+    # The center of a group of copies is in larger buckets than the copies, which agree with it more
+    # than with each other: it is the one to compare with.
+    crowd = members.groupBy("cid").agg(F.sum("n").alias("crowd"))
+    ranked = members.join(crowd, "cid")
+    first = F.max(F.struct("crowd", F.xxhash64("cid", "band"), F.col("cid").alias("c")))["c"]
+    centers = ranked.groupBy("band", "value").agg(first.alias("center"))
+    stars = stored(members.join(centers, ["band", "value"]).where("cid <> center").select(
         F.least("cid", "center").alias("a"), F.greatest("cid", "center").alias("b")).distinct(),
         "stars")
-    links = _verified(stars, classes, docs, threshold)
+    texts = _texts_of(members.select("cid").distinct(), classes, docs)
+    links = _verified(stars, texts, threshold)
     found = connected_components(links).withColumnRenamed("node", "cid")
     placed = members.select("band", "value", "cid").join(found, "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     mixed = placed.groupBy("band", "value").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     rest = stored(placed.join(mixed.select("band", "value"), ["band", "value"]), "rest")
-    marks = classes.select("cid", "marks")
-    first = rest.select("band", "value", F.col("cid").alias("a"), F.col("component").alias("ca"))
-    second = rest.select("band", "value", F.col("cid").alias("b"), F.col("component").alias("cb"))
-    across = (first.join(second, ["band", "value"]).where("a < b AND ca <> cb")
-              .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
+    reach = stored(_reach(rest.select("cid").distinct().join(texts, "cid"))
+                   .join(classes.select("cid", "marks"), "cid"), "reach")
+    placed = rest.join(reach.drop("marks"), "cid")
+    first, second = (placed.select(*[F.col(c).alias(f"{c}_{side}") for c in (
+        "band", "value", "cid", "component", "weight", "shared", "plain")]) for side in "ab")
+    same = (F.col("band_a") == F.col("band_b")) & (F.col("value_a") == F.col("value_b"))
+    # What both may share bounds their similarity: if every weight is one by the smaller part, and
+    # else by the concavity of a * b / (P * b + Q * a) in the shared weights a and b.
+    common = F.least("shared_a", "shared_b")
+    bound = F.when(F.col("plain_a") & F.col("plain_b"),
+                   common / (F.col("weight_a") + F.col("weight_b") - common)).otherwise(
+        1 / (F.col("weight_a") / F.col("shared_a") + F.col("weight_b") / F.col("shared_b") - 1))
+    possible = ((F.col("cid_a") < F.col("cid_b")) & (F.col("component_a") != F.col("component_b"))
+                & (common > 0) & (bound >= threshold - 1e-9))
+    across = (first.join(second, same & possible).select(
+        F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
+        .join(stars, ["a", "b"], "left_anti"))
+    marks = reach.select("cid", "marks")
 
     def agree(batches):
         for batch in batches:
@@ -214,8 +262,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         .join(marks.select(F.col("cid").alias("b"), F.col("marks").alias("marks_b")), "b")
         .select("a", "b", "marks_a", "marks_b").mapInArrow(agree, "a bigint, b bigint"), "close")
     if not close.isEmpty():
-        links = links.unionByName(_verified(close, classes, docs, threshold))
-        found = connected_components(links).withColumnRenamed("node", "cid")
+        # The stars found so far stand for their links.
+        more = _verified(close, texts, threshold).unionByName(
+            found.select(F.col("cid").alias("a"), F.col("component").alias("b")))
+        found = connected_components(more).withColumnRenamed("node", "cid")
     member = classes.join(found, "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     best = member.groupBy("component").agg(
