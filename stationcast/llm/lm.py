@@ -27,7 +27,7 @@ LATTICE_BYTES = 1 << 18
 END = ""            # no word is empty
 
 BLOCK = ("block bigint, ids array<bigint>, held array<boolean>, words array<string>, "
-         "trained binary, first array<int>, docs array<int>, counts array<int>")
+         "trained binary, first array<int>, pairs binary")
 
 
 @dataclass
@@ -100,9 +100,9 @@ def word_blocks(docs: DataFrame, train: Column, group: Column, groups: int) -> D
                 pa.array([block], pa.int64()), row(batch.column("doc_id")),
                 row(batch.column("held")), row(names), pa.array([trained.tobytes()], pa.binary()),
                 row(pa.array(first, pa.int32())),
-                row(pa.array(np.concatenate([owner[pair], np.arange(n)]), pa.int32())),
-                row(pa.array(np.concatenate([counts, np.ones(n, np.int64)]), pa.int32())),
-            ], ["block", "ids", "held", "words", "trained", "first", "docs", "counts"])
+                pa.array([_packed(np.concatenate([owner[pair], np.arange(n)]),
+                                  np.concatenate([counts, np.ones(n, np.int64)]))], pa.binary()),
+            ], ["block", "ids", "held", "words", "trained", "first", "pairs"])
             block += 1
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
@@ -112,6 +112,18 @@ def word_blocks(docs: DataFrame, train: Column, group: Column, groups: int) -> D
     return stored(rows.mapInArrow(build, BLOCK), "blocks", maxRecordsPerFile=4)
 
 
+def _packed(docs: np.ndarray, counts: np.ndarray) -> bytes:
+    """Documents (as steps, which are small) and counts, compressed: the bulk of a block."""
+    steps = np.diff(docs, prepend=0)
+    return pa.compress(np.concatenate([steps, counts]).astype(np.int32).tobytes(), "zstd",
+                       asbytes=True)
+
+
+def _unpacked(pairs: pa.Scalar, n: int) -> tuple[np.ndarray, np.ndarray]:
+    both = np.frombuffer(pa.decompress(pairs.as_buffer(), 8 * n, "zstd"), np.int32)
+    return np.cumsum(both[:n], dtype=np.int64), both[n:].astype(float)
+
+
 def block_words(blocks: DataFrame, count: list[str]) -> DataFrame:
     """One row per block and word: word, block, place in the block, training counts."""
     def flatten(batches):
@@ -245,9 +257,8 @@ def _score_block(model: Model, block: pa.Table, found: pa.Table, count: list[str
     def flat(name):
         return block.column(name).combine_chunks().flatten()
 
-    ids, held, docs = flat("ids"), flat("held"), flat("docs").to_numpy()
-    times = flat("counts").to_numpy().astype(float)
-    first = flat("first").to_numpy()
+    ids, held, first = flat("ids"), flat("held"), flat("first").to_numpy()
+    docs, times = _unpacked(block.column("pairs")[0], int(first[-1]))
     n = len(ids)
     order = np.argsort(found.column("place").to_numpy(), kind="stable")
     counts = np.column_stack([found.column(c).to_numpy() for c in count])[order].astype(float)
