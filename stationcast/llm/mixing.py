@@ -85,9 +85,10 @@ def plan_mix(narrow: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     sums = bins.where("bin IS NOT NULL").withColumn(
         "before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    cut = stored(null_safe_join(sums, left, ["source"]).where(
-        (F.col("before") < F.col("left")) & (F.col("before") + F.col("words") > F.col("left"))
-    ).select("source", "bin", "before", "left"), "cut")
+    # The last bin that begins at or before the cut; every source with words left to take has one.
+    cut = stored(null_safe_join(sums, left, ["source"]).where("before <= left").groupBy("source")
+                 .agg(F.max(F.struct("bin", "before", "left")).alias("at"))
+                 .select("source", "at.*"), "cut")
 
     inside = Window.partitionBy("source").orderBy("rank").rowsBetween(
         Window.unboundedPreceding, -1)
@@ -102,9 +103,9 @@ def plan_mix(narrow: DataFrame, weights: tuple[int, ...], cap: int) -> DataFrame
     # Nothing of the bin on the cut may fit: the cut is then just below it.
     cuts = null_safe_join(cut, last, ["source"], "left").select("source", F.coalesce(
         "last", F.col("bin") / BINS - 1e-12).alias("cut_rank"))
-    # A source without a cut takes every fraction.
+    # Without a cut there is no fraction, or rounding left less than no words for them.
     return stored(null_safe_join(plan, cuts, ["source"], "left").withColumn(
-        "cut_rank", F.coalesce("cut_rank", F.lit(2.0))), "plan")
+        "cut_rank", F.coalesce("cut_rank", F.lit(-1.0))), "plan")
 
 
 def copies_to_take(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int = 3,

@@ -6,10 +6,12 @@ import re
 import zlib
 from collections import defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from stationcast.llm import mixing, queries, sharding, urls
+from stationcast.llm import mixing, oracles, queries, sharding, urls
+from tests import compare
 from tests.llm.conftest import ODD_ROWS, make_docs
 
 
@@ -115,6 +117,22 @@ def test_small_sources_stop_at_three_copies(spark):
     assert {r["copies"] for r in rows if r["source"] == "f"} <= {0, 1}
 
 
+def test_a_cut_between_documents_is_met(spark, tmp_path):
+    # 240 words share as 150, 60 and 30: whole documents of ten words meet each of them.
+    equal = [(k, " ".join(["w"] * 10), "abc"[k % 3]) for k in range(24)]
+    empty = [(100 + k, "", "abc"[k % 3]) for k in range(60)]
+    for number, rows in enumerate((equal, equal + empty)):
+        docs = make_docs(spark, rows)
+        (folder := tmp_path / str(number)).mkdir()
+        pq.write_table(docs.toArrow(), folder / "documents.parquet")
+        taken = defaultdict(int)
+        for r in mixing.copies_to_take(docs).collect():
+            taken[r["source"]] += r["taken"]
+        assert taken == {"a": 150, "b": 60, "c": 30}
+        assert compare.differences(mixing.op3_pareto_mix(spark, docs), compare.duck(str(folder)),
+                                   oracles.ORACLES["op3_pareto_mix"]) == []
+
+
 def test_mixed_rows_repeat_whole_rows(spark, odd_docs, no_docs):
     taken = {(r["doc_id"], r["size"]): r["copies"]
              for r in mixing.copies_to_take(odd_docs).collect()}
