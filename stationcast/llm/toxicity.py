@@ -36,8 +36,9 @@ _SYMBOL[0x61:0x7B] = np.arange(1, 27)
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B], _LETTER[0x80:] = True, True
 # Marks around a word that belong to the sentence.
+MARKS = b".,;:?!\"'()[]{}<>-_|~`/\\*#%&=+^"
 _MARK = np.zeros(256, bool)
-_MARK[list(b".,;:?!\"'()[]{}<>-_|~`/\\*#%&=+^")] = True
+_MARK[list(MARKS)] = True
 
 #: Letters a sign may stand for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b",
@@ -46,6 +47,8 @@ _READINGS = np.zeros((256, 2), np.int64)
 for _sign, _letters in LEET.items():
     for _k, _letter in enumerate(_letters):
         _READINGS[ord(_sign), _k] = ord(_letter) - 96
+#: Marks that may also stand for letters.
+_SIGN = _MARK & (_READINGS[:, 0] > 0)
 # Channel costs (natural log): reading a sign as a letter, or as itself; reading a letter once more
 # than its first time; reading a space between single characters as a word boundary.
 SWAP, KEEP, DOUBLE, BREAK = -1.0, -6.0, -2.0, -5.0
@@ -201,8 +204,10 @@ def _viterbi(tokens: list[bytes], transitions: np.ndarray) -> list[bytes]:
 def restored_features(column: pa.Array, transitions: np.ndarray):
     """Hashes of the words, and of the stems of longer ones, of the restored texts, and their texts.
 
-    Words of letters alone are their only reading. Other tokens, and runs of three or more single
-    characters with the spaces between them, are decoded; equal tokens once per batch.
+    Words of letters alone are read as they are. Other tokens, and runs of three or more single
+    characters with the spaces between them, are decoded; equal tokens once per batch. What may be
+    either has both readings: a word with a doubled letter, or with a sign that may stand for a letter
+    among the marks around it, is decoded as well, and so are runs to which such signs belong.
     """
     words = split_words(column, SPACE, FOLD)
     n = len(words)
@@ -211,21 +216,21 @@ def restored_features(column: pa.Array, transitions: np.ndarray):
         return none
     clean, start, end = _clean(words)
     owner = words.owner
-    single = (words.end - words.start == 1) & ~_MARK[words.data[words.start]]
-    edge = np.concatenate([[True], (single[1:] != single[:-1]) | (owner[1:] != owner[:-1])])
-    run = np.cumsum(edge) - 1
-    head = np.flatnonzero(edge)
-    size = np.diff(np.append(head, n))
-    spaced = single[head] & (size >= 3)
+    single, mark = words.end - words.start == 1, words.data[words.start]
+    run, head, size, spaced = _runs(single & ~_MARK[mark], owner)
     in_run = spaced[run]
     plain = np.flatnonzero(clean & ~in_run)
     hashes, texts = _word_and_stem(words.data, start[plain], end[plain], owner[plain])
     noisy = np.flatnonzero(~clean & ~in_run & (end > start))
     runs = np.flatnonzero(spaced)
+    both = np.flatnonzero(clean & (_doubled(words.data, start, end) | _signed(words)))
+    _, wide, width, spaced = _runs(single & (~_MARK | _SIGN)[mark], owner)
+    signs = np.add.reduceat(single & _SIGN[mark], wide)
+    wide, width = wide[spaced & (signs > 0)], width[spaced & (signs > 0)]
     # Marks at the end may stand for letters too: decode the token as written.
-    begin = np.concatenate([words.start[noisy], words.start[head[runs]]])
-    stop = np.concatenate([words.end[noisy], words.end[head[runs] + size[runs] - 1]])
-    of = np.concatenate([owner[noisy], owner[head[runs]]])
+    first = np.concatenate([noisy, head[runs], wide, both])
+    last = np.concatenate([noisy, head[runs] + size[runs] - 1, wide + width - 1, both])
+    begin, stop, of = words.start[first], words.end[last], owner[first]
     if len(begin):
         raw = words.data.tobytes()
         tokens = [b" ".join(raw[b:e].split()) for b, e in zip(begin.tolist(), stop.tolist())]
@@ -235,6 +240,9 @@ def restored_features(column: pa.Array, transitions: np.ndarray):
         which = np.array([number[t] for t in tokens])
         joined = split_words(pa.array([r.decode("utf-8", "ignore") for r in readings]), SPACE)
         many = joined.counts[which]
+        # The plain reading of a word counts once.
+        same = np.array([r == t.strip(MARKS) for r, t in zip(readings, distinct)])
+        many[len(many) - len(both):][same[which[len(many) - len(both):]]] = 0
         at = ranges(joined.first[:-1][which], many)
         new, new_texts = _word_and_stem(joined.data, joined.start, joined.end,
                                         np.arange(len(joined)), keep=True)
@@ -243,6 +251,28 @@ def restored_features(column: pa.Array, transitions: np.ndarray):
     return hashes, texts
 
 
+def _runs(single, owner):
+    """Runs of words alike in ``single`` within a text: each word's run, each run's first word and
+    size, and whether it is three or more of the single ones."""
+    edge = np.concatenate([[True], (single[1:] != single[:-1]) | (owner[1:] != owner[:-1])])
+    head = np.flatnonzero(edge)
+    size = np.diff(np.append(head, len(single)))
+    return np.cumsum(edge) - 1, head, size, single[head] & (size >= 3)
+
+
+def _doubled(data, start, end):
+    """Which spans, none of them empty, hold a letter twice in a row."""
+    twice = np.zeros(len(data) + 1, np.int64)
+    twice[2:] = np.cumsum((data[1:] == data[:-1]) & (data[1:] < 0x80) & _LETTER[data[1:]])
+    return twice[end] > twice[start + 1]
+
+
+def _signed(words):
+    """Which words hold a mark that may stand for a letter."""
+    signs = np.concatenate([[0], np.cumsum(_SIGN[words.data])])
+    return signs[words.end] > signs[words.start]
+
+
 def _word_and_stem(data, start, end, owner, keep=False):
     word = hash_spans(data, start, end)
     stem = mix(hash_spans(data, start, np.minimum(end, start + PREFIX)), salt=1)

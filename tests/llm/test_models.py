@@ -11,7 +11,7 @@ import pytest
 
 from stationcast.llm import quality, toxicity
 from stationcast.llm.lattice import Lattice, make_vocabulary
-from stationcast.llm.text import split_words
+from stationcast.llm.text import hash_spans, split_words
 
 
 def segmentations(word: bytes, pieces):
@@ -148,3 +148,28 @@ def test_decoding_restores_disguised_words():
     long = b"1d10t." * 500
     assert toxicity.decode([long, b"idiot"], model)[1] == b"idiot"
     assert toxicity.decode([], model) == []
+
+
+@pytest.mark.parametrize("text, words", [
+    ("you iddiot", "you iddiot idiot"), ("stuupid world", "stuupid stupid world"),
+    ("hello you", "hello you"), ("!diot", "diot idiot"), ("(idio+)", "idio idiot"),
+    ("told +old", "told old told"), ("hello, world. [idiot]", "hello world idiot"),
+    ("i d ! o t", "i d o t idiot"), ("you m o r o n ! you", "you moron you"),
+    ("s + u p | d", "s d stupid"), ("i d i o +", "idio idiot")])
+def test_disguises_of_words_that_look_clean_are_read(text, words):
+    column = pa.array([None, text, "other"])
+    hashes, texts = toxicity.restored_features(column, letters_model())
+    asked = split_words(pa.array([words]))
+    found = hashes[texts == 1]
+    assert set(hash_spans(asked.data, asked.start, asked.end)) <= set(found)
+    other = split_words(pa.array(["other"]))
+    assert hash_spans(other.data, other.start, other.end) in hashes[texts == 2]
+    assert set(texts) == {1, 2}
+
+
+def test_a_plain_reading_counts_once():
+    model = letters_model()
+    one, _ = toxicity.restored_features(pa.array(["hello world idiot"]), model)
+    two, _ = toxicity.restored_features(pa.array(["hello world idiot!"]), model)
+    assert sorted(one) == sorted(two)
+    assert [len(x) for x in toxicity.restored_features(pa.array(["", None]), model)] == [0, 0]
