@@ -63,25 +63,34 @@ def unit_vectors(column: pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarr
     return out, good
 
 
-def encode(vectors: DataFrame, directions: np.ndarray, dimension: int) -> DataFrame:
-    """Codes of the usable rows: (rep, copies, code, unit), the code's bits in a long."""
+def encode(vectors: DataFrame, directions: dict[int, np.ndarray]) -> DataFrame:
+    """Codes of the usable rows: (rep, copies, size, code, unit), the code's bits in a long.
+
+    Each vector is coded by the directions of its own size; those of other sizes are left out.
+    """
     shared = vectors.sparkSession.sparkContext.broadcast(directions)
-    weights = (np.uint64(1) << np.arange(directions.shape[1], dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            unit, good = unit_vectors(batch.column("embedding"), dimension)
-            keep = np.flatnonzero(good)
-            bits = unit[keep] @ shared.value >= 0
-            code = np.where(bits, weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)
-            rows = batch.take(pa.array(keep))
-            yield pa.RecordBatch.from_arrays([
-                rows.column("rep"), rows.column("copies"), pa.array(code.view(np.int64)),
-                pa.array([u.tobytes() for u in unit[keep]], pa.binary()),
-            ], ["rep", "copies", "code", "unit"])
+            size = batch.column("embedding").value_lengths().to_numpy()
+            for n in np.unique(size).tolist():
+                if n not in shared.value:
+                    continue
+                part = batch.take(pa.array(np.flatnonzero(size == n)))
+                unit, good = unit_vectors(part.column("embedding"), n)
+                keep = np.flatnonzero(good)
+                bits = unit[keep] @ shared.value[n] >= 0
+                weights = np.uint64(1) << np.arange(bits.shape[1], dtype=np.uint64)
+                code = np.where(bits, weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+                rows = part.take(pa.array(keep))
+                yield pa.RecordBatch.from_arrays([
+                    rows.column("rep"), rows.column("copies"),
+                    pa.array(np.full(len(keep), n, np.int32)), pa.array(code.view(np.int64)),
+                    pa.array([u.tobytes() for u in unit[keep]], pa.binary()),
+                ], ["rep", "copies", "size", "code", "unit"])
 
     return vectors.select("rep", "copies", "embedding").mapInArrow(
-        run, "rep bigint, copies bigint, code bigint, unit binary")
+        run, "rep bigint, copies bigint, size int, code bigint, unit binary")
 
 
 def _differences(bits: int, radius: int) -> list[int]:
@@ -91,7 +100,7 @@ def _differences(bits: int, radius: int) -> list[int]:
 
 def candidate_pairs(codes: DataFrame, tables: int, bits: int, radius: int,
                     most: int) -> DataFrame:
-    """Pairs (a < b) of vectors whose codes meet in a table and differ in at most ``most`` bits.
+    """Pairs (a < b) of one size whose codes meet in a table and differ in at most ``most`` bits.
 
     The code is cut into one key per table; a query looks up all keys within ``radius`` bits. A pair
     belongs to the first table in which its keys are that near, so that it comes out once.
@@ -105,8 +114,8 @@ def candidate_pairs(codes: DataFrame, tables: int, bits: int, radius: int,
         return F.posexplode(F.array(*[key(code, t) for t in range(tables)])).alias("table", "key")
 
     code = F.col("code")
-    held = codes.select(F.col("rep").alias("b"), F.col("code").alias("code_b"), keyed(code))
-    asked = codes.select(F.col("rep").alias("a"), F.col("code").alias("code_a"), keyed(code))
+    held = codes.select("size", F.col("rep").alias("b"), F.col("code").alias("code_b"), keyed(code))
+    asked = codes.select("size", F.col("rep").alias("a"), F.col("code").alias("code_a"), keyed(code))
     flips = F.array(*[F.lit(d).cast("bigint") for d in _differences(bits, radius)])
     asked = asked.withColumn("flip", F.explode(flips)).withColumn(
         "key", F.col("key").bitwiseXOR(F.col("flip"))).drop("flip")
@@ -115,9 +124,18 @@ def candidate_pairs(codes: DataFrame, tables: int, bits: int, radius: int,
     for table in range(tables):
         earlier = earlier | ((F.col("table") > table)
                              & (F.bit_count(key(apart, table)) <= radius))
-    return (asked.join(held, ["table", "key"])
+    return (asked.join(held, ["size", "table", "key"])
             .where((F.col("a") < F.col("b")) & (F.bit_count(apart) <= most) & ~earlier)
-            .select("a", "b"))
+            .select("size", "a", "b"))
+
+
+def _sample(classes: DataFrame, dimension: int, fit: int) -> np.ndarray:
+    """Unit vectors of one dimension, at most ``fit``, those with the smallest hash."""
+    chosen = (classes.where(F.size("embedding") == dimension)
+              .orderBy(F.xxhash64("embedding"), "rep").limit(fit).select("embedding"))
+    drawn = np.array([r["embedding"] for r in chosen.collect()]).reshape(-1, dimension)
+    drawn = drawn / np.abs(drawn).max(axis=1, keepdims=True)
+    return drawn / np.linalg.norm(drawn, axis=1, keepdims=True)
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLES,
@@ -125,22 +143,20 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLE
                  fit: int = FIT_VECTORS) -> DataFrame:
     """Link the vectors of ``vectors`` (vec_id, embedding) whose cosine reaches ``threshold``.
 
-    The rotation is learnt from at most ``fit`` vectors; all are indexed and all are queries.
+    Vectors are compared with those of their own dimension. A rotation is learnt for each dimension,
+    from at most ``fit`` vectors and by a job of its own; all are indexed and all are queries.
     Candidates are compared by their original vectors in double precision, so no link below the
     threshold comes out; the tables may miss some above it. Equal vectors are one class: they are
     linked with each other and share their links, and are never paired.
 
     Returns one row per input row: vec_id, n_links, component_id, kept. A vector that is null, zero,
-    has null or non-finite components, or another dimension than most, links with nothing. A null id
+    or has null or non-finite components, links with nothing. A null id
     has null component and is not kept; rows with one id and different vectors are linked by
     vector, and share the id's smallest component. An empty table gives no rows.
     """
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"),
                           F.col("embedding").cast("array<double>").alias("embedding"))
-    common = (rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("n")).count()
-              .orderBy(F.desc("count"), "n").first())
-    dimension = common["n"] if common else 1
-    usable = rows.where(F.col("vec_id").isNotNull() & (F.size("embedding") == dimension)
+    usable = rows.where(F.col("vec_id").isNotNull()
                         & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)
                                    & (F.abs(x) < float("inf")))
                         & F.exists("embedding", lambda x: x != 0))
@@ -148,40 +164,44 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLE
     usable = usable.withColumn("embedding", F.transform("embedding", lambda x: x + F.lit(0.0)))
     classes = stored(usable.groupBy("embedding").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "classes")
-    sample = classes.orderBy(F.xxhash64("embedding"), "rep").limit(fit).select("embedding")
-    drawn = np.array([r["embedding"] for r in sample.collect()]).reshape(-1, dimension)
-    drawn = drawn / np.abs(drawn).max(axis=1, keepdims=True) if len(drawn) else drawn
-    drawn = drawn / np.linalg.norm(drawn, axis=1, keepdims=True)
+    # A class alone in its dimension has no pairs.
+    dimensions = [r["n"] for r in classes.groupBy(F.size("embedding").alias("n")).count()
+                  .where("count > 1").orderBy("n").collect()]
     bits = tables * table_bits
-    codes = stored(encode(classes, learn_rotation(drawn, bits), dimension), "codes")
+    codes = stored(encode(classes, {n: learn_rotation(_sample(classes, n, fit), bits)
+                                    for n in dimensions}), "codes")
     # Codes at the threshold differ in angle / pi of their bits; four deviations more are let in.
     share = float(np.arccos(min(1.0, threshold)) / np.pi)
     most = int(np.ceil(bits * share + 4 * np.sqrt(bits * share * (1 - share))))
     # One id may stand for several classes: the classes are told apart by number.
-    pairs = candidate_pairs(codes.select("rep", "code"), tables, table_bits, radius, most)
-    units = codes.select("rep", "copies", "unit")
-    first = units.select(F.col("rep").alias("a"), F.col("copies").alias("copies_a"),
+    pairs = candidate_pairs(codes.select("rep", "size", "code"), tables, table_bits, radius, most)
+    units = codes.select("rep", "copies", "size", "unit")
+    first = units.select("size", F.col("rep").alias("a"), F.col("copies").alias("copies_a"),
                          F.col("unit").alias("unit_a"))
-    second = units.select(F.col("rep").alias("b"), F.col("copies").alias("copies_b"),
+    second = units.select("size", F.col("rep").alias("b"), F.col("copies").alias("copies_b"),
                           F.col("unit").alias("unit_b"))
 
     def rerank(batches):
         for batch in batches:
             for k in range(0, batch.num_rows, PAIRS_AT_ONCE):
-                part = batch.slice(k, PAIRS_AT_ONCE)
-                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist())).reshape(-1, dimension)
-                        for c in ("unit_a", "unit_b"))
-                keep = pa.array(np.einsum("ij,ij->i", x, y) >= threshold)
-                yield part.select(["a", "b", "copies_a", "copies_b"]).filter(keep)
-
-    links = stored(pairs.join(first, "a").join(second, "b").select(
-        "a", "b", "copies_a", "copies_b", "unit_a", "unit_b").mapInArrow(
-        rerank, "a bigint, b bigint, copies_a bigint, copies_b bigint"), "links")
-    near = (links.select(F.col("a").alias("rep"), F.col("copies_b").alias("n"))
-            .unionByName(links.select(F.col("b").alias("rep"), F.col("copies_a").alias("n")))
-            .groupBy("rep").agg(F.sum("n").alias("near")))
+                some = batch.slice(k, PAIRS_AT_ONCE)
+                size = some.column("size").to_numpy()
+                for n in np.unique(size).tolist():
+                    part = some.take(pa.array(np.flatnonzero(size == n)))
+                    x, y = (np.frombuffer(b"".join(part.column(c).to_pylist())).reshape(-1, n)
+                            for c in ("unit_a", "unit_b"))
+                    keep = pa.array(np.einsum("ij,ij->i", x, y) >= threshold)
+                    yield part.select(["size", "a", "b", "copies_a", "copies_b"]).filter(keep)
+
+    links = stored(pairs.join(first, ["size", "a"]).join(second, ["size", "b"]).select(
+        "size", "a", "b", "copies_a", "copies_b", "unit_a", "unit_b").mapInArrow(
+        rerank, "size int, a bigint, b bigint, copies_a bigint, copies_b bigint"), "links")
+    near = (links.select("size", F.col("a").alias("rep"), F.col("copies_b").alias("n"))
+            .unionByName(links.select("size", F.col("b").alias("rep"), F.col("copies_a").alias("n")))
+            .groupBy("size", "rep").agg(F.sum("n").alias("near")))
     found = connected_components(links.select("a", "b")).withColumnRenamed("node", "rep")
-    per_class = (classes.join(near, "rep", "left").join(found, "rep", "left").select(
+    per_class = (classes.withColumn("size", F.size("embedding"))
+                 .join(near, ["size", "rep"], "left").join(found, "rep", "left").select(
         "embedding", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("component", "rep").alias("component_id")))
     # A component is named by its smallest class, whose name is its smallest id.

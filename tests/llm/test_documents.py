@@ -376,6 +376,19 @@ def test_vectors_link_like_brute_force(spark):
         assert (component == name) or n < links
 
 
+def test_vectors_are_compared_within_each_dimension(spark):
+    base = np.random.default_rng(6).normal(size=(3, 8)).tolist()
+    vectors = [(k, base[k % 3]) for k in range(6)]                            # most have 8
+    vectors += [(10, [1.0, 2.0, 3.0]), (11, [1.0, 2.0, 3.0]), (12, [1.0, 2.0, 3.1]),
+                (13, [-3.0, 1.0, 0.0]), (20, [1.0, 2.0]), (21, [2.0, 4.0]),
+                (30, [1.0] * 5), (31, [1.0] * 5)]
+    rows = embeddings.near_vectors(spark.createDataFrame(
+        vectors, "vec_id long, embedding array<double>")).collect()
+    expected = {k: (1, k % 3) for k in range(6)} | {10: (2, 10), 11: (2, 10), 12: (2, 10),
+                13: (0, 13), 20: (1, 20), 21: (1, 20), 30: (1, 30), 31: (1, 30)}
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows} == expected
+
+
 def test_vectors_of_the_small_table(spark, small):
     rows = queries.QUERIES["op7_iterative_quantisation"](spark, small).collect()
     table = spark.read.parquet(f"{small}/embeddings.parquet").collect()
