@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from stationcast.llm import (decontamination, embeddings, lm, minhash, mixing, oracles, quality,
+from stationcast.llm import (decontamination, embeddings, lm, minhash, mixing, oracles, quality, runs,
                              sharding, substrings, toxicity, urls)
 from stationcast.llm.store import table
 
@@ -22,5 +22,6 @@ QUERIES = {
     "op8_prob_minhash": _on(minhash.op8_prob_minhash, "documents"),
     "op9_positional_index": _on(decontamination.op9_positional_index, "documents", "benchmark"),
     "op10_byte_shards": _on(sharding.op10_byte_shards, "documents"),
+    "op11_periodic_runs": _on(runs.op11_periodic_runs, "documents"),
 }
 ORACLES = oracles.ORACLES
