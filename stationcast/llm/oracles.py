@@ -146,10 +146,29 @@ degree AS (SELECT a, COUNT(*) AS n FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN components ON node = vec_id LEFT JOIN degree ON a = vec_id"""
 
+LINES = rf"""
+WITH docs AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+lines AS MATERIALIZED (
+  SELECT r, doc_id, unnest(l) AS line, unnest(generate_series(1, len(l))) AS p FROM docs),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''),
+                                     '[\x20\x09-\x0D]+$', ''), '{UPPER}', '{LOWER}') AS key FROM lines),
+owners AS (
+  SELECT key, MIN(doc_id) AS owner FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING COUNT(DISTINCT doc_id) > 1),
+kept AS (
+  SELECT r, string_agg(line, chr(10) ORDER BY p) AS text, COUNT(*) AS n
+  FROM keyed LEFT JOIN owners USING (key) WHERE owner IS NULL OR owner = doc_id GROUP BY r)
+SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines,
+  CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)"""
+
 ORACLES = {
     "op3_pareto_mix": MIX,
     "op5_url_rules": URLS,
     "op6_recompression": PASSAGES,
     "op7_iterative_quantisation": VECTORS,
     "op9_positional_index": HITS,
+    "op13_line_bitmaps": LINES,
 }
