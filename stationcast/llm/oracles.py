@@ -164,11 +164,71 @@ SELECT doc_id, CAST(len(l) AS BIGINT) AS n_lines,
   CAST(len(l) - coalesce(n, 0) AS BIGINT) AS n_dropped, sha256(coalesce(text, '')) AS kept_sha256
 FROM docs LEFT JOIN kept USING (r)"""
 
+MANIFEST = f"""
+WITH RECURSIVE leaves AS MATERIALIZED (
+  SELECT doc_id, lang, h || coalesce(octet_length(encode(text)) || ':' || text, '-') AS row_text,
+    h || coalesce(octet_length(encode(text)) || ':' || translate(text, '{UPPER}', '{LOWER}'), '-') AS low,
+    -- CRC-32 of the id's digits, bit by bit
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+        string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+      lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+        lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS crc
+  FROM (SELECT *, array_to_string(list_transform(
+          [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)],
+          lambda v: coalesce(octet_length(encode(v)) || ':' || v, '-')), '') AS h FROM documents)),
+placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+  FROM (SELECT doc_id, lang, sha256(row_text) AS leaf,
+          CASE WHEN crc % 3 = 0 THEN sha256(low) ELSE sha256(row_text) END AS given FROM leaves)),
+levels AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS l FROM placed GROUP BY lang
+  UNION ALL
+  SELECT lang, level + 1, list_transform(range(0, len(l), 8),
+    lambda i: sha256(array_to_string(l[i + 1:i + 8], ''))) FROM levels WHERE len(l) > 1),
+subroots AS (
+  SELECT lang, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+  FROM levels WHERE len(l) = 1),
+tops AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS l FROM subroots HAVING COUNT(*) > 0
+  UNION ALL
+  SELECT level + 1, list_transform(range(0, len(l), 8),
+    lambda i: sha256(array_to_string(l[i + 1:i + 8], ''))) FROM tops WHERE len(l) > 1),
+nodes AS (
+  SELECT 0 AS stage, lang, level, unnest(l) AS digest, unnest(range(len(l))) AS place
+  FROM levels WHERE len(l) > 1
+  UNION ALL
+  SELECT 1, NULL, level, unnest(l), unnest(range(len(l))) FROM tops WHERE len(l) > 1),
+runs AS MATERIALIZED (
+  SELECT stage, lang, level, place // 8 AS run, list(digest ORDER BY place) AS members
+  FROM nodes GROUP BY ALL),
+paths AS (
+  SELECT 0 AS stage, p.doc_id, p.leaf, p.place AS row_place, p.lang, p.lang AS tree, p.place
+  FROM placed p
+  UNION ALL
+  SELECT 1, p.doc_id, p.leaf, p.place, p.lang, NULL, s.place
+  FROM placed p JOIN subroots s ON p.lang IS NOT DISTINCT FROM s.lang),
+steps AS (
+  SELECT p.lang, p.row_place, p.stage, level, members, (p.place >> (3 * level)) % 8 AS k
+  FROM paths p JOIN runs r ON p.stage = r.stage AND p.tree IS NOT DISTINCT FROM r.lang
+    AND p.place >> (3 * level + 3) = r.run),
+proofs AS (
+  SELECT lang, row_place, list(array_to_string(members[1:k], '') || '|'
+                               || array_to_string(members[k + 2:], '') ORDER BY stage, level) AS path
+  FROM steps GROUP BY ALL)
+SELECT *, folded_root = root AS verified FROM (
+SELECT doc_id, leaf, subroot, (SELECT l[1] FROM tops WHERE len(l) = 1) AS root,
+  sha256(replace(array_to_string(coalesce(path, []), ''), '|', '')) AS proof_sha256,
+  list_reduce(list_prepend(given, coalesce(path, [])),
+    lambda d, s: sha256(split_part(s, '|', 1) || d || split_part(s, '|', 2))) AS folded_root
+FROM placed JOIN subroots ON placed.lang IS NOT DISTINCT FROM subroots.lang
+LEFT JOIN proofs ON placed.lang IS NOT DISTINCT FROM proofs.lang AND placed.place = proofs.row_place)"""
+
 ORACLES = {
     "op3_pareto_mix": MIX,
     "op5_url_rules": URLS,
     "op6_recompression": PASSAGES,
     "op7_iterative_quantisation": VECTORS,
     "op9_positional_index": HITS,
+    "op12_merkle_manifest": MANIFEST,
     "op13_line_bitmaps": LINES,
 }

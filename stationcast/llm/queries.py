@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from stationcast.llm import (decontamination, embeddings, lines, lm, minhash, mixing, oracles, quality,
-                             runs, sharding, substrings, toxicity, urls)
+from stationcast.llm import (decontamination, embeddings, lines, lm, merkle, minhash, mixing, oracles,
+                             quality, runs, sharding, substrings, toxicity, urls)
 from stationcast.llm.store import table
 
 
@@ -23,6 +23,7 @@ QUERIES = {
     "op9_positional_index": _on(decontamination.op9_positional_index, "documents", "benchmark"),
     "op10_byte_shards": _on(sharding.op10_byte_shards, "documents"),
     "op11_periodic_runs": _on(runs.op11_periodic_runs, "documents"),
+    "op12_merkle_manifest": _on(merkle.op12_merkle_manifest, "documents"),
     "op13_line_bitmaps": _on(lines.op13_line_bitmaps, "documents"),
 }
 ORACLES = oracles.ORACLES

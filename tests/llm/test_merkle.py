@@ -1,0 +1,119 @@
+"""The Merkle manifest against a tree built level by level."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from stationcast.llm import merkle, queries
+
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def H(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def tree_by_hand(leaves, arity):
+    """Root, and per leaf the list of (runs, place) from the leaf up."""
+    paths, level = [[] for _ in leaves], list(leaves)
+    size = 1
+    while len(level) > 1:
+        for i in range(len(leaves)):
+            k = i // size
+            paths[i].append((level[k - k % arity:k - k % arity + arity], k % arity))
+        level = [H("".join(level[k:k + arity])) for k in range(0, len(level), arity)]
+        size *= arity
+    return level[0], paths
+
+
+def encoded(values):
+    return "".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values)
+
+
+def by_hand(rows, arity=8):
+    """Rows of (doc_id, source, lang, n_chars, text) to the contract's rows."""
+    groups = defaultdict(list)
+    for i, source, lang, n, text in rows:
+        leaf = given = H(encoded((i, source, lang, n, text)))
+        if i is not None and zlib.crc32(str(i).encode()) % 3 == 0:
+            given = H(encoded((i, source, lang, n, text and text.translate(UPPER))))
+        groups[lang].append((i, leaf, given))
+    names = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    built = {}
+    for name in names:
+        groups[name].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        built[name] = tree_by_hand([leaf for _, leaf, _ in groups[name]], arity)
+    root, tops = tree_by_hand([built[name][0] for name in names], arity)
+    out = []
+    for name, top in zip(names, tops):
+        subroot, paths = built[name]
+        for (i, leaf, given), path in zip(groups[name], paths):
+            proof, fold = "", given
+            for run, k in path + top:
+                proof += "".join(run[:k] + run[k + 1:])
+                fold = H("".join(run[:k] + [fold] + run[k + 1:]))
+            out.append((i, leaf, subroot, root, H(proof), fold, fold == root))
+    return sorted(out, key=str)
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame(
+        [(*r, "x", "y") for r in rows],
+        "doc_id BIGINT, source STRING, lang STRING, n_chars BIGINT, text STRING, "
+        "position STRING, witness STRING")
+
+
+def answered(frame):
+    return sorted(map(tuple, frame.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()),
+        key=str)
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 63, 64, 65, 513])
+def test_appended_trees(n):
+    leaves = [H(str(i)) for i in range(n)]
+    root, paths = tree_by_hand(leaves, 8)
+    tree = merkle.Appender()
+    for leaf in leaves:
+        tree.append(bytes.fromhex(leaf))
+    assert tree.close(merkle.height(n)).hex() == root
+    for leaf, witness, path in zip(leaves, tree.witnesses, paths):
+        assert [(k, [d.hex() for d in s]) for k, s in merkle.steps(witness)] == [
+            (k, run[:k] + run[k + 1:]) for run, k in path]
+        assert merkle.folded(bytes.fromhex(leaf), witness).hex() == root
+
+
+def test_odd_rows(spark):
+    rows = [(i, "s", "en", 3, f"Text {i}") for i in range(1, 30)] + [
+        (4, "s", None, None, None), (5, None, None, 0, ""), (5, None, None, 0, ""),     # a repeated row
+        (5, None, None, 0, "other"), (None, "s", "", 1, "No id"), (None, None, None, None, None),
+        (3, "s", "de", 1, "ALONE"), (12, "ü", "Ü", 9, "long words " * 20_000)]
+    assert answered(merkle.op12_merkle_manifest(spark, docs_of(spark, rows))) == by_hand(rows)
+    assert merkle.op12_merkle_manifest(spark, docs_of(spark, [])).count() == 0
+
+
+def test_blocks_of_blocks(spark):
+    """Trees over several rounds of small blocks equal the tree built at once."""
+    rows = [(i * 7 % 997, "s", "en" if i % 5 else "fr", i, f"T{i}") for i in range(300)]
+    leaves = merkle.document_leaves(docs_of(spark, rows))
+    small = merkle.manifest(leaves.drop("presented"), arity=3, block_levels=1)
+    want = {r[0]: r for r in by_hand(rows, 3)}
+    got = merkle.verified(small.withColumn("presented", F.col("leaf")), "presented").collect()
+    assert len(got) == 300
+    for r in got:
+        i, leaf, subroot, root, proof, *_ = want[r.doc_id]
+        assert (r.leaf.hex(), r.subroot.hex(), r.root.hex(), r.proof_sha256) == (leaf, subroot, root, proof)
+        assert r.folded_root == r.root
+
+
+def test_query_equals_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select(
+        "doc_id", "source", "lang", "n_chars", "text").collect()
+    got = answered(queries.QUERIES["op12_merkle_manifest"](spark, small))
+    assert got == by_hand([tuple(r) for r in docs])
+    assert 0 < sum(not r[-1] for r in got) < len(got)
