@@ -1,36 +1,23 @@
 """Boosted models for temperature, rain and sky condition, searched over a candidate grid.
 
-MLlib trains each model on the whole cluster; the driver holds only curves and scores. Rounds are
-chosen by patience on the validation curve. MLlib cannot stop that way itself, so a candidate is
-fitted with a growing budget and finally with exactly the chosen number of rounds; equal seeds make
-the shorter model the prefix of the longer one. Boosting there knows two classes, so the sky condition
-is a random forest over all classes unless one boosted model per class is asked for.
+All candidates of all targets grow together, see :mod:`stationcast.operators.boosting`: gradient-boosted
+trees with an L2 leaf weight, softmax over the condition classes, learnt directions for missing values,
+and rounds kept up to the best score on the validation rows.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from time import perf_counter
 
+import numpy as np
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stationcast.operators import metrics
-from stationcast.operators.features import city_encoder
+from stationcast.operators.boosting import Bins, Ensemble, Spec, boost, predicted
 from stationcast.schemas import (
     BUNDLE_VERSION,
     CANDIDATES,
@@ -41,213 +28,44 @@ from stationcast.schemas import (
     TARGET_TEMP,
     TARGET_WET,
 )
-from stationcast.session import shared_dir
 
-ALWAYS_PRESENT = ("is_wet", "cond_today_", "target_", "hemisphere_", "latitude", "longitude",
-                  "city_")
-FIRST_BUDGET = 64
-FOREST_TREES = 100
-CONDITION_MODELS = ("forest", "boosted")
+TARGET_LABELS = {"temperature": TARGET_TEMP, "precipitation": TARGET_WET,
+                 "condition": TARGET_CONDITION}
+LOSSES = {"temperature": "squared", "precipitation": "logistic", "condition": "softmax"}
 
 
 # --- feature matrix -----------------------------------------------------------------------------
 
-def fit_assembler(rows: DataFrame, names: list[str], city_vector: bool = False) -> PipelineModel:
-    """Fit the step from feature columns to a vector on training rows.
-
-    MLlib trees do not route missing values, so every column that can be null is filled with its
-    median, and columns that are null somewhere in ``rows`` also get a 0/1 missing flag. A column
-    without any value says nothing and is left out. ``city_vector`` appends a sparse one-hot of
-    the city, for when there are too many cities for columns.
-    """
-    nullable = [c for c in names if not c.startswith(ALWAYS_PRESENT)]
-    counts = rows.agg(F.count(F.lit(1)).alias("rows"), *[F.count(c).alias(c) for c in nullable]
-                      ).first().asDict()
-    names = [c for c in names if counts.get(c) != 0]
-    nullable = [c for c in nullable if counts[c] != 0]
-    flagged = [c for c in nullable if counts[c] < counts["rows"]]
-    flags = "".join(f", CAST(`{c}` IS NULL AS DOUBLE) AS `{c}_missing`" for c in flagged)
-    filled = {c: f"{c}_filled" for c in nullable}
-    inputs = [filled.get(c, c) for c in names] + [f"{c}_missing" for c in flagged]
-    stages = [
-        SQLTransformer(statement=f"SELECT *{flags} FROM __THIS__"),
-        Imputer(strategy="median", inputCols=nullable, outputCols=list(filled.values())),
-    ]
-    if city_vector:
-        stages += city_encoder("city_vec")
-        inputs = [*inputs, "city_vec"]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
-    return Pipeline(stages=stages).fit(rows)
-
-
-def vector_names(assembler: PipelineModel) -> list[str]:
-    """What each vector position holds, in terms of the feature columns."""
-    names = []
-    for column in assembler.stages[-1].getInputCols():
-        if column == "city_vec":
-            labels = assembler.stages[2].labels
-            size = assembler.stages[3].categorySizes[0]
-            names += [f"city={label}" for label in labels]
-            names += ["city=other"] * (size - len(labels))
-        else:
-            names.append(column.removesuffix("_filled"))
-    return names
-
-
-def assemble(assembler: PipelineModel, features: DataFrame) -> DataFrame:
-    """``features`` plus the vector column alone."""
-    return assembler.transform(features).select(*features.columns, "features")
-
-
-# --- one candidate ------------------------------------------------------------------------------
-
-def _tree_settings(candidate: dict, rounds: int) -> dict:
-    # L2 leaf weights have no MLlib counterpart and are left out.
-    return dict(
-        featuresCol="features", maxIter=rounds, maxDepth=candidate["max_depth"],
-        stepSize=candidate["learning_rate"], subsamplingRate=candidate["subsample"],
-        featureSubsetStrategy=str(float(candidate["colsample_bytree"])),
-        minInstancesPerNode=candidate["min_child_weight"], seed=SEED)
-
-
-def regressor(candidate: dict, rounds: int, label: str = TARGET_TEMP) -> GBTRegressor:
-    return GBTRegressor(labelCol=label, predictionCol="p_temp", lossType="squared",
-                        **_tree_settings(candidate, rounds))
-
-
-def classifier(candidate: dict, rounds: int, label: str = TARGET_WET) -> GBTClassifier:
-    model = GBTClassifier(labelCol=label, predictionCol="hard",
-                          **_tree_settings(candidate, rounds))
-    return model.setRawPredictionCol("margin").setProbabilityCol("both")
-
-
-def validation_curve(model, validate: DataFrame, label: str) -> list[float]:
-    """Validation score after every round: MAE for regression, log loss for classification."""
-    rows = validate.select("features", F.col(label).cast("double").alias(label))
-    if isinstance(model, GBTRegressionModel):
-        return list(model.evaluateEachIteration(rows, "absolute"))
-    # MLlib's margin loss is twice the log loss of the probability it reports.
-    return [value / 2 for value in model.evaluateEachIteration(rows)]
-
-
-def stopping_round(curve: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
-    """Index of the round to keep, and whether patience ran out before the curve did."""
-    best = 0
-    for i, value in enumerate(curve):
-        if value < curve[best]:
-            best = i
-        elif i - best >= patience:
-            return best, True
-    return best, False
-
-
-def learning_curve(curve: list[float], best: int, points: int = 8) -> list[tuple[int, float]]:
-    """(round, score) of the first round, of every ``points``-th part of the curve after it, and of
-    the kept round; rounds count from 1."""
-    apart = len(curve) // points or 1
-    return [(number, float(score)) for number, score in enumerate(curve, start=1)
-            if number % apart == 1 % apart or number - 1 == best]
-
-
-@dataclass
-class Fit:
-    model: object
-    best: int
-    capped: bool
-    curve: list[float]
-
-
-def next_budget(rounds: int, best: int, patience: int) -> int:
-    """Rounds to try next: what patience still lacks where that is little, else twice as many."""
-    needed = best + 1 + patience
-    return needed if needed <= rounds * 1.5 else rounds * 2
-
-
-def fit_rounds(make: Callable[[dict, int, str], object], candidate: dict, train: DataFrame,
-               validate: DataFrame, label: str, patience: int = PATIENCE) -> Fit:
-    """Fit one candidate and keep the rounds up to its best validation score."""
-    budget = candidate["n_estimators"]
-    rounds = min(budget, FIRST_BUDGET)
-    rows = train.select("features", F.col(label).cast("double").alias(label))
-    while True:
-        model = make(candidate, rounds, label).fit(rows)
-        curve = validation_curve(model, validate, label)
-        best, stopped = stopping_round(curve, patience)
-        if stopped or rounds >= budget:
-            break
-        rounds = min(budget, next_budget(rounds, best, patience))
-    if best + 1 < rounds:
-        model = make(candidate, best + 1, label).fit(rows)
-        if stopped:
-            curve = curve[:best + patience + 1]
-    return Fit(model, best, best + 1 >= budget, curve)
-
-
-def fit_forest(candidate: dict, train: DataFrame, validate: DataFrame, classes: int,
-               trees: int = FOREST_TREES) -> Fit:
-    """A random forest over all condition classes at once.
-
-    Its trees do not build on each other, so a candidate's rounds and step size do not apply: every
-    forest has ``trees`` trees, grown level by level together, and no learning curve.
-    """
-    model = RandomForestClassifier(
-        labelCol=TARGET_CONDITION, featuresCol="features", probabilityCol="p_forest",
-        rawPredictionCol="votes", predictionCol="hard", numTrees=trees,
-        maxDepth=candidate["max_depth"], subsamplingRate=candidate["subsample"],
-        featureSubsetStrategy=str(float(candidate["colsample_bytree"])),
-        minInstancesPerNode=candidate["min_child_weight"], seed=SEED,
-    ).fit(train.select("features", F.col(TARGET_CONDITION).cast("double").alias(TARGET_CONDITION)))
-    return Fit(model, trees - 1, False, [])
+def feature_matrix(features: DataFrame, names: list[str], output: str = "features") -> DataFrame:
+    """``features`` with the model columns, in order, as one array of doubles; null where missing."""
+    return features.withColumn(output, F.array(*[F.col(c).cast("double") for c in names]))
 
 
-def fit_class(candidate: dict, train: DataFrame, validate: DataFrame, index: int,
-              patience: int = PATIENCE) -> Fit:
-    """A boosted yes/no model of one condition class; MLlib boosting knows two classes only."""
-    hit = (F.col(TARGET_CONDITION) == index).cast("double")
-    return fit_rounds(classifier, candidate, train.withColumn("is_class", hit),
-                      validate.withColumn("is_class", hit), "is_class", patience)
+def matrix_cells(features: DataFrame, names: list[str], keys: list[str]) -> DataFrame:
+    """The matrix as rows (keys, position, feature, value), position from 0."""
+    rows = feature_matrix(features, names, "__values").select(*keys, F.posexplode("__values"))
+    label = F.get(F.array(*map(F.lit, names)), F.col("pos"))
+    return rows.select(*keys, F.col("pos").alias("position"), label.alias("feature"),
+                       F.col("col").alias("value"))
 
 
 # --- scoring ------------------------------------------------------------------------------------
 
-def score_temperature(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
-    return model.transform(rows)
-
-
-def _positive(model: GBTClassificationModel, rows: DataFrame, name: str) -> DataFrame:
-    return model.transform(rows).withColumn(name, vector_to_array("both")[1]).drop(
-        "hard", "margin", "both")
-
+def score(target: str, model: Ensemble, rows: DataFrame) -> DataFrame:
+    """Add the target's prediction: ``p_temp``, ``p_wet``, or ``p_condition`` in class order."""
+    if target == "condition":
+        return predicted(model, rows, "p_condition")
+    name = {"temperature": "p_temp", "precipitation": "p_wet"}[target]
+    return predicted(model, rows, name).withColumn(name, F.get(name, F.lit(0)))
 
-def score_precipitation(model: GBTClassificationModel, rows: DataFrame) -> DataFrame:
-    return _positive(model, rows, "p_wet")
 
-
-def score_condition(models: list, rows: DataFrame, classes: int) -> DataFrame:
-    """Class probabilities: those of a forest, or the yes-probabilities of one boosted model per class
-    scaled to sum 1. A class that a forest never saw gets 0."""
-    if isinstance(models[0], RandomForestClassificationModel):
-        voted = vector_to_array("p_forest")
-        padded = F.transform(F.sequence(F.lit(0), F.lit(classes - 1)),
-                             lambda i: F.coalesce(F.get(voted, i), F.lit(0.0)))
-        return models[0].transform(rows).withColumn("p_condition", padded).drop(
-            "p_forest", "votes", "hard")
-    parts = [f"__p_{i}" for i in range(len(models))]
-    for name, model in zip(parts, models):
-        rows = _positive(model, rows, name)
-    total = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
-    return rows.withColumn("p_condition", F.array(*[F.col(p) / total for p in parts])).drop(*parts)
-
-
-def evaluate(target: str, models: list, rows: DataFrame, classes: list[str]) -> dict[str, float]:
+def evaluate(target: str, model: Ensemble, rows: DataFrame, classes: list[str]) -> dict[str, float]:
+    scored = score(target, model, rows)
     if target == "temperature":
-        scored = score_temperature(models[0], rows)
         table = metrics.evaluate_temperature(scored, TARGET_TEMP, "p_temp", "temp_mean_c")
     elif target == "precipitation":
-        scored = score_precipitation(models[0], rows)
         table = metrics.evaluate_precipitation(scored, TARGET_WET, "p_wet")
     else:
-        scored = score_condition(models, rows, len(classes))
         table = metrics.evaluate_condition(scored, TARGET_CONDITION, "p_condition", len(classes))
     return table.first().asDict()
 
@@ -259,117 +77,124 @@ class Trial:
     target: str
     candidate: dict
     position: int
-    models: list
+    model: Ensemble
     best_iteration: int
     capped: bool
     validate: dict
     score: float
     seconds: float
-    curve: list[tuple[int, float]]
+    curve: list[float]          # validation score after each round
 
 
-def _fit(target: str, candidate: dict, index: int, train: DataFrame, validate: DataFrame,
-         patience: int, condition: str, classes: int) -> tuple[Fit, float]:
-    started = perf_counter()
-    if target == "temperature":
-        fit = fit_rounds(regressor, candidate, train, validate, TARGET_TEMP, patience)
-    elif target == "precipitation":
-        fit = fit_rounds(classifier, candidate, train, validate, TARGET_WET, patience)
-    elif condition == "forest":
-        fit = fit_forest(candidate, train, validate, classes)
-    else:
-        fit = fit_class(candidate, train, validate, index, patience)
-    return fit, perf_counter() - started
+def spec_of(target: str, candidate: dict, position: int, classes: int) -> Spec:
+    return Spec(
+        key=f"{target}/{position}", label=TARGET_LABELS[target], loss=LOSSES[target],
+        outputs=classes if target == "condition" else 1, rounds=candidate["n_estimators"],
+        depth=candidate["max_depth"], step=candidate["learning_rate"],
+        min_weight=candidate["min_child_weight"], rows=candidate["subsample"],
+        columns=candidate["colsample_bytree"], l2=candidate["reg_lambda"], seed=SEED)
 
 
-def _trial(target: str, candidate: dict, position: int, fits: list[tuple[Fit, float]],
-           validate: DataFrame, classes: list[str]) -> Trial:
-    models = [fit.model for fit, _ in fits]
-    scores = evaluate(target, models, validate, classes)
-    longest = max((fit for fit, _ in fits), key=lambda fit: fit.best)
-    return Trial(target, candidate, position, models, longest.best,
-                 any(fit.capped for fit, _ in fits), scores, scores[SELECTION_METRIC[target]],
-                 sum(seconds for _, seconds in fits),
-                 learning_curve(longest.curve, longest.best))
+def search(targets: list[str], rows: DataFrame, bins: Bins, classes: list[str], grid=CANDIDATES,
+           patience: int = PATIENCE, parallel: int = 8, **options) -> dict[str, list[Trial]]:
+    """Fit every candidate for every target, all of them together, and return the trials, best first;
+    equal scores in grid order.
 
-
-def search(targets: list[str], rows: DataFrame, classes: list[str], grid=CANDIDATES,
-           patience: int = PATIENCE, parallel: int = 16,
-           condition: str = "forest") -> dict[str, list[Trial]]:
-    """Fit every candidate for every target and return the trials, best first.
-
-    Fits are independent Spark jobs submitted from a few driver threads, the deepest first; with
-    the FAIR scheduler they share the executors. The sky condition is a ``forest`` over all classes,
-    or ``boosted``: one boosted model, and one fit, per class.
+    ``rows`` are stored feature rows with split, labels and the columns of ``bins``. A trial's seconds
+    are those until it stopped, since trials share their jobs. ``options`` go to ``boost``.
     """
-    if condition not in CONDITION_MODELS:
-        raise ValueError(f"condition is one of: {', '.join(CONDITION_MODELS)}")
     spark = rows.sparkSession
-    shared_dir(spark)
-    train = rows.filter("split = 'train'").persist()
-    validate = rows.filter("split = 'validate'").persist()
-    trials = [(t, c, i) for t in targets for i, c in enumerate(grid)]
-    units = [(t, c, i, k) for t, c, i in trials
-             for k in range(len(classes) if (t, condition) == ("condition", "boosted") else 1)]
-    units.sort(key=lambda u: -u[1]["max_depth"])
-
-    def submit(pool, run, *args):
-        return pool.submit(inheritable_thread_target(spark)(run), *args)
-
-    try:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            running = {(t, i, k): submit(pool, _fit, t, c, k, train, validate, patience, condition,
-                                         len(classes))
-                       for t, c, i, k in units}
-            fits = {key: future.result() for key, future in running.items()}
-            scored = [
-                submit(pool, _trial, t, c, i,
-                       [fits[key] for key in sorted(fits) if key[:2] == (t, i)],
-                       validate, classes)
-                for t, c, i in trials]
-            done = [future.result() for future in scored]
-    finally:
-        train.unpersist()
-        validate.unpersist()
-    return {
-        target: sorted((t for t in done if t.target == target),
-                       key=lambda t: (t.score, t.position))
-        for target in targets
-    }
+    units = [(t, c, i) for t in targets for i, c in enumerate(grid)]
+    fitted = boost(rows, bins, [spec_of(t, c, i, len(classes)) for t, c, i in units], patience,
+                   **options)
+    validate = rows.filter("split = 'validate'")
+
+    def trial(target: str, candidate: dict, position: int) -> Trial:
+        found = fitted[f"{target}/{position}"]
+        model = Ensemble.of(found, bins)
+        scores = evaluate(target, model, validate, classes)
+        growth = found.growth
+        return Trial(target, candidate, position, model, growth.best,
+                     growth.best + 1 >= candidate["n_estimators"], scores,
+                     scores[SELECTION_METRIC[target]], growth.seconds, growth.curve)
+
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(trial), *unit) for unit in units]
+        done = [future.result() for future in running]
+    return {target: sorted((t for t in done if t.target == target),
+                           key=lambda t: (t.score, t.position)) for target in targets}
+
+
+def ranked_trials(trials: DataFrame) -> DataFrame:
+    """Trials (target, position, score, ...) with their rank in the target: best score first, equal
+    scores in grid order."""
+    order = Window.partitionBy("target").orderBy("score", "position")
+    return trials.withColumn("rank", F.row_number().over(order))
 
 
 def trials_table(spark: SparkSession, found: dict[str, list[Trial]]) -> DataFrame:
     """All trials with rank, score and the validation metrics as a map."""
     rows = [
-        (target, rank + 1, t.candidate["name"], float(t.score), t.best_iteration, t.capped,
+        (target, t.candidate["name"], t.position, float(t.score), t.best_iteration, t.capped,
          {k: float(v) if v is not None else None for k, v in t.validate.items()},
-         [{"round": r, "score": s} for r, s in t.curve], round(t.seconds, 1))
-        for target, trials in found.items() for rank, t in enumerate(trials)
+         round(t.seconds, 1))
+        for target, trials in found.items() for t in trials
     ]
+    return ranked_trials(spark.createDataFrame(
+        rows, "target STRING, name STRING, position INT, score DOUBLE, best_iteration INT, "
+              "capped BOOLEAN, validate MAP<STRING, DOUBLE>, seconds DOUBLE"))
+
+
+def curves_table(spark: SparkSession, found: dict[str, list[Trial]]) -> DataFrame:
+    """The validation score of every round of every trial; rounds count from 1."""
+    rows = [(target, t.candidate["name"], number, float(value), number == t.best_iteration + 1)
+            for target, trials in found.items() for t in trials
+            for number, value in enumerate(t.curve, start=1)]
     return spark.createDataFrame(
-        rows, "target STRING, rank INT, name STRING, score DOUBLE, best_iteration INT, "
-              "capped BOOLEAN, validate MAP<STRING, DOUBLE>, "
-              "curve ARRAY<STRUCT<round: INT, score: DOUBLE>>, seconds DOUBLE")
+        rows, "target STRING, name STRING, round INT, score DOUBLE, kept BOOLEAN")
+
+
+# Fixed value: a sampled curve has about so many points.
+CURVE_POINTS = 8
 
 
-def top_features(spark: SparkSession, models: list, names: list[str], k: int = 12) -> DataFrame:
-    """The ``k`` most important features; importances of several models are averaged."""
-    rows = [(i, name, float(sum(m.featureImportances[i] for m in models) / len(models)))
-            for i, name in enumerate(names)]
-    table = spark.createDataFrame(rows, "position INT, feature STRING, importance DOUBLE")
-    return table.orderBy(F.desc("importance"), F.desc("position")).limit(k).drop("position")
+def sampled_curves(curves: DataFrame, points: int = CURVE_POINTS) -> DataFrame:
+    """Each curve cut into ``points`` groups of equally many rounds, what is left over in more such
+    groups: the first round of every group, and the kept round."""
+    curve = Window.partitionBy("target", "name")
+    length = F.greatest(F.lit(1), F.floor(F.count("*").over(curve) / points))
+    group = F.floor((F.row_number().over(curve.orderBy("round")) - 1) / length)
+    grouped = curves.withColumn("__group", group)
+    first = F.row_number().over(Window.partitionBy("target", "name", "__group").orderBy("round"))
+    return (grouped.withColumn("__first", first).filter("__first = 1 OR kept")
+            .drop("__group", "__first"))
+
+
+def top_features(importances: DataFrame, k: int = 12) -> DataFrame:
+    """The ``k`` most important features, of equal ones the last in column order first."""
+    return importances.orderBy(F.desc("importance"), F.desc("position")).limit(k)
+
+
+def importances_table(spark: SparkSession, found: dict[str, list[Trial]]) -> DataFrame:
+    """The importances of each target's best model, see ``Ensemble.importances``."""
+    tables = [trials[0].model.importances(spark).select(F.lit(target).alias("target"), "*")
+              for target, trials in found.items()]
+    out = tables[0]
+    for table in tables[1:]:
+        out = out.unionByName(table)
+    return out
 
 
 # --- bundle -------------------------------------------------------------------------------------
 
 @dataclass
 class Bundle:
-    """Everything serving needs: the assembler, the models, and what they were trained on."""
+    """Everything serving needs: how columns become bins, the models, and what they were trained on."""
 
-    assembler: PipelineModel
-    temperature: GBTRegressionModel
-    precipitation: GBTClassificationModel
-    condition: list     # one forest, or one boosted model per class
+    bins: Bins
+    temperature: Ensemble
+    precipitation: Ensemble
+    condition: Ensemble
     cities: DataFrame
     feature_names: list[str]
     classes: list[str]
@@ -383,36 +208,37 @@ class Bundle:
     _META = ("feature_names", "classes", "vocabulary", "metrics", "split", "source", "trained_at",
              "version")
 
+    def model(self, target: str) -> Ensemble:
+        return getattr(self, target)
+
     def save(self, path: str) -> None:
-        self.assembler.write().overwrite().save(f"{path}/assembler")
-        self.temperature.write().overwrite().save(f"{path}/temperature")
-        self.precipitation.write().overwrite().save(f"{path}/precipitation")
-        kind = type(self.condition[0])
-        for i, model in enumerate(self.condition):
-            model.write().overwrite().save(f"{path}/condition/{i}")
+        """Models, cuts and cities as Parquet tables below ``path``, the rest as one JSON text."""
+        spark = self.cities.sparkSession
+        for target in TARGET_LABELS:
+            self.model(target).table(spark).write.mode("overwrite").parquet(f"{path}/{target}")
+        cuts = [(i, name, cut.tolist()) for i, (name, cut) in enumerate(zip(self.bins.names, self.bins.cuts))]
+        spark.createDataFrame(cuts, "position INT, name STRING, cuts ARRAY<DOUBLE>").write.mode(
+            "overwrite").parquet(f"{path}/bins")
+        spark.createDataFrame([(c,) for c in self.bins.cities], "city STRING").write.mode(
+            "overwrite").parquet(f"{path}/city_bins")
         self.cities.write.mode("overwrite").parquet(f"{path}/cities")
-        meta = json.dumps({name: getattr(self, name) for name in self._META}
-                          | {"condition_models": [kind.__name__, len(self.condition)]})
-        self.cities.sparkSession.createDataFrame([(meta,)], "meta STRING").write.mode(
+        meta = {name: getattr(self, name) for name in self._META}
+        meta["models"] = {t: [self.model(t).loss, self.model(t).start.tolist()] for t in TARGET_LABELS}
+        spark.createDataFrame([(json.dumps(meta),)], "meta STRING").write.mode(
             "overwrite").parquet(f"{path}/meta")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Bundle:
         meta = json.loads(spark.read.parquet(f"{path}/meta").first().meta)
-        name, number = meta.pop("condition_models")
-        kind = {c.__name__: c for c in (RandomForestClassificationModel,
-                                        GBTClassificationModel)}[name]
-        return cls(
-            assembler=PipelineModel.load(f"{path}/assembler"),
-            temperature=GBTRegressionModel.load(f"{path}/temperature"),
-            precipitation=GBTClassificationModel.load(f"{path}/precipitation"),
-            condition=[kind.load(f"{path}/condition/{i}") for i in range(number)],
-            cities=spark.read.parquet(f"{path}/cities"),
-            **meta)
+        cuts = spark.read.parquet(f"{path}/bins").orderBy("position").collect()
+        bins = Bins([r["name"] for r in cuts], [np.array(r["cuts"], float) for r in cuts], sorted(
+            r["city"] for r in spark.read.parquet(f"{path}/city_bins").collect()))
+        models = {target: Ensemble.from_table(loss, start, bins, spark.read.parquet(f"{path}/{target}"))
+                  for target, (loss, start) in meta.pop("models").items()}
+        return cls(bins=bins, cities=spark.read.parquet(f"{path}/cities"), **models, **meta)
 
     def score(self, features: DataFrame) -> DataFrame:
         """Add ``p_temp``, ``p_wet`` and ``p_condition`` to feature rows."""
-        rows = assemble(self.assembler, features)
-        rows = score_temperature(self.temperature, rows)
-        rows = score_precipitation(self.precipitation, rows)
-        return score_condition(self.condition, rows, len(self.classes)).drop("features")
+        for target in TARGET_LABELS:
+            features = score(target, self.model(target), features)
+        return features

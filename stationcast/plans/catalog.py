@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -567,16 +566,18 @@ def _(fx):
     return rounded(streaming.merged_days(fx.spark, f"{base}/sums", fx.cities))
 
 
-# --- training (rows-only checks) ----------------------------------------------------------------
+# --- training -----------------------------------------------------------------------------------
 
-#: One search per session and folder: the whole grid for all three targets.
-_SEARCHED: dict[tuple[str, str], tuple] = {}
+#: One search per session and input rows: the whole grid for all three targets.
+_SEARCHED: dict[tuple, tuple] = {}
 
 
 def searched(fx):
-    key = (fx.spark.sparkContext.applicationId, fx.folder)
+    rows = cut_lineage(fx.located)
+    print_of_rows = rows.agg(F.count("*"), F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()
+    key = (fx.spark.sparkContext.applicationId, *print_of_rows)
     if key not in _SEARCHED:
-        _SEARCHED[key] = jobs.train(fx.located)
+        _SEARCHED[key] = jobs.train(rows)
     return _SEARCHED[key]
 
 
@@ -584,8 +585,7 @@ def searched(fx):
 def _(fx):
     days = cut_lineage(fx.located)
     rows, names, _classes = jobs.supervised_rows(days, ft.city_vocabulary(days))
-    _, vectors = jobs.assembled(rows, names)
-    return vectors.select("city", "date", "split", vector_to_array("features").alias("features"))
+    return rounded(training.matrix_cells(rows, names, ["city", "date", "split"]))
 
 
 def _tested(fx, target: str) -> DataFrame:
@@ -614,6 +614,16 @@ def _(fx):
     return training.trials_table(fx.spark, searched(fx)[1])
 
 
+@query("learning_curves")
+def _(fx):
+    return training.sampled_curves(training.curves_table(fx.spark, searched(fx)[1]))
+
+
+@query("feature_importances")
+def _(fx):
+    return training.importances_table(fx.spark, searched(fx)[1])
+
+
 @query("batch_forecast")
 def _(fx):
     asked = fx.requests.select("data_id", F.lower("city").alias("query"), "as_of")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stationcast.operators import features as ft
 from stationcast.operators import load, quality, training
+from stationcast.operators.boosting import fit_bins
 from stationcast.operators.export import denormalised, recent_since_cutoff
 from stationcast.operators.forecast import forecast_documents
 from stationcast.operators.lookup import match_city, requests_to_features
@@ -40,7 +41,7 @@ SPLIT_NAMES = {"hash": "hash 64/16/20 by city and date",
 def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, how: str = "hash"):
     """Labelled feature rows with class index and split; returns (rows, feature names, classes).
 
-    The rows are stored once: encoding, splitting and assembling all read them again.
+    The rows are stored once: encoding, splitting and binning all read them again.
     """
     rows = cut_lineage(ft.labelled(ft.build_features(days, vocabulary)))
     names = ft.feature_names(rows)
@@ -53,46 +54,42 @@ def supervised_rows(days: DataFrame, vocabulary: dict[str, str] | None, how: str
     return parts, names, list(encoder.labels)
 
 
-def assembled(rows: DataFrame, names: list[str], city_vector: bool = False):
-    """Vectors for training, stored once: every fit reads them from the shared folder."""
-    assembler = training.fit_assembler(rows.filter("split = 'train'"), names, city_vector)
-    kept = ["city", "date", "split", "features", "temp_mean_c", "y_temp_mean_c", "y_is_wet",
-            TARGET_CONDITION]
-    return assembler, cut_lineage(training.assemble(assembler, rows).select(*kept))
+def training_rows(rows: DataFrame, names: list[str], city: bool = False):
+    """Bins fitted on the train split, and the rows that training reads, stored once."""
+    bins = fit_bins(rows.filter("split = 'train'"), names, city)
+    kept = list(dict.fromkeys(["city", "date", "split", "temp_mean_c", "y_temp_mean_c", "y_is_wet",
+                               TARGET_CONDITION, *names]))
+    return bins, cut_lineage(rows.select(*kept))
 
 
 def train(days: DataFrame, grid=CANDIDATES, patience: int = PATIENCE, source: str = "csv",
-          split: str = "hash", parallel: int = 16, cities: str = "vector",
-          condition: str = "forest"):
+          split: str = "hash", parallel: int = 8, cities: str = "vector"):
     """Search all targets, keep the best model of each; returns (bundle, trials).
 
-    ``cities`` names the form of the city: one sparse ``vector`` for any number of them, or 0/1
-    ``columns`` by name. ``split`` is ``hash``, ``exact`` or ``time``; ``condition`` the model of the
-    sky condition, see :func:`training.search`.
+    ``cities`` names the form of the city: one column with a bin per city for any number of them
+    (``vector``), or 0/1 ``columns`` by name. ``split`` is ``hash``, ``exact`` or ``time``.
     """
     if cities not in ("vector", "columns"):
         raise ValueError("cities is 'vector' or 'columns'")
     days = cut_lineage(days)
     vocabulary = ft.city_vocabulary(days) if cities == "columns" else {}
     rows, names, classes = supervised_rows(days, vocabulary, split)
-    assembler, vectors = assembled(rows, names, city_vector=cities == "vector")
-    found = training.search(["temperature", "precipitation", "condition"], vectors, classes,
-                            grid, patience, parallel, condition)
-    test = vectors.filter("split = 'test'")
+    bins, rows = training_rows(rows, names, city=cities == "vector")
+    found = training.search(list(training.TARGET_LABELS), rows, bins, classes, grid, patience, parallel)
+    test = rows.filter("split = 'test'")
+    best = {target: trials[:1] for target, trials in found.items()}
+    curves = training.sampled_curves(training.curves_table(days.sparkSession, best)).collect()
     scores = {}
-    for target, trials in found.items():
-        best = trials[0]
+    for target, (trial, *_) in found.items():
         scores[target] = {
-            "config": best.candidate["name"], "params": best.candidate,
-            "best_iteration": best.best_iteration, "validate": best.validate,
-            "test": training.evaluate(target, best.models, test, classes),
-            "learning_curve": best.curve,
+            "config": trial.candidate["name"], "params": trial.candidate,
+            "best_iteration": trial.best_iteration, "validate": trial.validate,
+            "test": training.evaluate(target, trial.model, test, classes),
+            "learning_curve": sorted((r["round"], r["score"]) for r in curves
+                                     if r["target"] == target),
         }
     bundle = training.Bundle(
-        assembler=assembler,
-        temperature=found["temperature"][0].models[0],
-        precipitation=found["precipitation"][0].models[0],
-        condition=found["condition"][0].models,
+        bins=bins, **{target: trials[0].model for target, trials in found.items()},
         cities=first_coordinates(days), feature_names=names, classes=classes,
         vocabulary=vocabulary, metrics=scores, split=SPLIT_NAMES[split], source=source,
         trained_at=datetime.now(timezone.utc).isoformat(timespec="seconds"))

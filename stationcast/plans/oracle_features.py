@@ -20,6 +20,18 @@ from stationcast.plans.oracle_views import (
 CITY_SQL = [f"CASE WHEN city = 'NATION_{i}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END "
             f"AS city_nation_{i}" for i in range(25)]
 
+# The columns a model sees: all numbers of the feature frame but the labels, then the cities by name.
+MODEL_COLUMNS = [name for name in (column.rsplit(" AS ", 1)[-1] for column in FEATURE_SQL)
+                 if name not in ("city", "date", "target_date", "condition")
+                 and not name.startswith("y_")]
+# The frame holds the means by window, then by column.
+MEANS = [f"{c}_roll{n}_mean" for n in (3, 7, 14, 30) for c in ("temp_mean_c", "precip_mm")]
+FIRST_MEAN = MODEL_COLUMNS.index(MEANS[0])
+MODEL_COLUMNS[FIRST_MEAN:FIRST_MEAN + len(MEANS)] = MEANS
+MODEL_COLUMNS += sorted((f"city_nation_{i}" for i in range(25)), key=lambda name: name.upper())
+CELLS_SQL = ", ".join(f"{{'position': {i}, 'feature': '{name}', 'value': CAST({name} AS DOUBLE)}}"
+                      for i, name in enumerate(MODEL_COLUMNS))
+
 ORACLES: dict[str, str] = {
     # 2.4 rollup and 2.2 projections
     "daily_rollup": pick(DAY_SQL, "fx_obs"),
@@ -39,6 +51,11 @@ ORACLES: dict[str, str] = {
     "labelled_rows": pick(["city", "date", *LABEL_SQL], "supervised"),
     "feature_frame": f"SELECT * FROM ({pick([*FEATURE_SQL, *CITY_SQL], 'lab')}) "
                      "WHERE temp_mean_c_roll30_mean IS NOT NULL",
+    "assemble_features": f"""
+        SELECT city, date, split, cell.position, cell.feature, cell.value
+        FROM (SELECT city, date, split, unnest([{CELLS_SQL}]) AS cell
+              FROM ({pick([*FEATURE_SQL, *CITY_SQL], 'lab')})
+              JOIN (SELECT city, date, split FROM split_rows) USING (city, date))""",
     "city_one_hot": pick(["city", "date", *CITY_SQL], "days"),
     "record_gaps": """
         SELECT city, date, next_date, CAST(next_date - date AS INT) AS gap_days

@@ -58,10 +58,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored_table(df: DataFrame, label: str, **options) -> DataFrame:
+    """Write ``df`` as Parquet below the shared folder and read it back: a cut in the lineage that
+    outlives executors. Later jobs read the columns they need and know the size. The files go when the
+    session's JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.options(**options).parquet(path)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later jobs read stored rows, also after losing executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows stored once: later jobs read them, also after losing executors."""
+    return stored_table(df, "rows")
 
 
 def fixed_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:

@@ -12,8 +12,8 @@ from tests import compare
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 QUERIES, ORACLES = catalog.queries(), oracles.oracle_sql()
-ROWS_ONLY = {"assemble_features", "train_temperature", "train_precipitation", "train_condition",
-             "grid_search", "batch_forecast"}
+ROWS_ONLY = {"train_temperature", "train_precipitation", "train_condition", "grid_search",
+             "learning_curves", "feature_importances", "batch_forecast"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
@@ -34,8 +34,13 @@ def test_query_equals_oracle(spark, connection, name):
     assert compare.differences(QUERIES[name](spark, FOLDER), connection, ORACLES[name]) == []
 
 
-def test_assembled_rows(spark):
-    assert not QUERIES["assemble_features"](spark, FOLDER).isEmpty()
+def test_the_whole_search_and_a_forecast(spark):
+    """All candidates of all targets over the whole folder, and what is served from the best."""
+    trials = QUERIES["grid_search"](spark, FOLDER).collect()
+    assert len(trials) == 30 and {t.rank for t in trials} == set(range(1, 11))
+    assert len({(t.target, t.score) for t in trials}) == 30         # no two candidates fit the same
+    for name in sorted(ROWS_ONLY - {"grid_search"}):
+        assert not QUERIES[name](spark, FOLDER).isEmpty(), name
 
 
 def test_entry(spark):
