@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationcast.llm.components import connected_components
@@ -13,13 +13,22 @@ from stationcast.llm.text import FOLD, SPACE, mix, slices, split_words
 
 CHUNK_BYTES = 4 << 20
 SHINGLE = 5
-BANDS, ROWS = 32, 7
+BANDS, MOST_ROWS = 32, 7
 THRESHOLD = 0.8
-#: Pairs beyond the stars are verified if so many registers agree: 4 deviations below the threshold.
-ESTIMATE = 0.68
 PAIR_BYTES = 4 << 20
 
 
+def band_rows(threshold: float) -> int:
+    """Registers per band, so that texts at the threshold agree in all of a band with a probability of
+    0.2 at least, and so in one of 32 bands with 0.999."""
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold is a similarity above 0, at most 1")
+    rows = MOST_ROWS
+    while rows > 1 and threshold ** rows < 0.2:
+        rows -= 1
+    return rows
+
+
 def weighted_shingles(column: pa.Array, size: int = SHINGLE):
     """Distinct shingles of each text: (text, hash, weight), ordered by text and hash.
 
@@ -98,38 +107,36 @@ def text_key():
     return F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
 
 
-def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """Documents by the MD5 of their text, and one row per distinct text with its bands."""
-    registers = BANDS * ROWS
+    per_band = band_rows(threshold)
+    registers = BANDS * per_band
 
     def sign(batches):
         for batch in slices(batches, "text", CHUNK_BYTES):
             owner, value, weight = weighted_shingles(batch.column("text"))
             found = signatures(owner, value, weight, batch.num_rows, registers)
             band = np.zeros((batch.num_rows, BANDS), np.uint64)
-            for k in range(ROWS):
-                band = mix(band ^ found[:, k::ROWS], salt=k + 1)
+            for k in range(per_band):
+                band = mix(band ^ found[:, k::per_band], salt=k + 1)
             some = np.zeros(batch.num_rows, bool)
             some[owner] = True
             # A text without words has no bands and meets only its copies.
             sizes = np.where(some, BANDS, 0)
-            marks = (found & np.uint64(0xFF)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("key"),
                 pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
                     pa.array(band[some].ravel().view(np.int64))),
-                pa.array([m.tobytes() for m in marks], pa.binary()),
-            ], ["doc_id", "key", "bands", "marks"])
+            ], ["doc_id", "key", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_key().alias("key"),
                        "text").mapInArrow(
-        sign, "doc_id bigint, key string, bands array<bigint>, marks binary")
+        sign, "doc_id bigint, key string, bands array<bigint>")
     signed = stored(rows, "signatures")
     # Numbers given while writing stay as they are written.
     classes = stored(signed.groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands"),
-        F.any_value("marks").alias("marks")).withColumn("cid", F.monotonically_increasing_id()),
+        F.min("doc_id").alias("rep"), F.any_value("bands").alias("bands")).withColumn("cid", F.monotonically_increasing_id()),
         "classes")
     return signed.select("doc_id", "key"), classes
 
@@ -165,9 +172,16 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
                   .mapInArrow(verify, "a bigint, b bigint"), "links")
 
 
-def _reach(texts: DataFrame) -> DataFrame:
-    """Of each text (cid, text) the weight of its shingles, of those that another of the texts has too,
-    and whether every shingle occurs once. Only these texts are candidates for each other."""
+def _possible_pairs(texts: DataFrame, placed: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of ``texts`` (cid, text) in different components that may reach the threshold.
+
+    A prefix filter, which loses no pair. Shingles are ordered from the rarest among these texts to the
+    most common. Behind the first shingle that two texts share lies all they can share, so of each text
+    at least the share f of its weight, where 1 / f_a + 1 / f_b - 1 is at most 1 / threshold (by the
+    concavity of a * b / (P * b + Q * a) in the shared weights a and b; if every weight is one, by the
+    smaller part). So f is at least the threshold in both texts and at least 2 t / (1 + t) in one: only
+    such first places are joined, the rarer part of each text.
+    """
     def shingle(batches):
         for batch in slices(batches, "text", CHUNK_BYTES):
             owner, value, weight = weighted_shingles(batch.column("text"))
@@ -176,15 +190,34 @@ def _reach(texts: DataFrame) -> DataFrame:
                 [pa.array(ids[owner]), pa.array(value.view(np.int64)), pa.array(weight)],
                 ["cid", "shingle", "weight"])
 
-    rows = texts.select("cid", "text").mapInArrow(
-        shingle, "cid bigint, shingle bigint, weight double")
-    single = (rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("cid").alias("cid"),
-                                          F.max("weight").alias("weight")).where("n = 1")
-              .groupBy("cid").agg(F.sum("weight").alias("own")))
-    whole = rows.groupBy("cid").agg(F.sum("weight").alias("weight"),
-                                    (F.max("weight") == 1).alias("plain"))
-    return whole.join(single, "cid", "left").select(
-        "cid", "weight", "plain", (F.col("weight") - F.coalesce("own", F.lit(0.0))).alias("shared"))
+    rows = stored(texts.select("cid", "text").mapInArrow(
+        shingle, "cid bigint, shingle bigint, weight double"), "shingles")
+    counted = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
+    own = Window.partitionBy("cid")
+    behind = own.orderBy("n", "shingle").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    prefixes = counted.select(
+        "cid", "shingle", "n", F.sum("weight").over(behind).alias("rest"),
+        F.sum("weight").over(own).alias("weight"), (F.max("weight").over(own) == 1).alias("plain")
+    ).where((F.col("n") > 1) & (F.col("rest") >= threshold * F.col("weight") - 1e-9))
+    prefixes = stored(prefixes.join(placed, "cid"), "prefixes")
+    several = prefixes.groupBy("shingle").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    probe = prefixes.join(several.select("shingle"), "shingle")
+    least = 2 * threshold / (1 + threshold)
+    probe = probe.withColumn("early", F.col("rest") >= least * F.col("weight") - 1e-9)
+    columns = ("cid", "component", "rest", "weight", "plain", "early")
+    first, second = (probe.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in columns])
+                     for side in "ab")
+    common = F.least("rest_a", "rest_b")
+    bound = F.when(F.col("plain_a") & F.col("plain_b"),
+                   common / (F.col("weight_a") + F.col("weight_b") - common)).otherwise(
+        1 / (F.col("weight_a") / F.col("rest_a") + F.col("weight_b") / F.col("rest_b") - 1))
+    possible = ((F.col("component_a") != F.col("component_b")) & (bound >= threshold - 1e-9)
+                & (~F.col("early_b") | (F.col("cid_a") < F.col("cid_b"))))
+    return (first.where("early_a").withColumnRenamed("shingle", "s")
+            .join(second, (F.col("s") == F.col("shingle")) & possible)
+            .select(F.least("cid_a", "cid_b").alias("a"), F.greatest("cid_a", "cid_b").alias("b"))
+            .distinct())
 
 
 def _per_row(column: pa.Array, n: int):
@@ -196,13 +229,13 @@ def _per_row(column: pa.Array, n: int):
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Classes of documents linked by near-equal texts: doc_id, key, class_id, keeper.
 
-    Texts are signed with 224 registers in 32 bands of seven: texts at the threshold agree in some
-    band with a probability of 0.9995. In every band the texts that agree are compared with the one
-    that agrees with most others in all, and links are kept where the exact probability Jaccard of
-    five-word shingles (weighted by count) reaches ``threshold``. Texts that share a band but are not
-    connected after that are compared with each other, unless what they share with any of these texts
-    rules a link out, or the registers put them far below the threshold. So no link within a band is
-    lost, and a group of copies is not paired out.
+    Texts are signed with 32 bands of registers, seven a band at 0.8 and fewer at lower thresholds: texts
+    at the threshold agree in some band with a probability of 0.999 at least. In every band the texts
+    that agree are compared with the one that agrees with most others in all, and links are kept where
+    the exact probability Jaccard of five-word shingles (weighted by count) reaches ``threshold``. Texts
+    that share a band but are not connected after that are compared with each other where a prefix
+    filter, which is exact, leaves a link possible. So no link within a band is lost, and a group of
+    copies is not paired out.
 
     ``class_id`` is the smallest doc_id of all documents reachable over links; ``key`` the MD5 of the
     text; ``keeper`` marks the class's one text and id to keep. Equal texts are always together;
@@ -210,7 +243,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     class only if no document of it has another. Repeated rows each come out, with the same marks; an
     empty table gives no rows.
     """
-    rows, classes = _classes(docs)
+    rows, classes = _classes(docs, threshold)
     banded = classes.select("cid", F.posexplode("bands").alias("band", "value"))
     shared = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(banded.join(shared, ["band", "value"]), "members")
@@ -230,37 +263,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         "component", F.coalesce("component", "cid"))
     mixed = placed.groupBy("band", "value").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    rest = stored(placed.join(mixed.select("band", "value"), ["band", "value"]), "rest")
-    reach = stored(_reach(rest.select("cid").distinct().join(texts, "cid"))
-                   .join(classes.select("cid", "marks"), "cid"), "reach")
-    placed = rest.join(reach.drop("marks"), "cid")
-    first, second = (placed.select(*[F.col(c).alias(f"{c}_{side}") for c in (
-        "band", "value", "cid", "component", "weight", "shared", "plain")]) for side in "ab")
-    same = (F.col("band_a") == F.col("band_b")) & (F.col("value_a") == F.col("value_b"))
-    # What both may share bounds their similarity: if every weight is one by the smaller part, and
-    # else by the concavity of a * b / (P * b + Q * a) in the shared weights a and b.
-    common = F.least("shared_a", "shared_b")
-    bound = F.when(F.col("plain_a") & F.col("plain_b"),
-                   common / (F.col("weight_a") + F.col("weight_b") - common)).otherwise(
-        1 / (F.col("weight_a") / F.col("shared_a") + F.col("weight_b") / F.col("shared_b") - 1))
-    possible = ((F.col("cid_a") < F.col("cid_b")) & (F.col("component_a") != F.col("component_b"))
-                & (common > 0) & (bound >= threshold - 1e-9))
-    across = (first.join(second, same & possible).select(
-        F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
-        .join(stars, ["a", "b"], "left_anti"))
-    marks = reach.select("cid", "marks")
-
-    def agree(batches):
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(
-                batch.num_rows, -1) for c in ("marks_a", "marks_b"))
-            keep = (x == y).mean(axis=1) >= ESTIMATE
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-    close = stored(
-        across.join(marks.select(F.col("cid").alias("a"), F.col("marks").alias("marks_a")), "a")
-        .join(marks.select(F.col("cid").alias("b"), F.col("marks").alias("marks_b")), "b")
-        .select("a", "b", "marks_a", "marks_b").mapInArrow(agree, "a bigint, b bigint"), "close")
+    rest = stored(placed.join(mixed.select("band", "value"), ["band", "value"])
+                  .select("cid", "component").distinct(), "rest")
+    close = stored(_possible_pairs(rest.select("cid").join(texts, "cid"), rest, threshold)
+                   .join(stars, ["a", "b"], "left_anti"), "close")
     if not close.isEmpty():
         # The stars found so far stand for their links.
         more = _verified(close, texts, threshold).unionByName(
