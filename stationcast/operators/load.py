@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,98 +210,44 @@ def rounded_to_dry(obs: DataFrame) -> DataFrame:
                    .alias("stored_as_dry"))
 
 
-ID_RANGES = "first_id BIGINT, rows BIGINT"
-
-
-def reserve_ids(target: DataFrame | None, rows: int, path: str, spark) -> int:
-    """Set aside ``rows`` fact ids and return the number before the first of them.
-
-    Ranges given out are kept beside the facts, one row per load, so that no load reads the whole
-    table for its largest id. The range is written before the facts: a load that dies in between
-    leaves a gap, never a number used twice. A table from before the ranges is read once.
-    """
-    folder = f"{path}_ids"
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    known = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)
-    if known:
-        last = spark.read.schema(ID_RANGES).parquet(folder).agg(
-            F.max(F.col("first_id") + F.col("rows") - 1)).first()[0] or 0
-    else:
-        last = 0 if target is None else target.agg(F.max("data_id")).first()[0] or 0
-    spark.createDataFrame([(last + 1, rows)], ID_RANGES).write.mode("append").parquet(folder)
-    return last
-
-
 def number_facts(rows: DataFrame, start: int) -> DataFrame:
     """Give fact rows the ``data_id`` values after ``start``, in key order."""
     return dense_numbers(rows, FACT_KEY, "data_id", start)
 
 
-def write_facts(rows: DataFrame, path: str) -> int:
-    """Append fact rows by year; returns how many were written."""
-    seen = Observation("written")
-    (
-        rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .withColumn("year", F.year("dtg"))
-        .write.mode("append").partitionBy("year").parquet(path)
-    )
-    return seen.get["rows"]
-
-
-def _staged_span(stage: DataFrame):
-    return stage.agg(F.min(F.year("dtg")).alias("low"), F.max(F.year("dtg")).alias("high"),
-                     F.count(F.lit(1)).alias("rows")).first()
-
-
-def load_facts(stage: DataFrame, target: DataFrame | None, path: str) -> tuple[int, int]:
-    """Append the staged rows the target lacks; returns (inserted, skipped).
+def load_facts(stage: DataFrame, load) -> tuple[int, int]:
+    """Append the staged rows the facts lack to a warehouse ``load``; returns (inserted, skipped).
 
-    Only target partitions within the staged years are read for the comparison. Each append
-    becomes visible at job commit, so a load that failed can simply be run again.
+    Only fact files that may hold a staged key are read for the comparison. Nothing is visible before
+    the load commits.
     """
-    span = _staged_span(stage)
-    if span.rows == 0:
-        return 0, 0
-    new = stage
-    if target is not None:
-        new = cut_lineage(append_new_only(
-            stage, target.filter(F.col("year").between(span.low, span.high))))
-    rows = new.count()
+    staged, near = stage.count(), load.base.near(stage)
+    if near:
+        stage = cut_lineage(append_new_only(stage, load.base.read("wx_data", near)))
+    rows = stage.count() if near else staged
     if rows:
-        start = reserve_ids(target, rows, path, stage.sparkSession)
-        write_facts(number_facts(new, start), path)
-    return rows, span.rows - rows
+        load.append_facts(number_facts(stage, load.base.last_id()))
+    return rows, staged - rows
 
 
-def replace_facts(stage: DataFrame, target: DataFrame, path: str) -> tuple[int, int]:
-    """Delete the batch's box from the table at ``path``, then add the batch.
+def replace_facts(stage: DataFrame, load) -> tuple[int, int]:
+    """Replace the batch's box in a warehouse ``load`` by the batch; returns (deleted, inserted).
 
-    Only the years the batch spans are rewritten. Their new content is stored in the shared folder
-    before the old files go. Returns (deleted, inserted).
+    Only the files that reach into the box are written anew, without its rows.
     """
-    span = _staged_span(stage)
+    span = stage.agg(F.min("dtg").alias("low"), F.max("dtg").alias("high"),
+                     F.count(F.lit(1)).alias("rows")).first()
     if span.rows == 0:
         return 0, 0
-    nearby = target.filter(F.col("year").between(span.low, span.high))
-    kept = outside_replace_scope(nearby, stage)
-    start = reserve_ids(target, span.rows, path, stage.sparkSession)
-    content = cut_lineage(kept.withColumn("__old", F.lit(True)).unionByName(
-        number_facts(stage, start).withColumns({"year": F.year("dtg"), "__old": F.lit(False)}),
-        allowMissingColumns=True))
-    before = {r.year: r["count"] for r in nearby.groupBy("year").count().collect()}
-    after = {r.year: r.old for r in content.groupBy("year").agg(
-        F.count_if("__old").alias("old")).collect()}
-    (
-        content.drop("__old").write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(path)
-    )
-    for year in before.keys() - after.keys():
-        _drop_partition(stage, f"{path}/year={year}")
-    return sum(before.values()) - sum(after.values()), span.rows
-
-
-def _drop_partition(df: DataFrame, folder: str) -> None:
-    # A year that lost all its rows is not part of the dynamic overwrite.
-    context = df.sparkSession.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    box = stage.select("city_id").distinct().select("city_id", F.explode(F.array(
+        F.lit(span.low), F.lit(span.high))).alias("dtg"))
+    touched = load.base.near(box)
+    deleted, content = 0, number_facts(stage, load.base.last_id())
+    if touched:
+        before = load.base.read("wx_data", touched)
+        kept = cut_lineage(outside_replace_scope(before, stage).drop("year"))
+        deleted = before.count() - kept.count()
+        content = content.unionByName(kept, allowMissingColumns=True)
+    load.drop_facts(touched)
+    load.append_facts(content)
+    return deleted, span.rows

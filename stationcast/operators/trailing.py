@@ -1,20 +1,20 @@
 """Time-range statistics over raw readings, without self-joins or long sliding frames.
 
-A 30-day RANGE frame over raw rows re-reads up to 30 days of rows for every reading and puts a
-whole city into one task. Here the frame is cut at day borders:
-
-    frame of t  =  tail of the oldest day  +  29 whole days  +  head of the day of t
-
-Whole days come from daily sums (one small row per city-day). Head and tail are running sums inside
-(city, day) groups, after equal timestamps have been merged map-side, so the largest group is the
-distinct timestamps of two days however many rows a city has.
+A 30-day RANGE frame over raw rows re-reads up to 30 days of rows for every reading and puts a whole
+city into one task. Here equal timestamps are merged map-side, and a frame is the difference of two
+running totals of the merged points: the one up to its end and the one before its start. Ends and starts
+are put into one global order, cut into ranges of similar size, so no task depends on how many readings
+a city, a day or a minute has.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationcast.operators.ordering import running_totals
+from stationcast.session import cut_lineage
+
 DAY_US = 86_400_000_000
 
 
@@ -26,49 +26,31 @@ def range_sums(points: DataFrame, key: str, sums: list[str], days: int = 30) ->
     """Sums of ``sums`` over ``[us - days, us]`` per key, both ends included.
 
     ``points`` holds one row per (key, us), ``us`` being microseconds as a long. Returns the same
-    (key, us) rows with the framed sums. Exact for integer and decimal columns.
+    (key, us) rows with the framed sums. Exact for integer and decimal columns; doubles keep the
+    precision of a running total over the whole table.
     """
     span = days * DAY_US
-    dated = points.withColumn("day", F.expr(f"(us - pmod(us, {DAY_US})) div {DAY_US}"))
-
-    whole = Window.partitionBy(key).orderBy("day").rangeBetween(-(days - 1), -1)
-    daily = dated.groupBy(key, "day").agg(*[F.sum(c).alias(c) for c in sums]).select(
-        key, "day", *[F.sum(c).over(whole).alias(f"{c}__whole") for c in sums])
-
-    # Each point serves its own day as head and the day `days` later as tail.
-    placed = dated.select(
-        key, *sums,
-        F.explode(F.array(
-            F.struct(F.lit(True).alias("own"), F.col("day").alias("day"), F.col("us").alias("us")),
-            F.struct(F.lit(False).alias("own"), (F.col("day") + days).alias("day"),
-                     (F.col("us") + F.lit(span)).alias("us")),
-        )).alias("slot"),
-    ).select(key, "slot.own", "slot.day", "slot.us", *sums)
-    group = Window.partitionBy(key, "day")
-    head = group.orderBy("us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    tail = group.orderBy(F.col("us").desc()).rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    edges = placed.select(
-        key, "own", "day", "us",
-        *[F.sum(F.when(F.col("own"), F.col(c))).over(head).alias(f"{c}__head") for c in sums],
-        *[F.sum(F.when(~F.col("own"), F.col(c))).over(tail).alias(f"{c}__tail") for c in sums],
-    ).filter("own")
-
-    joined = edges.join(daily, [key, "day"])
-    total = [
-        sum((F.coalesce(F.col(f"{c}__{part}"), F.lit(0)) for part in ("head", "whole")),
-            F.coalesce(F.col(f"{c}__tail"), F.lit(0))).alias(c)
-        for c in sums
-    ]
-    return joined.select(key, "us", *total)
+    # A frame's start stands before the point of that time, its end is the point itself.
+    slots = points.select(key, F.explode(F.array(
+        F.struct(F.lit(0).alias("__end"), (F.col("us") - F.lit(span)).alias("us"),
+                 *[F.lit(0).cast(points.schema[c].dataType).alias(c) for c in sums]),
+        F.struct(F.lit(1).alias("__end"), F.col("us"),
+                 *[F.coalesce(c, F.lit(0)).cast(points.schema[c].dataType).alias(c) for c in sums]),
+    )).alias("slot")).select(key, "slot.*")
+    placed = running_totals(slots, [key, "us", "__end"], {f"__before_{c}": c for c in sums})
+    end = F.col("__end") == 1
+    return placed.groupBy(key, F.when(end, F.col("us")).otherwise(F.col("us") + span).alias("us")).agg(*[
+        F.sum(F.when(end, F.col(f"__before_{c}") + F.col(c)).otherwise(-F.col(f"__before_{c}")))
+        .alias(c) for c in sums])
 
 
 def _points(readings: DataFrame, key: str, ts: str, measures: list[str]) -> DataFrame:
-    """One row per (key, timestamp): row count, and sum and count of each measure."""
+    """One row per (key, timestamp): row count, and sum and count of each measure. Stored, the only
+    step that reads the measures."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for m in measures:
         aggs += [F.sum(m).alias(f"{m}_sum"), F.count(m).alias(f"{m}_n")]
-    return readings.groupBy(key, _micros(ts).alias("us")).agg(*aggs)
+    return cut_lineage(readings.groupBy(key, _micros(ts).alias("us")).agg(*aggs))
 
 
 MEASURES = ("temp_c", "humidity", "precip_mm")

@@ -28,10 +28,9 @@ from stationcast.sources import (
     export_csv,
     export_json,
     scan_payloads,
-    scan_star_schema,
     trailing_years_filter,
-    write_star_schema,
 )
+from stationcast.sources.warehouse import Warehouse
 
 SPLIT_NAMES = {"hash": "hash 64/16/20 by city and date",
                "exact": "hash 64/16/20 by city and date, exact sizes",
@@ -143,16 +142,18 @@ def ingest(spark: SparkSession, obs: DataFrame, places: DataFrame, path: str,
 
     Of several copies of a city-day the first in ``ingest_order`` counts, of several places of a city
     the last in ``place_order``; without these columns, copies that differ are refused. Rows that
-    break a constraint are appended to ``path/quarantine`` with what they break and never become
+    break a constraint are appended to the table quarantine with what they break and never become
     facts; a code without text is an error, or with ``strict_codes`` off such a row is held back too.
 
-    The batch is stored once, since every step reads it. Location tables come first, then codes,
-    then facts, each by appending what is missing, so a load that died can be run again.
+    The batch is stored once, since every step reads it. All tables change in one commit, see
+    :mod:`stationcast.sources.warehouse`: a load that dies changes nothing and can be run again, and of
+    two at once the second to commit is an error.
     """
     days = cut_lineage(load.normalize(obs, ingest_order, strict=True))
     used = days.select(F.col("wmo_code").cast("int").cast("string").alias("wmo_code"))
     codes = load.require_code_texts(used) if strict_codes else load.code_texts(used).dropna()
-    tables = scan_star_schema(spark, path)
+    warehouse = Warehouse(spark, path)
+    tables, change = warehouse.tables(), warehouse.begin()
     named = cut_lineage(days.select("city").distinct().join(
         load.one_place_per_city(places, place_order), "city", "left").select(
         "city", F.col("country_code").isNotNull().alias("known"), "country", "country_code",
@@ -164,24 +165,26 @@ def ingest(spark: SparkSession, obs: DataFrame, places: DataFrame, path: str,
     grown["wmo_codes"] = load.insert_missing(tables["wmo_codes"], codes, ["wmo_code"])
     for name, df in grown.items():
         key = quality.PRIMARY_KEYS[name]
-        added = cut_lineage(df.join(tables[name].select(key), key, "left_anti"))
-        added.select(*df.columns).coalesce(1).write.mode("append").parquet(f"{path}/{name}")
+        added = cut_lineage(df.join(tables[name].select(key), key, "left_anti").select(*df.columns))
+        if not added.isEmpty():
+            change.append(name, added.coalesce(1))
+        tables[name] = tables[name].unionByName(added)
 
     stage = cut_lineage(load.to_storage_rows(days, ids))
-    fresh = scan_star_schema(spark, path)
     broken = cut_lineage(quality.quarantine(
-        stage, {"cities": fresh["cities"], "wmo_codes": fresh["wmo_codes"]}, earliest))
+        stage, {"cities": tables["cities"], "wmo_codes": tables["wmo_codes"]}, earliest))
     held = broken.count()
     if held:
-        broken.write.mode("append").parquet(f"{path}/quarantine")
+        change.append("quarantine", broken)
         # One row per city-day, so the key tells good rows from bad ones.
         stage = cut_lineage(stage.join(broken.select(*load.FACT_KEY), load.FACT_KEY, "left_anti"))
     dry = load.rounded_to_dry(days).first()["stored_as_dry"]
-    facts = f"{path}/wx_data"
     if replace:
-        _, inserted = load.replace_facts(stage, tables["wx_data"], facts)
-        return Ingested(inserted, 0, held, dry)
-    return Ingested(*load.load_facts(stage, tables["wx_data"], facts), held, dry)
+        done = load.replace_facts(stage, change)[1], 0
+    else:
+        done = load.load_facts(stage, change)
+    change.commit()
+    return Ingested(*done, held, dry)
 
 
 def load_payloads(spark: SparkSession, folder: str, places: DataFrame, path: str,
@@ -211,8 +214,5 @@ def export(tables: dict[str, DataFrame], path: str, days: int | None = None, now
 
 
 def empty_star_schema(spark: SparkSession, path: str) -> None:
-    """Create the five empty tables at ``path``."""
-    from stationcast.schemas import STAR_SCHEMAS
-
-    write_star_schema({name: spark.createDataFrame([], schema).drop("year")
-                       for name, schema in STAR_SCHEMAS.items()}, path)
+    """Create a warehouse of five empty tables at ``path``."""
+    Warehouse.create(spark, path)

@@ -18,6 +18,7 @@ from stationcast.schemas import (
     STAR_SCHEMAS,
 )
 from stationcast.session import cut_lineage
+from stationcast.sources.warehouse import Warehouse, versions
 
 SOURCES = ("csv", "db")
 
@@ -47,7 +48,10 @@ def scan_observations_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_star_schema(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """The five tables below ``path`` as Parquet; facts are partitioned by year."""
+    """The five tables below ``path``: the newest version of a warehouse, or else Parquet folders, facts
+    partitioned by year."""
+    if versions(spark, path):
+        return Warehouse(spark, path).tables()
     return {name: spark.read.schema(schema).parquet(f"{path}/{name}")
             for name, schema in STAR_SCHEMAS.items()}
 

@@ -10,7 +10,7 @@ from stationcast.operators.ordering import dense_numbers, running_totals
 from stationcast.operators.rejects import RejectedRows
 from stationcast.plans import jobs
 from stationcast.schemas import OBS_SCHEMA
-from stationcast.sources import scan_star_schema
+from stationcast.sources import Warehouse, scan_star_schema
 from tests.conftest import make_days, to_spark
 
 PLACES = [
@@ -246,7 +246,7 @@ def test_ingest_keeps_first_rows_last_places_and_holds_back_bad_rows(spark, star
                       if r.date.day != 4}
     assert tables["cities"].count() == 3
     assert {r.div1_name for r in tables["admin_div_1"].collect()} == {"Ontario", "Australia", "Brazil"}
-    held = spark.read.parquet(f"{star}/quarantine").collect()
+    held = Warehouse(spark, star).read("quarantine").collect()
     assert [r.broken for r in held] == [["wx_data_precipmm_range"]] * 3
     again = jobs.ingest(spark, batch, listed, star, ingest_order="seq", place_order="n")
     assert again[:3] == (0, 27, 3)
@@ -256,24 +256,6 @@ def test_ingest_keeps_first_rows_last_places_and_holds_back_bad_rows(spark, star
         jobs.ingest(spark, days.drop("seq"), listed.drop("n"), star)
 
 
-def test_a_load_that_died_before_the_facts_can_run_again(spark, star, monkeypatch):
-    obs = to_spark(spark, make_days(8))
-
-    def die(*_args):
-        raise RuntimeError("lost")
-
-    with monkeypatch.context() as patched:
-        patched.setattr(load, "write_facts", die)
-        with pytest.raises(RuntimeError, match="lost"):
-            jobs.ingest(spark, obs, places(spark), star)
-    assert scan_star_schema(spark, star)["cities"].count() == 3
-    assert jobs.ingest(spark, obs, places(spark), star).inserted == 24
-    facts = scan_star_schema(spark, star)["wx_data"]
-    # The ids that were set aside are not used again.
-    assert sorted(r.data_id for r in facts.collect()) == list(range(25, 49))
-    assert scan_star_schema(spark, star)["cities"].count() == 3
-
-
 def test_refused_rows_come_as_a_table(spark):
     bad = places(spark, [(f"C{k}", "Nowhere", f"X{k:02}", "") for k in range(60)])
     with pytest.raises(RejectedRows, match="60 in all") as refused:

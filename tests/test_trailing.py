@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,11 +92,36 @@ def test_float_measures_work_too(spark, rows):
         exact.avg_temp_c_30day)
 
 
-def test_hot_group_is_split_by_day(spark, rows):
-    """No window over raw readings is partitioned by city alone."""
+def test_no_window_follows_the_data(spark, rows):
+    """Windows run over ranges of the global order, whatever a city or a day holds, and the measures
+    are read once."""
     df = spark.createDataFrame(rows, SCHEMA)
     plan = trailing.trailing_averages(df)._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line]
-    assert len(windows) == 3
-    assert sum("day#" in line.rsplit("], [", 2)[1] for line in windows) == 2
+    assert windows and all("__range#" in line for line in windows)
+    assert not any("day#" in line or "city_id#" in line.rsplit("], [", 2)[1] for line in windows)
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_million_stamps_in_one_day_of_one_city(spark):
+    n = 1_000_000
+    day = spark.range(n).select(
+        F.col("id").alias("data_id"), F.lit(1).alias("city_id"),
+        F.timestamp_micros(F.lit(946_684_800_000_000) + F.col("id") * 86_399).alias("dtg"),
+        (F.col("id") % 601 / 10).cast("decimal(4,1)").alias("temp_c"),
+        F.lit(None).cast("decimal(3,2)").alias("humidity"), (F.col("id") % 7).cast("int").alias("precip_mm"))
+    later = day.select((F.col("data_id") + n).alias("data_id"), "city_id",
+                       F.expr("dtg + INTERVAL 30 DAYS").alias("dtg"), "temp_c", "humidity", "precip_mm")
+    out = trailing.trailing_averages(day.unionByName(later.where("data_id % 1000 = 0")))
+    got = {r.data_id: (r.avg_temp_c_30day, r.avg_precip_mm_30day, r.avg_humidity_30day)
+           for r in out.where("data_id % 5000 = 0").collect()}
+    temp, rain = np.arange(n) % 601 / 10, np.arange(n) % 7
+    assert len(got) == 400
+    for i, (t, p, h) in got.items():
+        if i < n:
+            assert (t, p) == pytest.approx((temp[:i + 1].mean(), rain[:i + 1].mean()))
+        else:                     # the rest of the first day, and every thousandth of the later one
+            some = np.arange(0, i - n + 1, 1000)
+            want = [(x[i - n:].sum() + x[some].sum()) / (n - (i - n) + len(some)) for x in (temp, rain)]
+            assert (t, p) == pytest.approx(tuple(want))
+        assert h is None
