@@ -194,11 +194,12 @@ def _possible_pairs(texts: DataFrame, placed: DataFrame, threshold: float) -> Da
         shingle, "cid bigint, shingle bigint, weight double"), "shingles")
     counted = rows.join(rows.groupBy("shingle").agg(F.count("*").alias("n")), "shingle")
     own = Window.partitionBy("cid")
-    behind = own.orderBy("n", "shingle").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    before = own.orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)
     prefixes = counted.select(
-        "cid", "shingle", "n", F.sum("weight").over(behind).alias("rest"),
-        F.sum("weight").over(own).alias("weight"), (F.max("weight").over(own) == 1).alias("plain")
-    ).where((F.col("n") > 1) & (F.col("rest") >= threshold * F.col("weight") - 1e-9))
+        "cid", "shingle", "n", F.sum("weight").over(own).alias("weight"),
+        F.coalesce(F.sum("weight").over(before), F.lit(0.0)).alias("rarer"),
+        (F.max("weight").over(own) == 1).alias("plain")
+    ).withColumn("rest", F.col("weight") - F.col("rarer")).drop("rarer").where((F.col("n") > 1) & (F.col("rest") >= threshold * F.col("weight") - 1e-9))
     prefixes = stored(prefixes.join(placed, "cid"), "prefixes")
     several = prefixes.groupBy("shingle").agg(
         F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
