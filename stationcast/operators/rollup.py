@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationcast.functions.weather import local_day, wet_flag
+from stationcast.operators.ordering import dense_numbers
 from stationcast.operators.rejects import refuse
 
 
@@ -91,3 +92,9 @@ def usable_range(features: DataFrame) -> DataFrame:
     """First and last servable day per city."""
     return features.groupBy("city").agg(
         F.min("date").alias("first_usable"), F.max("date").alias("last_usable"))
+
+
+def city_listing(features: DataFrame) -> DataFrame:
+    """The cities that can be asked for, in the order of their names: position (from 1), city and the
+    days that can be served."""
+    return dense_numbers(usable_range(features), ["city"], "position")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,6 +166,11 @@ def _(fx):
     return rollup.usable_range(ft.build_features(fx.located))
 
 
+@query("city_listing")
+def _(fx):
+    return rollup.city_listing(ft.build_features(fx.located))
+
+
 # --- time-range windows -------------------------------------------------------------------------
 
 @query("trailing_30d_avg")
@@ -413,7 +418,9 @@ def _(fx):
 
 @query("requests_to_features")
 def _(fx):
-    return rounded(lookup.requests_to_features(fx.requests, ft.build_features(fx.located)))
+    days = cut_lineage(fx.located)
+    features = ft.build_features(ft.asked_history(days, fx.requests))
+    return rounded(lookup.requests_to_features(fx.requests, features, ft.usable_days(days)))
 
 
 @query("point_lookup")
@@ -614,6 +621,27 @@ def _(fx):
     return training.trials_table(fx.spark, searched(fx)[1])
 
 
+@query("trial_ranking")
+def _(fx):
+    """Days of a month as trials of the month, by their mean temperature: whole degrees, so they tie."""
+    days = fx.obs.where("temp_mean_c IS NOT NULL")
+    return training.ranked_trials(days.select(
+        F.concat_ws("|", "city", F.date_format("date", "yyyy-MM")).alias("target"),
+        F.dayofmonth("date").alias("position"), F.floor("temp_mean_c").cast("double").alias("score")))
+
+
+@query("curve_sampling")
+def _(fx):
+    """Each city's days as the rounds of a curve, the warmest kept."""
+    days = fx.obs.where("temp_mean_c IS NOT NULL")
+    city = Window.partitionBy("city")
+    curve = days.select(
+        F.lit("temperature").alias("target"), F.col("city").alias("name"),
+        F.row_number().over(city.orderBy("date")).alias("round"), F.col("temp_mean_c").alias("score"),
+        (F.row_number().over(city.orderBy(F.desc("temp_mean_c"), "date")) == 1).alias("kept"))
+    return rounded(training.sampled_curves(curve))
+
+
 @query("learning_curves")
 def _(fx):
     return training.sampled_curves(training.curves_table(fx.spark, searched(fx)[1]))

@@ -67,6 +67,24 @@ ORACLES: dict[str, str] = {
     "usable_range_by_city": """
         SELECT city, MIN(date) AS first_usable, MAX(date) AS last_usable FROM lab
         WHERE roll30 IS NOT NULL GROUP BY city""",
+    "city_listing": """
+        SELECT row_number() OVER (ORDER BY city) AS position, city, first_usable, last_usable
+        FROM (SELECT city, MIN(date) AS first_usable, MAX(date) AS last_usable FROM lab
+              WHERE roll30 IS NOT NULL GROUP BY city)""",
+    "trial_ranking": """
+        SELECT *, CAST(row_number() OVER (PARTITION BY target ORDER BY score, position) AS INT) AS rank
+        FROM (SELECT city || '|' || strftime(date, '%Y-%m') AS target, CAST(day(date) AS INT) AS position,
+                CAST(floor(temp_mean_c) AS DOUBLE) AS score
+              FROM fx_obs WHERE temp_mean_c IS NOT NULL)""",
+    "curve_sampling": f"""
+        WITH curve AS (
+          SELECT city, temp_mean_c, row_number() OVER (PARTITION BY city ORDER BY date) AS k,
+            row_number() OVER (PARTITION BY city ORDER BY temp_mean_c DESC, date) = 1 AS kept,
+            COUNT(*) OVER (PARTITION BY city) AS n
+          FROM fx_obs WHERE temp_mean_c IS NOT NULL)
+        SELECT 'temperature' AS target, city AS name, CAST(k AS INT) AS round,
+          {rnd('temp_mean_c', 'score')}, kept
+        FROM curve WHERE kept OR (k - 1) % greatest(1, n // 8) = 0""",
     # 2.5 time-range windows
     "trailing_30d_avg": f"""
         SELECT data_id, city_id, dtg,
