@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -15,17 +16,31 @@ from stationcast.llm.store import stored
 
 #: Vectors the rotation is learnt from, those with the smallest hash of their components.
 FIT_VECTORS = 20_000
-TABLES, TABLE_BITS = 4, 16
 #: Table keys of a query differ from the stored ones in at most so many bits.
-RADIUS = 2
+RADIUS = 1
+#: Of the pairs at the threshold, the share that the tables should find.
+RECALL = 0.99
+#: The bits that candidates are compared by, in words of 64.
+CODE_BITS = 256
 PAIRS_AT_ONCE = 20_000
 
 
+class Codes(NamedTuple):
+    """How vectors of one dimension become codes: they are centred, and a bit is the side of a plane on
+    which a vector lies. The first bits are the code; each table's key is ``width`` further on."""
+
+    mean: np.ndarray
+    directions: np.ndarray
+    tables: int
+    width: int
+
+
 def learn_rotation(sample: np.ndarray, bits: int, rounds: int = 50, seed: int = 7) -> np.ndarray:
-    """Directions whose signs are the code: principal axes, turned so that signs lose little.
+    """Directions whose signs are the code of centred vectors: principal axes, turned so that signs lose
+    little.
 
     The turn alternates between the nearest signs and the nearest orthogonal matrix (Procrustes).
-    With more bits than axes, the further ones are random directions.
+    With more bits than axes, the further ones are the same space in random turns.
     """
     rng = np.random.default_rng(seed)
     dimension = sample.shape[1]
@@ -40,8 +55,47 @@ def learn_rotation(sample: np.ndarray, bits: int, rounds: int = 50, seed: int =
         signs = np.where(projected @ turn >= 0, 1.0, -1.0)
         u, _, v = np.linalg.svd(signs.T @ projected)
         turn = (u @ v).T
-    more = rng.normal(size=(dimension, max(0, bits - axes.shape[1])))
-    return np.hstack([axes @ turn, more])
+    parts = [axes @ turn]
+    while sum(part.shape[1] for part in parts) < bits:
+        parts.append(np.linalg.qr(rng.normal(size=(dimension, dimension)))[0])
+    return np.hstack(parts)[:, :bits]
+
+
+def angle_share(threshold: float, norm_a, norm_b):
+    """The angle, as a share of pi, that two unit vectors at the threshold have once they are centred and
+    have these lengths: their distance stays the same."""
+    cosine = (norm_a ** 2 + norm_b ** 2 - 2 * (1 - threshold)) / np.maximum(2 * norm_a * norm_b, 1e-12)
+    return np.arccos(np.clip(cosine, -1, 1)) / np.pi
+
+
+def plan_tables(rows: int, share: float, recall: float = RECALL) -> tuple[int, int]:
+    """Number of tables and key width: enough tables for the recall, of the width with the least work.
+
+    A pair at the threshold differs in a ``share`` of its bits and is found in a table if its keys differ
+    in ``RADIUS`` bits at most. A query looks up 1 + width keys per table (at radius 1) and meets
+    rows / 2 ** width strangers under each, so keys grow with the logarithm of the rows.
+    """
+    share = min(max(share, 0.01), 0.45)
+    best = None
+    for width in range(6, 31):
+        found = sum(math.comb(width, k) * share ** k * (1 - share) ** (width - k)
+                    for k in range(RADIUS + 1))
+        tables = max(1, math.ceil(math.log(1 - recall) / math.log(1 - found)))
+        looked_up = sum(math.comb(width, k) for k in range(RADIUS + 1))
+        work = tables * looked_up * (1 + rows / 2 ** width)
+        if best is None or work < best[0]:
+            best = work, tables, width
+    return best[1:]
+
+
+def learn_codes(sample: np.ndarray, rows: int, threshold: float) -> Codes:
+    """Centre, directions and tables for the vectors of one dimension, from a sample of unit vectors."""
+    mean = sample.mean(axis=0) if len(sample) else np.zeros(sample.shape[1])
+    centred = sample - mean
+    # What a common direction hides shows in the centred lengths: most pairs are longer than this.
+    low = float(np.quantile(np.linalg.norm(centred, axis=1), 0.1)) if len(sample) else 1.0
+    tables, width = plan_tables(rows, float(angle_share(threshold, low, low)))
+    return Codes(mean, learn_rotation(centred, max(CODE_BITS, tables * width)), tables, width)
 
 
 def unit_vectors(column: pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,12 +117,19 @@ def unit_vectors(column: pa.Array, dimension: int) -> tuple[np.ndarray, np.ndarr
     return out, good
 
 
-def encode(vectors: DataFrame, directions: dict[int, np.ndarray]) -> DataFrame:
-    """Codes of the usable rows: (rep, copies, size, code, unit), the code's bits in a long.
+def _packed(bits: np.ndarray) -> np.ndarray:
+    """Rows of at most 64 bits as integers."""
+    weights = np.uint64(1) << np.arange(bits.shape[-1], dtype=np.uint64)
+    return np.where(bits, weights, np.uint64(0)).sum(axis=-1, dtype=np.uint64).view(np.int64)
+
 
-    Each vector is coded by the directions of its own size; those of other sizes are left out.
+def encode(vectors: DataFrame, codes: dict[int, Codes]) -> DataFrame:
+    """Codes of the usable rows: (rep, copies, size, code, keys, norm, unit), ``norm`` the length of the
+    centred unit vector.
+
+    Each vector is coded by the planes of its own size; those of other sizes are left out.
     """
-    shared = vectors.sparkSession.sparkContext.broadcast(directions)
+    shared = vectors.sparkSession.sparkContext.broadcast(codes)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -76,57 +137,77 @@ def encode(vectors: DataFrame, directions: dict[int, np.ndarray]) -> DataFrame:
             for n in np.unique(size).tolist():
                 if n not in shared.value:
                     continue
+                plan = shared.value[n]
                 part = batch.take(pa.array(np.flatnonzero(size == n)))
                 unit, good = unit_vectors(part.column("embedding"), n)
                 keep = np.flatnonzero(good)
-                bits = unit[keep] @ shared.value[n] >= 0
-                weights = np.uint64(1) << np.arange(bits.shape[1], dtype=np.uint64)
-                code = np.where(bits, weights, np.uint64(0)).sum(axis=1, dtype=np.uint64)
+                centred = unit[keep] - plan.mean
+                bits = centred @ plan.directions >= 0
+                keys = _packed(bits[:, :plan.tables * plan.width].reshape(
+                    len(keep), plan.tables, plan.width))
                 rows = part.take(pa.array(keep))
                 yield pa.RecordBatch.from_arrays([
                     rows.column("rep"), rows.column("copies"),
-                    pa.array(np.full(len(keep), n, np.int32)), pa.array(code.view(np.int64)),
+                    pa.array(np.full(len(keep), n, np.int32)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(keep) + 1, dtype=np.int32) * (CODE_BITS // 64)),
+                        pa.array(_packed(bits[:, :CODE_BITS].reshape(len(keep), -1, 64)).ravel())),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.arange(len(keep) + 1, dtype=np.int32) * plan.tables),
+                        pa.array(keys.ravel())),
+                    pa.array(np.linalg.norm(centred, axis=1)),
                     pa.array([u.tobytes() for u in unit[keep]], pa.binary()),
-                ], ["rep", "copies", "size", "code", "unit"])
+                ], ["rep", "copies", "size", "code", "keys", "norm", "unit"])
 
     return vectors.select("rep", "copies", "embedding").mapInArrow(
-        run, "rep bigint, copies bigint, size int, code bigint, unit binary")
-
-
-def _differences(bits: int, radius: int) -> list[int]:
-    return [sum(1 << b for b in chosen) for n in range(radius + 1)
-            for chosen in combinations(range(bits), n)]
+        run, "rep bigint, copies bigint, size int, code array<bigint>, keys array<bigint>, norm double, "
+             "unit binary")
 
 
-def candidate_pairs(codes: DataFrame, tables: int, bits: int, radius: int,
-                    most: int) -> DataFrame:
-    """Pairs (a < b) of one size whose codes meet in a table and differ in at most ``most`` bits.
+def candidate_pairs(codes: DataFrame, widths: dict[int, int], threshold: float) -> DataFrame:
+    """Pairs (a < b) of one size that meet in a table, and whose codes differ in no more bits than four
+    deviations above what the threshold and their centred lengths allow; each pair once.
 
-    The code is cut into one key per table; a query looks up all keys within ``radius`` bits. A pair
-    belongs to the first table in which its keys are that near, so that it comes out once.
+    Every vector is held under its key of each table and asks for that key and all within a radius of one
+    bit.
     """
-    mask = (1 << bits) - 1
-
-    def key(code, table: int):
-        return F.shiftrightunsigned(code, table * bits).bitwiseAND(F.lit(mask))
-
-    def keyed(code):
-        return F.posexplode(F.array(*[key(code, t) for t in range(tables)])).alias("table", "key")
-
-    code = F.col("code")
-    held = codes.select("size", F.col("rep").alias("b"), F.col("code").alias("code_b"), keyed(code))
-    asked = codes.select("size", F.col("rep").alias("a"), F.col("code").alias("code_a"), keyed(code))
-    flips = F.array(*[F.lit(d).cast("bigint") for d in _differences(bits, radius)])
+    width = F.coalesce(*[F.when(F.col("size") == n, F.lit(w)) for n, w in widths.items()], F.lit(0))
+    one_bit = F.transform(F.sequence(F.lit(0), width - 1),
+                          lambda i: F.call_function("shiftleft", F.lit(1).cast("bigint"), i))
+    flips = F.concat(F.array(F.lit(0).cast("bigint")), one_bit)
+    table = F.posexplode("keys").alias("table", "key")
+    words = range(CODE_BITS // 64)
+    held, asked = (codes.select("size", *[F.col(c).alias(f"{c}_{side}") for c in ("rep", "norm")], *[
+        F.get("code", F.lit(i)).alias(f"code_{side}{i}") for i in words], table) for side in "ba")
     asked = asked.withColumn("flip", F.explode(flips)).withColumn(
         "key", F.col("key").bitwiseXOR(F.col("flip"))).drop("flip")
-    apart = F.col("code_a").bitwiseXOR(F.col("code_b"))
-    earlier = F.lit(False)
-    for table in range(tables):
-        earlier = earlier | ((F.col("table") > table)
-                             & (F.bit_count(key(apart, table)) <= radius))
+    a, b = F.col("norm_a"), F.col("norm_b")
+    cosine = (a * a + b * b - 2 * (1 - threshold)) / F.greatest(2 * a * b, F.lit(1e-12))
+    share = F.acos(F.greatest(F.least(cosine, F.lit(1.0)), F.lit(-1.0))) / math.pi
+    most = CODE_BITS * share + 4 * F.sqrt(CODE_BITS * share * (1 - share))
+    apart = sum((F.bit_count(F.col(f"code_a{i}").bitwiseXOR(F.col(f"code_b{i}"))) for i in words),
+                F.lit(0))
     return (asked.join(held, ["size", "table", "key"])
-            .where((F.col("a") < F.col("b")) & (F.bit_count(apart) <= most) & ~earlier)
-            .select("size", "a", "b"))
+            .where((F.col("rep_a") < F.col("rep_b")) & (apart <= F.ceil(most)))
+            .select("size", F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
+
+
+def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the edges (a, b) connect what the ones before them have left apart."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = x = parent.get(up, up)
+        return x
+
+    keep = np.zeros(len(a), bool)
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[x] = y
+            keep[k] = True
+    return keep
 
 
 def _sample(classes: DataFrame, dimension: int, fit: int) -> np.ndarray:
@@ -138,13 +219,11 @@ def _sample(classes: DataFrame, dimension: int, fit: int) -> np.ndarray:
     return drawn / np.linalg.norm(drawn, axis=1, keepdims=True)
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLES,
-                 table_bits: int = TABLE_BITS, radius: int = RADIUS,
-                 fit: int = FIT_VECTORS) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.9, fit: int = FIT_VECTORS) -> DataFrame:
     """Link the vectors of ``vectors`` (vec_id, embedding) whose cosine reaches ``threshold``.
 
-    Vectors are compared with those of their own dimension. A rotation is learnt for each dimension,
-    from at most ``fit`` vectors and by a job of its own; all are indexed and all are queries.
+    Vectors are compared with those of their own dimension. A centre and a rotation are learnt for each
+    dimension, from at most ``fit`` vectors and by a job of its own; all are indexed and all are queries.
     Candidates are compared by their original vectors in double precision, so no link below the
     threshold comes out; the tables may miss some above it. Equal vectors are one class: they are
     linked with each other and share their links, and are never paired.
@@ -165,16 +244,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLE
     classes = stored(usable.groupBy("embedding").agg(
         F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "classes")
     # A class alone in its dimension has no pairs.
-    dimensions = [r["n"] for r in classes.groupBy(F.size("embedding").alias("n")).count()
-                  .where("count > 1").orderBy("n").collect()]
-    bits = tables * table_bits
-    codes = stored(encode(classes, {n: learn_rotation(_sample(classes, n, fit), bits)
-                                    for n in dimensions}), "codes")
-    # Codes at the threshold differ in angle / pi of their bits; four deviations more are let in.
-    share = float(np.arccos(min(1.0, threshold)) / np.pi)
-    most = int(np.ceil(bits * share + 4 * np.sqrt(bits * share * (1 - share))))
+    dimensions = {r["n"]: r["count"] for r in classes.groupBy(F.size("embedding").alias("n")).count()
+                  .where("count > 1").orderBy("n").collect()}
+    plans = {n: learn_codes(_sample(classes, n, fit), rows, threshold)
+             for n, rows in dimensions.items()}
+    codes = stored(encode(classes, plans), "codes")
     # One id may stand for several classes: the classes are told apart by number.
-    pairs = candidate_pairs(codes.select("rep", "size", "code"), tables, table_bits, radius, most)
+    pairs = candidate_pairs(codes.select("rep", "size", "code", "keys", "norm"),
+                            {n: plan.width for n, plan in plans.items()}, threshold)
     units = codes.select("rep", "copies", "size", "unit")
     first = units.select("size", F.col("rep").alias("a"), F.col("copies").alias("copies_a"),
                          F.col("unit").alias("unit_a"))
@@ -182,6 +259,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLE
                           F.col("unit").alias("unit_b"))
 
     def rerank(batches):
+        """Of the links in a batch only sums per vector (b null) and the edges that connect (n null)."""
         for batch in batches:
             for k in range(0, batch.num_rows, PAIRS_AT_ONCE):
                 some = batch.slice(k, PAIRS_AT_ONCE)
@@ -190,16 +268,27 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, tables: int = TABLE
                     part = some.take(pa.array(np.flatnonzero(size == n)))
                     x, y = (np.frombuffer(b"".join(part.column(c).to_pylist())).reshape(-1, n)
                             for c in ("unit_a", "unit_b"))
-                    keep = pa.array(np.einsum("ij,ij->i", x, y) >= threshold)
-                    yield part.select(["size", "a", "b", "copies_a", "copies_b"]).filter(keep)
+                    part = part.filter(pa.array(np.einsum("ij,ij->i", x, y) >= threshold))
+                    a, b, of_a, of_b = (part.column(c).to_numpy()
+                                        for c in ("a", "b", "copies_a", "copies_b"))
+                    ends, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+                    sums = np.bincount(at.reshape(-1), np.concatenate([of_b, of_a]), len(ends))
+                    edge = _forest(a, b)
+                    rows = len(ends) + int(edge.sum())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(rows, n, np.int32)),
+                        pa.array(np.concatenate([ends, a[edge]])),
+                        pa.array([None] * len(ends) + b[edge].tolist(), pa.int64()),
+                        pa.array(sums.astype(np.int64).tolist() + [None] * int(edge.sum()), pa.int64()),
+                    ], ["size", "a", "b", "n"])
 
     links = stored(pairs.join(first, ["size", "a"]).join(second, ["size", "b"]).select(
         "size", "a", "b", "copies_a", "copies_b", "unit_a", "unit_b").mapInArrow(
-        rerank, "size int, a bigint, b bigint, copies_a bigint, copies_b bigint"), "links")
-    near = (links.select("size", F.col("a").alias("rep"), F.col("copies_b").alias("n"))
-            .unionByName(links.select("size", F.col("b").alias("rep"), F.col("copies_a").alias("n")))
-            .groupBy("size", "rep").agg(F.sum("n").alias("near")))
-    found = connected_components(links.select("a", "b")).withColumnRenamed("node", "rep")
+        rerank, "size int, a bigint, b bigint, n bigint"), "links")
+    near = links.where("n IS NOT NULL").groupBy("size", F.col("a").alias("rep")).agg(
+        F.sum("n").alias("near"))
+    found = connected_components(links.where("b IS NOT NULL").select("a", "b")).withColumnRenamed(
+        "node", "rep")
     per_class = (classes.withColumn("size", F.size("embedding"))
                  .join(near, ["size", "rep"], "left").join(found, "rep", "left").select(
         "embedding", (F.coalesce("near", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -415,6 +415,41 @@ def test_turned_codes_lose_little():
     assert embeddings.learn_rotation(x, 64).shape == (16, 64)
 
 
+def common_direction(mean, n=3000, size=64, seed=12):
+    """Unit noise around a common mean, and near copies of some of it."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, size)) + mean
+    copies = x[:n // 5] + rng.normal(size=(n // 5, size)) * 0.35 * np.sqrt(
+        (x[:n // 5] ** 2).mean(axis=1))[:, None]
+    return np.vstack([x, copies])
+
+
+def test_a_common_direction_does_not_make_all_vectors_candidates(spark):
+    pairs = {}
+    for mean in (0.0, 1.5):
+        x = common_direction(mean)
+        unit = x / np.linalg.norm(x, axis=1)[:, None]
+        near = unit @ unit.T >= 0.9
+        plan = embeddings.learn_codes(unit, len(unit), 0.9)
+        table = spark.createDataFrame(pa.table({
+            "rep": np.arange(len(x)), "copies": np.ones(len(x), np.int64), "embedding": x.tolist()}))
+        codes = embeddings.encode(table, {64: plan})
+        found = {(r.a, r.b) for r in embeddings.candidate_pairs(codes, {64: plan.width}, 0.9).collect()}
+        links = {(i, j) for i, j in zip(*np.nonzero(near)) if i < j}
+        assert len(found & links) >= 0.95 * len(links) > 100
+        pairs[mean] = len(found)
+    # Tables and signs of vectors without a common direction let 0.8 % of all pairs meet.
+    assert pairs[0.0] <= pairs[1.5] < 0.008 * len(x) * (len(x) - 1) / 2
+
+
+def test_tables_follow_the_rows():
+    few, many = (embeddings.plan_tables(n, 0.144) for n in (10_000, 1_000_000_000))
+    assert many[1] >= few[1] + 10 and many[0] < 400
+    tables, width = few
+    miss = 1 - (1 - 0.144) ** width - width * 0.144 * (1 - 0.144) ** (width - 1)
+    assert miss ** tables <= 0.01
+
+
 # --- benchmark -------------------------------------------------------------------------------------
 
 def hits_by_hand(texts, items, size=10):
