@@ -23,11 +23,9 @@ from stationcast.llm.text import FOLD, SPACE, hash_spans, mix, ranges, slices, s
 CHUNK_BYTES = 2 << 20
 #: Labelled documents the lexicon is learnt from, those with the smallest hash of the id.
 FIT_DOCUMENTS = 40_000
-#: Entries of the lexicon, those with the strongest evidence.
-LEXICON = 50_000
 PREFIX = 5          # letters of a word's stem, a feature beside the word
 TABLE = 1 << 20     # bytes decoded at once
-LONGEST = 1000      # bytes of a token that are decoded together; longer ones in pieces
+LONGEST = 1000      # bytes of a token that one row of steps decodes; longer ones take several rows
 
 # Symbols of the language model: 0 word boundary, 1-26 letters, 27 any other character.
 OTHER, SYMBOLS = 27, 28
@@ -120,15 +118,15 @@ def decode(tokens: list[bytes], transitions: np.ndarray) -> list[bytes]:
 
     Viterbi over lattices of one step per byte: the states are the last symbol read, all tokens of
     similar length advance together. Each byte offers up to two letters, its own symbol, and a step
-    that reads nothing. Tokens of more than ``LONGEST`` bytes are decoded piece by piece, all of them.
+    that reads nothing. The pieces of a token of more than ``LONGEST`` bytes advance together too, see
+    ``_decode_long``; the best path is the same.
     """
-    if any(len(t) > LONGEST for t in tokens):
-        cut = [[t[k:k + LONGEST] for k in range(0, len(t), LONGEST)] or [t] for t in tokens]
-        read = iter(decode([piece for pieces in cut for piece in pieces], transitions))
-        return [b"".join(next(read) for _ in pieces) for pieces in cut]
     out: list[bytes] = [b""] * len(tokens)
     length = np.array([len(t) for t in tokens], np.int64)
     order = np.argsort(length, kind="stable")
+    while len(order) and length[order[-1]] > LONGEST:
+        out[order[-1]] = _decode_long(tokens[order[-1]], transitions)
+        order = order[:-1]
     k = 0
     while k < len(order):
         j = k + 1
@@ -141,24 +139,61 @@ def decode(tokens: list[bytes], transitions: np.ndarray) -> list[bytes]:
     return out
 
 
-def _viterbi(tokens: list[bytes], transitions: np.ndarray) -> list[bytes]:
+def _decode_long(token: bytes, transitions: np.ndarray) -> bytes:
+    """The best path of one long token. Every piece is run from each state it may start in; the pieces'
+    best scores from state to state are joined in order, which says where each piece starts and ends."""
+    cuts = range(0, len(token), LONGEST)
+    pieces, before = [token[k:k + LONGEST] for k in cuts], [token[max(0, k - 2):k] for k in cuts]
+    best = np.where(np.arange(SYMBOLS) == 0, 0.0, -np.inf)
+    came = []
+    at_once = max(1, TABLE // SYMBOLS ** 2 // 16)
+    for k in range(0, len(pieces), at_once):
+        some = pieces[k:k + at_once]
+        starts = np.tile(np.arange(SYMBOLS), len(some))
+        scores = _viterbi([p for p in some for _ in range(SYMBOLS)], transitions,
+                          [b for b in before[k:k + at_once] for _ in range(SYMBOLS)], starts)
+        for through in scores.reshape(len(some), SYMBOLS, SYMBOLS):
+            joined = best[:, None] + through
+            came.append(joined.argmax(axis=0))
+            best = joined.max(axis=0)
+    ends = [int((best + transitions[:, 0]).argmax())]
+    for back in reversed(came):
+        ends.append(int(back[ends[-1]]))
+    ends = np.array(ends[::-1])
+    out = []
+    for k in range(0, len(pieces), at_once):
+        some = slice(k, k + at_once)
+        out += _viterbi(pieces[some], transitions, before[some], ends[:-1][some], ends[1:][some])
+    return b"".join(out)
+
+
+def _viterbi(tokens: list[bytes], transitions: np.ndarray, before: list[bytes] | None = None,
+             starts: np.ndarray | None = None, ends: np.ndarray | None = None):
+    """Readings of tokens, or of pieces that begin after the bytes ``before`` in the states ``starts`` and
+    end in the states ``ends``; with ``starts`` alone, the best score of every state at the end."""
     n, size = len(tokens), max(map(len, tokens))
     text = np.zeros((n, size), np.uint8)
     for i, token in enumerate(tokens):
         text[i, :len(token)] = np.frombuffer(token, np.uint8)
     length = np.array(list(map(len, tokens)))
+    # The two bytes before each, 256 for none.
+    lead = np.full((n, 2), 256)
+    for i, some in enumerate(before or []):
+        lead[i, 2 - len(some):] = list(some)
+    past = np.column_stack([lead, text.astype(np.int64)])
+    trace = starts is None or ends is not None
     best = np.full((n, SYMBOLS), -np.inf)
-    best[:, 0] = 0
+    best[np.arange(n), 0 if starts is None else starts] = 0
     # For each step: the state before, and whether the byte was read; enough to walk back.
-    came = np.zeros((size, n, SYMBOLS), np.int8)
-    read = np.zeros((size, n, SYMBOLS), bool)
+    came = np.zeros((size if trace else 0, n, SYMBOLS), np.int8)
+    read = np.zeros((size if trace else 0, n, SYMBOLS), bool)
     rows = np.arange(n)
     for k in range(size):
         byte = text[:, k]
         own = _SYMBOL[byte]
         letter, space = _LETTER[byte], byte == 0x20
-        again = (text[:, k - 1] == byte) if k else np.zeros(n, bool)
-        third = again & (text[:, k - 2] == byte) if k > 1 else np.zeros(n, bool)
+        again = past[:, k + 1] == byte
+        third = again & (past[:, k] == byte)
         # Reading nothing keeps the state.
         drop = np.where(letter, np.where(third, 0.0, np.where(again, DOUBLE, -np.inf)),
                         np.where(again, 0.0, _DROP[byte]))
@@ -184,9 +219,12 @@ def _viterbi(tokens: list[bytes], transitions: np.ndarray) -> list[bytes]:
             used[at, to] = True
         live = k < length
         best[live] = new[live]
-        came[k][live], read[k][live] = back[live], used[live]
-        came[k][~live] = np.arange(SYMBOLS)
-    state = (best + transitions[:, 0]).argmax(axis=1)
+        if trace:
+            came[k][live], read[k][live] = back[live], used[live]
+            came[k][~live] = np.arange(SYMBOLS)
+    if not trace:
+        return best
+    state = (best + transitions[:, 0]).argmax(axis=1) if ends is None else ends.copy()
     pieces: list[list[int]] = [[] for _ in tokens]
     letters = b" abcdefghijklmnopqrstuvwxyz"
     emitted = np.zeros((size, n), np.int64)
@@ -357,7 +395,7 @@ def train_scorer(docs: DataFrame, labels: DataFrame, label: str = "toxic", held_
     bound = (F.log(t / (scorer.n_toxic + 1)) - F.log(c / (scorer.n_clean + 1))
              - 1.64 * F.sqrt(1 / t + 1 / c))
     rows = (counted.where("toxic >= 2").withColumn("bound", bound).where("bound > 0")
-            .orderBy(F.desc("bound"), "entry").limit(LEXICON).collect())
+            .collect())                        # words of at most ``limit`` texts
     entries = np.array([row["entry"] for row in rows], np.int64).view(np.uint64)
     order = np.argsort(entries)
     scorer.entries = entries[order]
