@@ -9,7 +9,6 @@ hashes in a row as the window has words.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,8 +17,9 @@ from stationcast.llm.store import null_safe_join, stored, unused_name
 from stationcast.llm.text import ALNUM, FOLD, ranges, slices, split_words
 
 SEGMENT_BYTES = 2 << 20
-#: Benchmark words searched for at once: what a task holds in memory is bounded by this.
-BLOCK_WORDS = 2_000_000
+#: Pairs of a window and an item searched for at once: what the driver and a task hold of the benchmark is
+#: bounded by this, some 100 bytes each.
+BLOCK_WINDOWS = 500_000
 
 SEGMENT = ("keys array<bigint>, ids array<bigint>, first array<int>, terms array<bigint>, "
            "counts array<int>, positions binary")
@@ -61,76 +61,110 @@ def row_key():
     return F.xxhash64("doc_id", "text")
 
 
+def item_windows(items: DataFrame, size: int) -> DataFrame:
+    """The distinct pairs (window, item): a window as bytes, its length and its terms, 0 for none."""
+    def cut(batches):
+        for batch in slices(batches, "text", SEGMENT_BYTES):
+            words = split_words(batch.column("text"), ALNUM, FOLD)
+            hashes, n = words.hashes().view(np.int64), words.counts
+            n_windows = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+            item = np.repeat(np.arange(len(n)), n_windows)
+            length = np.minimum(n[item], size)
+            at = ranges(words.first[:-1], n_windows)[:, None] + np.minimum(
+                np.arange(size), np.maximum(length, 1)[:, None] - 1)
+            rows = np.zeros((len(item), size + 1), np.int64)
+            rows[:, 0] = length
+            if len(item):
+                rows[:, 1:] = np.where(np.arange(size) < length[:, None], hashes[at], 0)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([row.tobytes() for row in rows], pa.binary()),
+                batch.column("item").take(pa.array(item))], ["window", "item"])
+
+    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
+    return named.mapInArrow(cut, "window binary, item string").distinct()
+
+
 class Windows:
-    """The distinct windows of some benchmark items as padded arrays, and the items of each."""
-
-    def __init__(self, items: pd.DataFrame, size: int):
-        words = split_words(pa.array(items["text"], pa.string()), ALNUM, FOLD)
-        hashes, n = words.hashes().view(np.int64), words.counts
-        n_windows = np.where(n >= size, n - size + 1, np.minimum(n, 1))
-        item = np.repeat(np.arange(len(n)), n_windows)
-        begin = ranges(words.first[:-1], n_windows)
-        length = np.minimum(n[item], size)
-        at = begin[:, None] + np.minimum(np.arange(size), np.maximum(length, 1)[:, None] - 1)
-        terms = hashes[at] if len(at) else np.zeros((0, size), np.int64)
-        terms[np.arange(size) >= length[:, None]] = 0
-        full = np.column_stack([length, terms])
-        rows, inverse = np.unique(full, axis=0, return_inverse=True)
-        inverse = inverse.reshape(-1)
-        self.length, self.terms = rows[:, 0].astype(np.int64), rows[:, 1:]
-        pairs = np.unique(np.column_stack([inverse, item]), axis=0) if len(rows) else \
-            np.zeros((0, 2), np.int64)
-        self.items = pairs[:, 1]
-        self.items_from = np.searchsorted(pairs[:, 0], np.arange(len(rows) + 1))
-        self.vocabulary = np.unique(self.terms[np.arange(size) < self.length[:, None]])
-        self.order = None
+    """Distinct windows of a block of pairs as padded arrays, in the order of their rarest terms."""
+
+    def __init__(self, pairs: pa.Table, size: int):
+        codes = pairs.column("window").combine_chunks().dictionary_encode()
+        rows = np.frombuffer(b"".join(codes.dictionary.to_pylist()), np.int64).reshape(-1, size + 1)
+        self.length, self.terms = rows[:, 0], rows[:, 1:]
+        self.inside = np.arange(size) < self.length[:, None]
+        self.vocabulary = np.unique(self.terms[self.inside])
+        named = pairs.column("item").combine_chunks().dictionary_encode()
+        self.names = np.array(named.dictionary.to_pylist(), dtype=object)
+        self.pairs = np.column_stack([codes.indices.to_numpy(), named.indices.to_numpy()]).astype(np.int64)
 
     def rank(self, frequency: dict[int, int]) -> None:
-        """Order each window's offsets from its rarest term in the corpus to its most common."""
+        """Order each window's offsets from its rarest term in the corpus to its most common, and file
+        the windows under their rarest terms."""
         known = np.array([frequency.get(int(t), 0) for t in self.vocabulary], np.int64)
-        size = self.terms.shape[1]
-        inside = np.arange(size) < self.length[:, None]
         rarity = np.full(self.terms.shape, np.iinfo(np.int64).max)
-        rarity[inside] = known[np.searchsorted(self.vocabulary, self.terms[inside])]
-        self.order = np.argsort(rarity, axis=1, kind="stable")
+        rarity[self.inside] = known[np.searchsorted(self.vocabulary, self.terms[self.inside])]
+        order = np.argsort(rarity, axis=1, kind="stable").astype(np.int16)
+        rarest = np.take_along_axis(self.terms, order[:, :1].astype(np.int64), axis=1)[:, 0]
+        sort = np.argsort(rarest, kind="stable")
+        self.length, self.terms, self.order = self.length[sort], self.terms[sort], order[sort]
+        self.rarest, self.filed = np.unique(rarest[sort], return_index=True)
+        self.filed = np.append(self.filed, len(sort))
+        place = np.empty(len(sort), np.int64)
+        place[sort] = np.arange(len(sort))
+        pairs = np.column_stack([place[self.pairs[:, 0]], self.pairs[:, 1]])
+        pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+        self.items = pairs[:, 1]
+        self.items_from = np.searchsorted(pairs[:, 0], np.arange(len(sort) + 1))
+        self.inside = self.pairs = None
 
-    def local(self, terms: np.ndarray) -> np.ndarray:
-        """Each window's terms as numbers of a segment's terms, -2 where it lacks one."""
-        at = np.minimum(np.searchsorted(terms, self.terms), len(terms) - 1)
-        return np.where(terms[at] == self.terms, at, -2)
+    def fetched(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The windows whose rarest term a segment has, and that term's number in the segment; no other
+        window can occur in it."""
+        none = np.zeros(0, np.int64)
+        if not len(self.rarest):
+            return none, none
+        at = np.minimum(np.searchsorted(self.rarest, terms), len(self.rarest) - 1)
+        term = np.flatnonzero(self.rarest[at] == terms)
+        hit = at[term]
+        filed = self.filed[hit + 1] - self.filed[hit]
+        return ranges(self.filed[hit], filed), np.repeat(term, filed)
 
 
-def _phrases(windows: Windows, local, begin, counts, positions, term_at):
-    """Starts and windows of all exact matches in a segment.
+def _phrases(windows: Windows, terms, begin, counts, positions, length):
+    """Starts and windows of all exact matches in a segment of ``length`` places.
 
     The rarest term's postings, moved back by its offset, are the candidates; they are intersected
     with the other terms' lists, rarer ones first, by looking up the term at the moved position.
     """
-    inside = np.arange(local.shape[1]) < windows.length[:, None]
-    possible = np.flatnonzero(((local >= 0) | ~inside).all(axis=1))
-    rarest = windows.order[possible, 0]
-    term = local[possible, rarest]
-    which = np.repeat(possible, counts[term])
+    which, term = windows.fetched(terms)
+    rarest = windows.order[which, 0].astype(np.int64)
     start = positions[ranges(begin[term], counts[term])] - np.repeat(rarest, counts[term])
-    for k in range(1, local.shape[1]):
-        offset = windows.order[which, k]
+    which = np.repeat(which, counts[term])
+    term_at = np.zeros(length, np.int64)
+    term_at[positions] = np.repeat(terms, counts)
+    gap = np.ones(length, bool)
+    gap[positions] = False
+    for k in range(1, windows.terms.shape[1]):
+        offset = windows.order[which, k].astype(np.int64)
         place = start + offset
-        fits = (place >= 0) & (place < len(term_at))
-        same = term_at[np.where(fits, place, 0)] == local[which, offset]
-        keep = (windows.length[which] <= k) | (fits & same)
+        fits = (place >= 0) & (place < length)
+        place = np.where(fits, place, 0)
+        same = fits & (term_at[place] == windows.terms[which, offset]) & ~gap[place]
+        keep = (windows.length[which] <= k) | same
         which, start = which[keep], start[keep]
-    fits = (start >= 0) & (start + windows.length[which] <= len(term_at))
+    fits = (start >= 0) & (start + windows.length[which] <= length)
     return start[fits], which[fits]
 
 
-def _near(windows: Windows, local, begin, counts, positions, slop: int):
+def _near(windows: Windows, terms, begin, counts, positions, slop: int):
     """Places of each window's rarest term that have all its other terms within ``slop`` words."""
     found, which = [], []
-    for w in range(len(local)):
-        order = windows.order[w, :windows.length[w]]
-        if (local[w, order] < 0).any():
+    for w in windows.fetched(terms)[0]:
+        wanted = windows.terms[w, windows.order[w, :windows.length[w]].astype(np.int64)]
+        at = np.minimum(np.searchsorted(terms, wanted), len(terms) - 1)
+        if (terms[at] != wanted).any():
             continue
-        lists = [positions[begin[t]:begin[t] + counts[t]] for t in local[w, order]]
+        lists = [positions[begin[t]:begin[t] + counts[t]] for t in at]
         near = lists[0]
         for other in lists[1:]:
             at = np.searchsorted(other, near - slop)
@@ -151,15 +185,18 @@ def search(segments: DataFrame, items: DataFrame, window: int = 10,
 
     Returns one row per indexed document: key, doc_id, n_words, spans (array of start and stop, the
     merged runs of words inside matches) and items (ids as text, sorted, each once). Items without
-    words match nothing; a null id reads "null". The benchmark is read to the driver in blocks of
-    whole items of ``BLOCK_WORDS`` words, so memory does not grow with it.
+    words match nothing; a null id reads "null", and items of one id are one. Windows are cut by Spark and
+    searched for in blocks of about ``BLOCK_WINDOWS`` pairs of window and item, each a pass over the
+    index; the driver sees hashed windows, a block at a time, and no text. A segment looks up its
+    distinct terms among the windows' rarest and compares only the windows it finds, so its cost follows
+    its own words.
     """
     spark = segments.sparkSession
-    parts = [_search_block(spark, segments, block, window, slop)
-             for block in _blocks(items)]
-    if not parts:
-        parts = [_search_block(spark, segments, pd.DataFrame({"item_id": [], "text": []}),
-                               window, slop)]
+    pairs = stored(item_windows(items, window), "windows")
+    blocks = max(1, -(-pairs.count() // BLOCK_WINDOWS))
+    block = F.pmod(F.xxhash64("window", "item"), F.lit(blocks))
+    parts = [_search_block(spark, segments, pairs.where(block == b), window, slop)
+             for b in range(blocks)]
     if len(parts) == 1:
         return parts[0]
     found = parts[0]
@@ -183,22 +220,8 @@ def _merged(name: str):
             concat(a, array(s))))""")
 
 
-def _blocks(items: DataFrame):
-    """Whole items in blocks of at most ``BLOCK_WORDS`` words, read one partition at a time."""
-    rows, words = [], 0
-    for row in items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null"))
-                            .alias("item_id"), "text").where("text IS NOT NULL").toLocalIterator():
-        rows.append((row["item_id"], row["text"]))
-        words += 1 + len(row["text"].split())
-        if words >= BLOCK_WORDS:
-            yield pd.DataFrame(rows, columns=["item_id", "text"])
-            rows, words = [], 0
-    if rows:
-        yield pd.DataFrame(rows, columns=["item_id", "text"])
-
-
-def _search_block(spark, segments: DataFrame, items: pd.DataFrame, window: int, slop):
-    windows, names = Windows(items, window), items["item_id"].to_numpy(dtype=object)
+def _search_block(spark, segments: DataFrame, pairs: DataFrame, window: int, slop):
+    windows = Windows(pairs.toArrow(), window)
     vocabulary = spark.sparkContext.broadcast(windows.vocabulary)
 
     def frequencies(batches):
@@ -218,13 +241,13 @@ def _search_block(spark, segments: DataFrame, items: pd.DataFrame, window: int,
     frequency = segments.select("terms", "counts").mapInArrow(frequencies, "term bigint, n bigint")
     windows.rank({row["term"]: row["n"] for row in
                   frequency.groupBy("term").agg(F.sum("n").alias("n")).collect()})
-    query = spark.sparkContext.broadcast((windows, names))
+    query = spark.sparkContext.broadcast(windows)
 
     def match(batches):
-        windows, names = query.value
+        windows = query.value
         for batch in batches:
             for row in range(batch.num_rows):
-                yield _match_segment(windows, names, slop, *[
+                yield _match_segment(windows, slop, *[
                     batch.column(c)[row] for c in ("keys", "ids", "first", "terms", "counts",
                                                    "positions")])
 
@@ -232,27 +255,23 @@ def _search_block(spark, segments: DataFrame, items: pd.DataFrame, window: int,
                                "spans array<struct<start:int,stop:int>>, items array<string>")
 
 
-def _match_segment(windows, names, slop, keys, ids, first, terms, counts, positions):
+def _match_segment(windows, slop, keys, ids, first, terms, counts, positions):
     first = first.values.to_numpy().astype(np.int64)
     n_words = np.diff(first) - 1
     terms, counts = terms.values.to_numpy(), counts.values.to_numpy().astype(np.int64)
     positions = np.frombuffer(positions.as_buffer(), np.int32).astype(np.int64)
     begin = np.cumsum(counts) - counts
     start = which = np.zeros(0, np.int64)
-    length = windows.length
-    if len(terms) and len(windows.length):
-        local = windows.local(terms)
-        if slop is None:
-            term_at = np.full(int(first[-1]), -1, np.int64)
-            term_at[positions] = np.repeat(np.arange(len(terms)), counts)
-            start, which = _phrases(windows, local, begin, counts, positions, term_at)
-        else:
-            # Texts are set apart by more than the slop, then put back.
-            gap = np.arange(len(n_words)) * (slop + 1)
-            apart = positions + gap[np.searchsorted(first, positions, side="right") - 1]
-            start, which = _near(windows, local, begin, counts, apart, slop)
-            start -= gap[np.searchsorted(first[:-1] + gap, start, side="right") - 1]
-            length = np.ones_like(windows.length)
+    length, names = windows.length, windows.names
+    if len(terms) and slop is None:
+        start, which = _phrases(windows, terms, begin, counts, positions, int(first[-1]))
+    elif len(terms):
+        # Texts are set apart by more than the slop, then put back.
+        gap = np.arange(len(n_words)) * (slop + 1)
+        apart = positions + gap[np.searchsorted(first, positions, side="right") - 1]
+        start, which = _near(windows, terms, begin, counts, apart, slop)
+        start -= gap[np.searchsorted(first[:-1] + gap, start, side="right") - 1]
+        length = np.ones_like(windows.length)
     # Words inside matches, as merged runs per text.
     change = np.zeros(int(first[-1]) + 1, np.int64)
     np.add.at(change, start, 1)

@@ -486,10 +486,29 @@ def test_benchmark_windows(spark, small, monkeypatch):
     items = [(r["item_id"], r["text"]) for r in benchmark.collect()]
     check_hits(spark, docs, benchmark, texts, items)
     # The same in several blocks of the benchmark.
-    monkeypatch.setattr(decontamination, "BLOCK_WORDS", 300)
+    monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", 300)
     check_hits(spark, docs, benchmark, texts, items)
 
 
+def test_windows_are_filed_under_their_rarest_term(spark):
+    items = spark.createDataFrame(
+        [(1, "a b c d e f g h i j k"), (2, "A-B c d e f g h i j k"), (3, "x y"), (4, "..."), (None, None)],
+        "item_id long, text string")
+    pairs = decontamination.item_windows(items, 10).toArrow()
+    assert pairs.num_rows == 5                # two windows in two items, one short one
+    windows = decontamination.Windows(pairs, 10)
+    term = {w: int(split_words(pa.array([w])).hashes().view(np.int64)[0]) for w in "abcdefghijkxy"}
+    windows.rank({h: 5 + k for k, h in enumerate(term.values())} | {term["j"]: 1, term["y"]: 2})
+    assert set(windows.rarest.tolist()) == {term["j"], term["y"]}
+
+    def fetched(words):
+        which, at = windows.fetched(np.sort([term[w] for w in words]))
+        assert len(which) == len(at)
+        return len(which)
+
+    assert (fetched("abcdefghik"), fetched("jx"), fetched("y"), fetched("jy")) == (0, 2, 1, 3)
+
+
 ITEMS = [(7, "one two three four five six seven eight nine ten"), (8, "Some WORDS"), (9, ""),
          (10, None), (None, "zweite zeile"), (11, "word0x0 word1x1 " * 6), (7, "same same same")]
 
