@@ -138,10 +138,22 @@ def _cover(n: int, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
 
 
 def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values (one or two columns, as the sorted ``known`` have) are known."""
     if not len(known):
         return np.zeros(len(values), bool)
-    at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-    return known[at] == values
+    if known.ndim == 1:
+        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
+        return known[at] == values
+    # By the first halves; known keys that share one are rare and looked through.
+    at = np.searchsorted(known[:, 0], values[:, 0])
+    out = np.zeros(len(values), bool)
+    live = np.flatnonzero(at < len(known))
+    while len(live):
+        live = live[known[at[live], 0] == values[live, 0]]
+        out[live] |= known[at[live], 1] == values[live, 1]
+        at[live] += 1
+        live = live[(at[live] < len(known)) & ~out[live]]
+    return out
 
 
 def window_hashes(names: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -201,7 +213,7 @@ def _repeated(table):
     heads = np.flatnonzero(new)
     sizes = np.diff(np.append(heads, len(keys)))
     often = np.repeat((sizes > 1) | (np.maximum.reduceat(twice, heads) > 0), sizes)
-    keys, row = keys[often, 0], row[often]
+    keys, row = keys[often], row[often]
     order = np.argsort(row, kind="stable")
     keys, row = keys[order], row[order]
     used, begin = np.unique(row, return_index=True)
@@ -212,8 +224,9 @@ def _repeated(table):
 
 
 def _known(table: pa.Table) -> np.ndarray:
-    parts = [np.frombuffer(b, np.uint64) for b in table.column("found").to_pylist()]
-    return np.unique(np.concatenate([np.zeros(0, np.uint64), *parts]))
+    """The keys (two columns) found for a block, each once, in order."""
+    parts = [np.frombuffer(b, np.uint64).reshape(-1, 2) for b in table.column("found").to_pylist()]
+    return np.unique(np.concatenate([np.zeros((0, 2), np.uint64), *parts]), axis=0)
 
 
 def _distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -233,7 +246,10 @@ def _distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
     name = f"substring_texts_{uuid.uuid4().hex}"
     (texts.write.bucketBy(blocks, "block").option("path", scratch_path(spark, "texts"))
      .saveAsTable(name))
-    return spark.table(name), blocks
+    # What is read has been resolved; the name need not stay in the catalogue.
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table, blocks
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -264,7 +280,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def verify(key, table, known):
         words, names, copied = words_of(table)
-        at = np.flatnonzero(Witnesses(names, words.first, window).candidates(_known(known)))
+        at = np.flatnonzero(Witnesses(names, words.first, window).candidates(_known(known)[:, 0]))
         return _packed(key[0].as_py(), window_hashes(names, window)[at], copied[at], blocks)
 
     def remove(key, table, known):
@@ -272,7 +288,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         n = len(names)
         stop = np.repeat(words.first[1:], words.counts)
         whole = np.arange(n) + window <= stop
-        again = np.flatnonzero(whole & _among(window_hashes(names, window)[:, 0], _known(known)))
+        again = np.flatnonzero(whole & _among(window_hashes(names, window), _known(known)))
         return _without(table, words, _cover(n, again, again + window))
 
     by_block = texts.groupBy("block")
