@@ -185,7 +185,9 @@ def search(segments: DataFrame, items: DataFrame, window: int = 10,
 
     Returns one row per indexed document: key, doc_id, n_words, spans (array of start and stop, the
     merged runs of words inside matches) and items (ids as text, sorted, each once). Items without
-    words match nothing; a null id reads "null", and items of one id are one. Windows are cut by Spark and
+    words match nothing; a null id reads "null", and items of one id are one. Repeated documents each
+    have their row, null and empty texts one without words, an empty index none; without items no
+    document has matches. Windows are cut by Spark and
     searched for in blocks of about ``BLOCK_WINDOWS`` pairs of window and item, each a pass over the
     index; the driver sees hashed windows, a block at a time, and no text. A segment looks up its
     distinct terms among the windows' rarest and compares only the windows it finds, so its cost follows
@@ -300,7 +302,11 @@ def _match_segment(windows, slop, keys, ids, first, terms, counts, positions):
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """``docs`` without the documents that hold a window of a benchmark item, same columns."""
+    """``docs`` without the documents that hold a window of a benchmark item, same columns.
+
+    Null and empty texts hold none and stay; repeated rows share their fate, by id and text, null ids
+    too; without items every row stays; an empty table gives no rows.
+    """
     found = search(build_index(docs), items, window).where(F.size("spans") > 0)
     key = unused_name(docs, "__key")
     bad = stored(found.select(F.col("key").alias(key), "doc_id").distinct(), "contaminated")
@@ -309,6 +315,7 @@ def clean_rows(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame
 
 
 def op9_positional_index(spark, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Words and items that all documents share with the benchmark; odd rows as in ``search``."""
     found = search(build_index(docs), benchmark)
     n_hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["stop"] - s["start"])
     return found.select(

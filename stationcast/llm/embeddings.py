@@ -304,4 +304,5 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9, fit: int = FIT_VECT
 
 
 def op7_iterative_quantisation(spark, vectors: DataFrame) -> DataFrame:
+    """Links and components of all vectors; odd rows as in ``near_vectors``."""
     return near_vectors(vectors)

@@ -284,4 +284,6 @@ def _score_block(model: Model, block: pa.Table, found: pa.Table, count: list[str
 
 
 def op1_subword_lattice(spark, docs: DataFrame) -> DataFrame:
+    """The likelihood of all documents, learnt outside one fold; odd rows as in ``score_documents``. A null
+    id is in no fold, so it is learnt from."""
     return score_documents(docs, ~in_fold(F.col("doc_id"), 1), F.col("lang"))

@@ -295,5 +295,6 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def op8_prob_minhash(spark, docs: DataFrame) -> DataFrame:
+    """The class of every document; odd rows as in ``near_duplicates``."""
     return near_duplicates(docs).select(
         "doc_id", "class_id", F.col("keeper").alias("kept"))

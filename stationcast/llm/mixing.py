@@ -179,4 +179,5 @@ def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), cap: int =
 
 
 def op3_pareto_mix(spark, docs: DataFrame) -> DataFrame:
+    """The words the mix takes of every document; odd rows as in ``copies_to_take``."""
     return copies_to_take(docs).select("doc_id", "size", "source_size", "target", "taken", "copies")

@@ -256,7 +256,7 @@ def score_documents(docs: DataFrame, field: Field, output: str = "score") -> Dat
 
     A null or wordless text takes the share of good documents in the sample, a half if it is empty.
     Without labels every text scores a half. Repeated rows score alike. Other columns pass
-    through; a column named like the output is replaced.
+    through; a column named like the output is replaced; an empty table gives no rows.
     """
     kept = docs.select(*[c for c in docs.columns if c != output])
     shared = docs.sparkSession.sparkContext.broadcast(field)
@@ -272,13 +272,19 @@ def score_documents(docs: DataFrame, field: Field, output: str = "score") -> Dat
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, at_least: float = 0.3) -> DataFrame:
-    """The documents whose quality reaches ``at_least``, same columns."""
+    """The documents whose quality reaches ``at_least``, same columns.
+
+    A null or wordless text takes the share of good documents in the sample, and every text a half
+    without labels, so that they stay. Repeated rows share their fate; a null id has no label; an empty
+    table gives no rows.
+    """
     name = unused_name(docs, "quality")
     scored = score_documents(docs, train_field(docs, labels), name)
     return scored.where(F.col(name) >= at_least).select(*docs.columns)
 
 
 def op2_line_field(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The quality of all documents; odd rows as in ``score_documents``. A null id is in no fold."""
     field = train_field(docs, labels)
     scored = score_documents(docs.select("doc_id", "text"), field)
     return scored.select("doc_id", in_fold(F.col("doc_id"), 0).alias("held_out"), "score",

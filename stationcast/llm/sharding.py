@@ -80,6 +80,7 @@ def shard_rows(docs: DataFrame, shards: int = 40, output: str = "shard") -> Data
 
 
 def op10_byte_shards(spark, docs: DataFrame) -> DataFrame:
+    """The shard of every document under the law ``bytes``; odd rows as in ``assign_shards``."""
     return assign_shards(docs).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))

@@ -338,6 +338,8 @@ def _without(table: pa.Table, words, gone: np.ndarray) -> pa.Table:
 
 
 def op6_recompression(spark, docs: DataFrame) -> DataFrame:
+    """What repeated passages take from every document; odd rows as in ``repeated_passages``, null ids and
+    repeated rows each with their row."""
     gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, s: a + s["stop"] - s["start"])
     per_text = repeated_passages(docs).select(
         "key", "n_words", gone.alias("n_removed"),

@@ -439,7 +439,7 @@ def score_documents(docs: DataFrame, scorer: Scorer, output: str = "score") -> D
 
     A null or wordless text has no evidence and takes the score of the constant alone; without labels
     every text does, and none is called toxic. Repeated rows score alike. Other columns pass through;
-    a column named like the output is replaced.
+    a column named like the output is replaced; an empty table gives no rows.
     """
     kept = docs.select(*[c for c in docs.columns if c != output])
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
@@ -457,6 +457,7 @@ def score_documents(docs: DataFrame, scorer: Scorer, output: str = "score") -> D
 
 
 def op4_noisy_channel(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The toxicity of all documents; odd rows as in ``score_documents``. A null id is in no fold."""
     scored = score_documents(docs.select("doc_id", "text"), train_scorer(docs, labels))
     return scored.select("doc_id", in_fold(F.col("doc_id"), 0).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -78,6 +78,10 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> Dat
     the longest wins, block before allow at equal length; with none, a matching pattern's verdict
     (block first); with neither, ``default``. The joins carry no hint: Spark broadcasts the index
     while it is small and otherwise shuffles both sides by token.
+
+    Rules of equal length and verdict are told apart by name, the later one in order wins. An empty
+    table of urls gives no rows; without rules no address fetches any and none comes out, which
+    ``judge_pages`` reads as ``default``. Host and path are not null; both may be empty.
     """
     # Lower-cased for the tokens alone: they only fetch, the expression decides.
     tokens = F.array_union(F.array(F.lit("")), F.split(
@@ -107,7 +111,9 @@ def judge_urls(urls: DataFrame, rules: DataFrame, default: str = "allow") -> Dat
 
 def judge_pages(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFrame:
     """``judge_urls`` for every row of ``pages`` (page_id, url): page_id, host, path, rule, pattern,
-    verdict. Repeated urls are judged once and joined back; null urls have empty host and path."""
+    verdict. Repeated urls are judged once and joined back, a row for each; null urls and those without
+    ``://`` have empty host and path, and take ``default`` unless a rule fits them. Very long urls are
+    judged whole. An empty table gives no rows; other columns are not read."""
     host, path = host_and_path(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     judged = judge_urls(split, rules, default)
@@ -117,5 +123,6 @@ def judge_pages(pages: DataFrame, rules: DataFrame, default: str = "allow") -> D
 
 
 def op5_url_rules(spark, pages: DataFrame) -> DataFrame:
+    """The verdict on every page's url under the fixed rules; odd rows as in ``judge_pages``."""
     return judge_pages(pages, rule_table(spark, RULES)).select(
         "page_id", "host", "path", "rule", "verdict", "pattern")
