@@ -11,7 +11,8 @@ from stationcast.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 EAGER = {"train_temperature", "train_precipitation", "train_condition", "grid_search",
-         "batch_forecast", "streaming_daily_rollup", "ingest_round_trip", "strict_code_rejects"}
+         "learning_curves", "feature_importances", "batch_forecast", "streaming_daily_rollup",
+         "ingest_round_trip", "strict_code_rejects"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
