@@ -224,9 +224,11 @@ def _repeated(table):
 
 
 def _known(table: pa.Table) -> np.ndarray:
-    """The keys (two columns) found for a block, each once, in order."""
+    """The keys (two columns) found for a block, in order of their first halves. A key comes from one
+    bucket, so once."""
     parts = [np.frombuffer(b, np.uint64).reshape(-1, 2) for b in table.column("found").to_pylist()]
-    return np.unique(np.concatenate([np.zeros((0, 2), np.uint64), *parts]), axis=0)
+    keys = np.concatenate([np.zeros((0, 2), np.uint64), *parts])
+    return keys[np.argsort(keys[:, 0], kind="stable")]
 
 
 def _distinct_texts(docs: DataFrame) -> tuple[DataFrame, int]:
