@@ -145,6 +145,14 @@ def trials_table(spark: SparkSession, found: dict[str, list[Trial]]) -> DataFram
               "capped BOOLEAN, validate MAP<STRING, DOUBLE>, seconds DOUBLE"))
 
 
+def scores_table(spark: SparkSession, scores: dict[str, float | None]) -> DataFrame:
+    """The scores as one row, columns by name; one that is not defined, such as the ROC AUC of rows that
+    are all wet, is null."""
+    names = sorted(scores)
+    return spark.createDataFrame([tuple(scores[name] for name in names)],
+                                 ", ".join(f"{name} DOUBLE" for name in names))
+
+
 def curves_table(spark: SparkSession, found: dict[str, list[Trial]]) -> DataFrame:
     """The validation score of every round of every trial; rounds count from 1."""
     rows = [(target, t.candidate["name"], number, float(value), number == t.best_iteration + 1)

@@ -598,7 +598,7 @@ def _(fx):
 def _tested(fx, target: str) -> DataFrame:
     """Scores of the best of all candidates on the test rows."""
     bundle, _ = searched(fx)
-    return fx.spark.createDataFrame([bundle.metrics[target]["test"]])
+    return training.scores_table(fx.spark, bundle.metrics[target]["test"])
 
 
 @query("train_temperature")
