@@ -4,7 +4,8 @@ Columns are cut into quantile bins once; a row is one small number per column, 0
 value. Rows lie in blocks. One Spark job advances every model by one level: each block sums gradients per
 (model, class, node, column, bin), the sums of all blocks meet in a shuffle, and the best split of each
 node comes back, a few numbers. Rows and sums never reach the driver. A block that is the only one needs
-no shuffle. Margins are stored in the shared folder every few jobs; in between the trees grown since are
+no shuffle: every model is a task of its own then, and takes as many levels in a job as some seconds
+allow. Margins are stored in the shared folder every few jobs; in between the trees grown since are
 replayed, so that a lost executor costs a few levels.
 
 Splits, leaf weights and stopping follow Chen and Guestrin, "XGBoost: A Scalable Tree Boosting System"
@@ -17,7 +18,8 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from copy import deepcopy
+from dataclasses import dataclass, field, replace
 from functools import partial
 from time import perf_counter
 from typing import NamedTuple
@@ -33,6 +35,7 @@ from stationcast.session import shared_dir
 MAX_BINS = 64
 BLOCK_ROWS = 1 << 16
 STORE_EVERY = 12
+SLICE_SECONDS = 15.0
 GRAIN = float(1 << 24)
 PARTS = ("train", "validate")
 
@@ -186,11 +189,12 @@ class Tree:
 
 # --- in the tasks -------------------------------------------------------------------------------
 
-def descend(tree: dict, bins: np.ndarray) -> np.ndarray:
-    """The node of each binned row."""
+def descend(tree: dict, bins: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
+    """The node of each binned row, from the root or, one level on, from where the rows were."""
     flat, base = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
-    node = np.zeros(len(bins), np.int64)
-    for _ in range(tree["depth"]):
+    steps = tree["depth"] if node is None else 1
+    node = np.zeros(len(bins), np.int64) if node is None else node
+    for _ in range(steps):
         x = flat.take(base + tree["column"].take(node), mode="wrap")
         left = (x <= tree["bin"].take(node)) & (x >= tree["low"].take(node))
         node = tree["child"].take(node) + ~left
@@ -230,54 +234,138 @@ def losses(spec: Spec, y: np.ndarray, margin: np.ndarray) -> np.ndarray:
     return -np.log(np.clip(hit, tiny, 1 - tiny))
 
 
-def current_margin(unit: dict, key: str, order: dict) -> np.ndarray:
-    """The stored margins with the trees finished since."""
-    margin = unit["margins"][key].copy()
-    for trees in order["finished"]:
+def added(margin: np.ndarray, bins: np.ndarray, rounds: list[list[dict]]) -> np.ndarray:
+    """The margins with the trees of some rounds."""
+    margin = margin.copy()
+    for trees in rounds:
         for k, tree in enumerate(trees):
-            margin[:, k] += tree["value"].take(descend(tree, unit["bins"]))
+            margin[:, k] += tree["value"].take(descend(tree, bins))
     return margin
 
 
+def current_margin(unit: dict, key: str, order: dict) -> np.ndarray:
+    """The stored margins with the trees finished since."""
+    return added(unit["margins"][key], unit["bins"], order["finished"])
+
+
+class Round:
+    """What one round of a model learns from in one block."""
+
+    def __init__(self, unit: dict, spec: Spec, number: int, margin: np.ndarray, offsets: np.ndarray,
+                 sizes: np.ndarray):
+        columns = spec.chosen_columns(number, len(sizes))
+        self.number, self.width = number, len(columns)
+        begin = np.concatenate([[0], np.cumsum(sizes[columns])])
+        self.bins = int(begin[-1])
+        rows = np.flatnonzero((unit["part"] == 0) & spec.chosen_rows(number, unit["keys"]))
+        self.learnt = unit["bins"][rows]
+        self.cells = self.learnt[:, columns].astype(np.int64) + (begin[:-1] - offsets[columns])
+        self.g, self.h = derivatives(spec, unit["labels"][spec.label][rows], margin[rows])
+        # Per class, the level before: its active nodes, their sums, and the node of each row.
+        self.last: dict[int, tuple[list[int], np.ndarray, np.ndarray]] = {}
+
+    def counted(self, k: int, at: np.ndarray, nodes: int) -> np.ndarray:
+        """Sums of class ``k`` in ``nodes`` nodes; ``at`` is each row's, -1 for none."""
+        inside = np.flatnonzero(at >= 0)
+        if nodes == 1 and len(inside) == len(at):
+            cells = self.cells.ravel()
+        else:
+            cells = self.cells.take(inside, axis=0)
+            cells += (at.take(inside) * self.bins)[:, None]
+            cells = cells.ravel()
+        sums = np.empty((2, nodes * self.bins))
+        sums[0] = np.bincount(cells, np.repeat(self.g[inside, k], self.width), nodes * self.bins)
+        sums[1] = np.bincount(cells, None if self.h is None else np.repeat(
+            self.h[inside, k], self.width), nodes * self.bins)
+        return sums
+
+    def sums(self, k: int, tree: dict, active: list[int]) -> np.ndarray:
+        """Sums of the active nodes of a tree. Where the level before was summed here too, only the
+        smaller child of each node is summed, the other is the rest: sums are exact, so it is the same."""
+        size = len(tree["column"])
+        place = np.full(size, -1)
+        if k not in self.last:
+            node = descend(tree, self.learnt)
+            place[active] = np.arange(len(active))
+            sums = self.counted(k, place.take(node), len(active))
+        else:
+            parents, above, node = self.last[k]
+            node = descend(tree, self.learnt, node)
+            rows = np.bincount(node, minlength=size)
+            wanted = np.zeros(size, bool)
+            wanted[active] = True
+            parents = np.array(parents)
+            first = tree["child"][parents]
+            split = (tree["column"][parents] >= 0) & (wanted.take(first) | wanted.take(first + 1, mode="clip"))
+            origin, first = np.flatnonzero(split), first[split]
+            second = rows[first + 1] < rows[first]
+            place[first + second] = np.arange(len(first))
+            small = self.counted(k, place.take(node), len(first)).reshape(2, len(first), self.bins)
+            rest = above.reshape(2, len(parents), self.bins)[:, origin] - small
+            place[first + ~second] = np.arange(len(first)) + len(first)
+            sums = np.concatenate([small, rest], axis=1)[:, place[active]].reshape(2, -1)
+        self.last[k] = active, sums, node
+        return sums
+
+
+def validation_loss(unit: dict, spec: Spec, margin: np.ndarray) -> np.ndarray:
+    """Loss and rows of the validation part of one block."""
+    held = unit["part"] == 1
+    each = np.round(losses(spec, unit["labels"][spec.label][held], margin[held]) * GRAIN) / GRAIN
+    return np.array([each.sum(), len(each)])
+
+
 def level_sums(units: Iterator, orders: dict, specs: dict[str, Spec], offsets: np.ndarray,
                sizes: np.ndarray) -> Iterator:
     """Gradient sums of the active nodes in one block: ((model, class), sums); once a round also
     ((model, -1), loss and rows of the validation part)."""
     for _, unit in units:
-        learn, held = unit["part"] == 0, unit["part"] == 1
         for key in unit["margins"]:
             if key not in orders:
                 continue
             order, spec = orders[key], specs[key]
-            y, bins = unit["labels"][spec.label], unit["bins"]
             margin = current_margin(unit, key, order)
             if order["score"]:
-                each = np.round(losses(spec, y[held], margin[held]) * GRAIN) / GRAIN
-                yield (key, -1), np.array([each.sum(), len(each)])
+                yield (key, -1), validation_loss(unit, spec, margin)
             if order["growing"] is None:
                 continue
-            columns = spec.chosen_columns(order["round"], len(sizes))
-            begin = np.concatenate([[0], np.cumsum(sizes[columns])])
-            rows = np.flatnonzero(learn & spec.chosen_rows(order["round"], unit["keys"]))
-            learnt = bins[rows]
-            some = learnt[:, columns].astype(np.int64) + (begin[:-1] - offsets[columns])
-            g, h = derivatives(spec, y[rows], margin[rows])
+            learning = Round(unit, spec, order["round"], margin, offsets, sizes)
             for k, (tree, active) in enumerate(order["growing"]):
-                if not len(active):
-                    continue
-                place = np.full(len(tree["column"]), -1)
-                place[active] = np.arange(len(active))
-                at = place.take(descend(tree, learnt))
-                inside = np.flatnonzero(at >= 0)
-                cells = some.take(inside, axis=0)
-                cells += (at.take(inside) * begin[-1])[:, None]
-                cells = cells.ravel()
-                total = len(active) * int(begin[-1])
-                sums = np.empty((2, total))
-                sums[0] = np.bincount(cells, np.repeat(g[inside, k], len(columns)), total)
-                sums[1] = np.bincount(
-                    cells, None if h is None else np.repeat(h[inside, k], len(columns)), total)
-                yield (key, k), sums
+                if active:
+                    yield (key, k), learning.sums(k, tree, active)
+
+
+def levels(units: Iterator, models: dict[str, Growth], patience: int, seconds: float,
+           offsets: np.ndarray, categorical: np.ndarray, sizes: np.ndarray) -> Iterator:
+    """Models grown on the only block, one level after another for some seconds: (model, what each level
+    found)."""
+    for _, unit in units:
+        for key, margin in unit["margins"].items():
+            if key not in models:
+                continue
+            model, until = models[key], perf_counter() + seconds
+            spec, found, learning = model.spec, [], None
+            split = partial(best_splits, specs={key: spec}, offsets=offsets, categorical=categorical,
+                            sizes=sizes)
+            while not model.stopped and (not found or perf_counter() < until):
+                order = model.order()
+                if order["score"]:
+                    result = {-1: validation_loss(unit, spec, margin)}
+                else:
+                    result = {}
+                if order["growing"] is not None:
+                    if learning is None or learning.number != order["round"]:
+                        learning = Round(unit, spec, order["round"], margin, offsets, sizes)
+                    for k, (tree, active) in enumerate(order["growing"]):
+                        if active:
+                            sums = learning.sums(k, tree, active)
+                            result[k] = split(((key, k), sums), {key: order})[1]
+                found.append(result)
+                model.take(result, patience)
+                if len(model.trees) > model.stored:
+                    margin = added(margin, unit["bins"], model.trees[model.stored:])
+                    model.stored = len(model.trees)
+            yield key, found
 
 
 def best_splits(item: tuple, orders: dict, specs: dict[str, Spec], offsets: np.ndarray,
@@ -336,7 +424,8 @@ def store_margins(units: Iterator, orders: dict) -> Iterator:
     for place, unit in units:
         margins = {key: current_margin(unit, key, orders[key])
                    for key in unit["margins"] if key in orders}
-        yield place, unit | {"margins": margins}
+        if margins:
+            yield place, unit | {"margins": margins}
 
 
 # --- on the driver ------------------------------------------------------------------------------
@@ -361,6 +450,11 @@ class Growth:
                 "score": len(self.curve) < len(self.trees),
                 "growing": None if last else [(t.arrays(self.spec, self.bins), t.active) for t in self.growing]}
 
+    def onward(self) -> Growth:
+        """The same without its finished trees, to be grown further by a task that has them in its margins."""
+        return replace(self, trees=[[]] * len(self.trees), stored=len(self.trees),
+                       growing=deepcopy(self.growing), curve=list(self.curve))
+
     def take(self, results: dict, patience: int) -> None:
         """Continue with what a job found: the score of the last round, the splits of this one."""
         loss = results.get(-1)
@@ -443,13 +537,14 @@ def row_blocks(rows: DataFrame, bins: Bins, labels: list[str], blocks: int) -> R
 
 
 def boost(rows: DataFrame, bins: Bins, specs: list[Spec], patience: int,
-          block_rows: int = BLOCK_ROWS) -> dict[str, Fitted]:
+          block_rows: int = BLOCK_ROWS, slice_seconds: float = SLICE_SECONDS) -> dict[str, Fitted]:
     """Fit all ``specs`` together on the rows of split train, each until its loss on the split validate
     has not improved for ``patience`` rounds; a round is grown once and never again.
 
     ``rows`` has city, date, split, the columns of ``bins`` and the labels, and should be stored: it is
     read twice. Rows whose label is null must be left out before. A task holds one block of about
-    ``block_rows`` rows and the margins of a share of the models.
+    ``block_rows`` rows and the margins of a share of the models. On a table of one block each model is a
+    task, which grows it for ``slice_seconds`` a job.
     """
     spark = rows.sparkSession
     shared_dir(spark)
@@ -461,7 +556,8 @@ def boost(rows: DataFrame, bins: Bins, specs: list[Spec], patience: int,
         raise ValueError("no rows to learn from")
     blocks = max(1, -(-total // block_rows))
     cores = spark.sparkContext.defaultParallelism
-    groups = max(1, min(len(specs), -(-cores // blocks)))
+    alone = blocks == 1
+    groups = len(specs) if alone else max(1, min(len(specs), -(-cores // blocks)))
     # Heavy models first, each to the group with the least to do.
     load, group_of = [0.0] * groups, {}
     for spec in sorted(specs, key=lambda s: -s.outputs * s.depth):
@@ -487,22 +583,28 @@ def boost(rows: DataFrame, bins: Bins, specs: list[Spec], patience: int,
               for spec in specs}
     jobs, before = 0, None
     while live := [m for m in models.values() if not m.stopped]:
-        orders = {m.spec.key: m.order() for m in live}
-        sums = state.mapPartitions(partial(summed, orders=orders))
-        if blocks > 1:
-            sums = sums.reduceByKey(np.add, min(blocks * groups, 4 * cores))
-        found: dict[str, dict] = {key: {} for key in orders}
-        for (key, k), result in sums.map(partial(chosen, orders=orders)).collect():
-            found[key][k] = result
+        if alone:
+            found = dict(state.mapPartitions(partial(
+                levels, models={m.spec.key: m.onward() for m in live}, patience=patience,
+                seconds=slice_seconds, offsets=bins.offsets, categorical=bins.categorical,
+                sizes=bins.sizes)).collect())
+        else:
+            orders = {m.spec.key: m.order() for m in live}
+            sums = state.mapPartitions(partial(summed, orders=orders)).reduceByKey(
+                np.add, min(blocks * groups, 4 * cores))
+            found = {key: [{}] for key in orders}
+            for (key, k), result in sums.map(partial(chosen, orders=orders)).collect():
+                found[key][0][k] = result
         for model in live:
-            model.take(found[model.spec.key], patience)
+            for level in found[model.spec.key]:
+                model.take(level, patience)
             if model.stopped:
                 model.seconds = perf_counter() - started
         if before is not None:
             before.unpersist()                            # the newer state has been stored by now
             before = None
         jobs += 1
-        if jobs % STORE_EVERY == 0:
+        if alone or jobs % STORE_EVERY == 0:
             before, state = state, next_state(state, [m for m in live if not m.stopped])
     state.unpersist()
     return {key: Fitted(growth, start[growth.spec.label]) for key, growth in models.items()}

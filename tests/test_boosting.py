@@ -103,6 +103,26 @@ def test_blocks_do_not_matter(spark, made):
                 assert all(np.array_equal(x[name], y[name]) for name in x)
 
 
+def test_one_block_takes_many_levels_in_a_job(spark, made):
+    """Levels do not cost a Spark job each, and how many a job takes does not change the trees."""
+    _, rows = made
+    bins = boosting.fit_bins(rows.filter("split = 'train'"), ["a", "b"], True)
+    specs = [spec(key="t", rounds=20, rows=0.8, seed=3),
+             spec(key="c", label="level", loss="softmax", outputs=3, depth=4, rounds=12, columns=0.67)]
+    context = spark.sparkContext
+    context.setJobGroup("one-block", "one block")
+    found = boosting.boost(rows, bins, specs, 50)
+    used = len(context.statusTracker().getJobIdsForGroup("one-block"))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(found["t"].growth.trees) == 20 and used < 20
+    slowly = boosting.boost(rows, bins, specs, 50, slice_seconds=0)
+    for key in found:
+        assert found[key].growth.curve == slowly[key].growth.curve
+        for a, b in zip(found[key].growth.trees, slowly[key].growth.trees, strict=True):
+            for x, y in zip(a, b):
+                assert all(np.array_equal(x[name], y[name]) for name in x)
+
+
 def test_a_round_is_grown_once(spark, made, monkeypatch):
     _, rows = made
     bins = boosting.fit_bins(rows.filter("split = 'train'"), ["a", "b"])
