@@ -104,15 +104,17 @@ def forecast(bundle: training.Bundle, days: DataFrame, requests: DataFrame) -> D
     """Forecast every request (query, as_of) at once.
 
     The city-days are stored once. Features are built only for what was asked: per city the span of
-    its requests and the window before it. Returns the request columns with ``city``, ``reason`` (why a request was refused) and the
+    its requests and the window before it. Each city-day asked for is scored once. Returns the request columns with ``city``, ``reason`` (why a request was refused) and the
     nested ``forecast`` (null when refused).
     """
     days = cut_lineage(days)
     usable = cut_lineage(ft.usable_days(days))
     resolved = cut_lineage(match_city(requests, usable).withColumn("as_of", F.to_date("as_of")))
     features = ft.build_features(ft.asked_history(days, resolved), bundle.vocabulary)
-    # Stored, because answered and refused requests take different ways from here.
-    joined = cut_lineage(requests_to_features(resolved, features, usable))
+    # However often a city-day is asked for, it is scored once.
+    asked = resolved.filter("city IS NOT NULL").select("city", "as_of").distinct()
+    # Stored, because answered and refused city-days take different ways from here.
+    joined = cut_lineage(requests_to_features(asked, features, usable))
     ok = joined.filter("reason IS NULL")
     info = {"bundle_version": bundle.version, "trained_at": bundle.trained_at,
             "split": bundle.split,
@@ -120,9 +122,13 @@ def forecast(bundle: training.Bundle, days: DataFrame, requests: DataFrame) -> D
     error = bundle.metrics.get("temperature", {}).get("test", {}).get("mae_c", float("nan"))
     documents = forecast_documents(
         bundle.score(ok), bundle.classes, bundle.cities, error, info, day="as_of")
-    kept = [*requests.columns, "city", "reason"]
-    return documents.select(*kept, "forecast").unionByName(
-        joined.filter("reason IS NOT NULL").select(*kept), allowMissingColumns=True)
+    key = [F.col("city").alias("__city"), F.col("as_of").alias("__as_of"),
+           F.col("reason").alias("__reason")]
+    answers = cut_lineage(documents.select(*key, "forecast").unionByName(
+        joined.filter("reason IS NOT NULL").select(*key), allowMissingColumns=True))
+    same = (F.col("city") == F.col("__city")) & F.col("as_of").eqNullSafe(F.col("__as_of"))
+    return resolved.join(answers, same, "left").select(
+        *requests.columns, "city", F.coalesce("reason", "__reason").alias("reason"), "forecast")
 
 
 class Ingested(NamedTuple):
