@@ -69,40 +69,7 @@ def word_blocks(docs: DataFrame, train: Column, group: Column, groups: int) -> D
     def build(batches):
         block = TaskContext.get().partitionId() << 32
         for batch in slices(batches, "text", BLOCK_BYTES):
-            words = split_words(batch.column("text"), SPACE, FOLD)
-            n = batch.num_rows
-            hashes = words.hashes()
-            order = np.argsort(hashes, kind="stable")       # by word, then by document
-            by_word, owner = hashes[order], words.owner[order]
-            new_word = np.ones(len(order), bool)
-            new_word[1:] = by_word[1:] != by_word[:-1]
-            new_pair = new_word.copy()
-            new_pair[1:] |= owner[1:] != owner[:-1]
-            pair = np.flatnonzero(new_pair)
-            counts = np.diff(np.append(pair, len(order)))
-            heads = np.flatnonzero(new_word)
-            first = np.concatenate([np.searchsorted(pair, heads), [len(pair), len(pair) + n]])
-            kept = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
-            kind = batch.column("class").to_numpy(zero_copy_only=False).astype(np.int64)
-            trained = np.zeros((len(heads) + 1, groups), np.int32)
-            word_no = np.cumsum(new_word)[pair] - 1
-            seen = kept[owner[pair]]
-            np.add.at(trained, (word_no[seen], kind[owner[pair]][seen]), counts[seen])
-            np.add.at(trained[-1], kind[kept], 1)
-            at = order[heads]
-            names = pa.concat_arrays([span_strings(words.data, words.start[at], words.end[at]),
-                                      pa.array([END])])
-
-            def row(values):
-                return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-            yield pa.RecordBatch.from_arrays([
-                pa.array([block], pa.int64()), row(batch.column("doc_id")),
-                row(batch.column("held")), row(names), pa.array([trained.tobytes()], pa.binary()),
-                row(pa.array(first, pa.int32())),
-                pa.array([_packed(np.concatenate([owner[pair], np.arange(n)]),
-                                  np.concatenate([counts, np.ones(n, np.int64)]))], pa.binary()),
-            ], ["block", "ids", "held", "words", "trained", "first", "pairs"])
+            yield _block(batch, block, groups)
             block += 1
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
@@ -112,6 +79,49 @@ def word_blocks(docs: DataFrame, train: Column, group: Column, groups: int) -> D
     return stored(rows.mapInArrow(build, BLOCK), "blocks", maxRecordsPerFile=4)
 
 
+def _block(batch: pa.RecordBatch, block: int, groups: int) -> pa.RecordBatch:
+    """The row of one block. A function of its own: nothing of a block is held while the next is made."""
+    words = split_words(batch.column("text"), SPACE, FOLD)
+    n = batch.num_rows
+    by_word = words.hashes()
+    order = np.argsort(by_word, kind="stable")              # by word, then by document
+    by_word = by_word[order]
+    new_word = np.ones(len(order), bool)
+    new_word[1:] = by_word[1:] != by_word[:-1]
+    del by_word
+    owner = words.owner.astype(np.int32)[order]
+    new_pair = new_word.copy()
+    new_pair[1:] |= owner[1:] != owner[:-1]
+    pair = np.flatnonzero(new_pair)
+    owner = owner[pair]
+    counts = np.diff(np.append(pair, len(order)))
+    heads = np.flatnonzero(new_word)
+    first = np.concatenate([np.searchsorted(pair, heads), [len(pair), len(pair) + n]])
+    word_no = np.cumsum(new_word, dtype=np.int32)[pair] - 1
+    at = order[heads]
+    del order, new_word, new_pair, pair
+    names = pa.concat_arrays([span_strings(words.data, words.start[at], words.end[at]),
+                              pa.array([END])])
+    del words
+    kept = batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+    kind = batch.column("class").to_numpy(zero_copy_only=False).astype(np.int64)
+    trained = np.zeros((len(heads) + 1, groups), np.int32)
+    seen = kept[owner]
+    np.add.at(trained, (word_no[seen], kind[owner[seen]]), counts[seen])
+    np.add.at(trained[-1], kind[kept], 1)
+
+    def row(values):
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    return pa.RecordBatch.from_arrays([
+        pa.array([block], pa.int64()), row(batch.column("doc_id")),
+        row(batch.column("held")), row(names), pa.array([trained.tobytes()], pa.binary()),
+        row(pa.array(first, pa.int32())),
+        pa.array([_packed(np.concatenate([owner, np.arange(n)]),
+                          np.concatenate([counts, np.ones(n, np.int64)]))], pa.binary()),
+    ], ["block", "ids", "held", "words", "trained", "first", "pairs"])
+
+
 def _packed(docs: np.ndarray, counts: np.ndarray) -> bytes:
     """Documents (as steps, which are small) and counts, compressed: the bulk of a block."""
     steps = np.diff(docs, prepend=0)
